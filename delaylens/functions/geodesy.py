@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,62 +41,81 @@ def ellipsoid_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
     NULL for a missing coordinate and for nearly antipodal places, where the iteration does
     not settle.
     """
-    f = FLATTENING
-    u1 = F.atan(F.lit(1 - f) * F.tan(F.radians(lat1)))
-    u2 = F.atan(F.lit(1 - f) * F.tan(F.radians(lat2)))
-    start = F.struct(
-        u1.alias("u1"), u2.alias("u2"), F.radians(lon2 - lon1).alias("l"),
-        F.radians(lon2 - lon1).alias("lam"), F.lit(1.0).alias("step"),
-    )
+    one, two, three, four = (F.lit(float(i)) for i in (1, 2, 3, 4))
+    f = F.lit(FLATTENING)
 
-    def improve(s: Column, _: Column) -> Column:
-        sin_s, cos_s, sigma, sin_a, cos2_a, cos_2m = _auxiliary(s)
-        c = F.lit(f / 16) * cos2_a * (F.lit(4.0) + F.lit(f) * (F.lit(4.0) - F.lit(3.0) * cos2_a))
-        lam = s["l"] + (F.lit(1.0) - c) * F.lit(f) * sin_a * (
-            sigma + c * sin_s * (cos_2m + c * cos_s * (F.lit(2.0) * cos_2m * cos_2m - F.lit(1.0)))
-        )
+    def reduced(lat: Column) -> Column:
+        return F.atan((one - f) * F.tan(F.radians(lat)))
+
+    def trig(p: Column) -> Column:
         return F.struct(
-            s["u1"].alias("u1"), s["u2"].alias("u2"), s["l"].alias("l"),
-            lam.alias("lam"), F.abs(lam - s["lam"]).alias("step"),
+            F.sin(p["u1"]).alias("s1"), F.cos(p["u1"]).alias("c1"),
+            F.sin(p["u2"]).alias("s2"), F.cos(p["u2"]).alias("c2"), p["l"].alias("l"),
         )
 
-    def finish(s: Column) -> Column:
-        sin_s, cos_s, sigma, _, cos2_a, cos_2m = _auxiliary(s)
-        k = cos2_a * F.lit((SEMI_MAJOR**2 - SEMI_MINOR**2) / SEMI_MINOR**2)
-        big_a = F.lit(1.0) + k / 16384 * (
-            F.lit(4096.0) + k * (F.lit(-768.0) + k * (F.lit(320.0) - F.lit(175.0) * k))
+    def arc(t: Column, lam: Column) -> Column:
+        """Arc length and azimuth terms for a longitude difference on the auxiliary sphere."""
+        across = t["c2"] * F.sin(lam)
+        along = t["c1"] * t["s2"] - t["s1"] * t["c2"] * F.cos(lam)
+        sides = F.struct(
+            F.sqrt(across * across + along * along).alias("ss"),
+            (t["s1"] * t["s2"] + t["c1"] * t["c2"] * F.cos(lam)).alias("cs"),
         )
-        big_b = k / 1024 * (F.lit(256.0) + k * (F.lit(-128.0) + k * (F.lit(74.0) - F.lit(47.0) * k)))
-        square = F.lit(2.0) * cos_2m * cos_2m - F.lit(1.0)
-        correction = big_b * sin_s * (
-            cos_2m + big_b / 4 * (
-                cos_s * square
-                - big_b / 6 * cos_2m
-                * (F.lit(4.0) * sin_s * sin_s - F.lit(3.0))
-                * (F.lit(4.0) * cos_2m * cos_2m - F.lit(3.0))
+
+        def azimuth(x: Column) -> Column:
+            sa = F.coalesce(t["c1"] * t["c2"] * F.sin(lam) / F.nullif(x["ss"], F.lit(0.0)), F.lit(0.0))
+            return F.struct(x["ss"].alias("ss"), x["cs"].alias("cs"), sa.alias("sa"),
+                            F.atan2(x["ss"], x["cs"]).alias("sg"), (one - sa * sa).alias("ca"))
+
+        def middle(x: Column) -> Column:
+            # Along the equator cos²α is zero and the term drops out.
+            cm = F.coalesce(x["cs"] - two * t["s1"] * t["s2"] / F.nullif(x["ca"], F.lit(0.0)), F.lit(0.0))
+            ca = x["ca"]
+            return F.struct(*[x[k].alias(k) for k in ("ss", "cs", "sa", "sg", "ca")], cm.alias("cm"),
+                            (f / 16 * ca * (four + f * (four - three * ca))).alias("c"))
+
+        return _let(_let(sides, azimuth), middle)
+
+    def improve(t: Column, state: Column) -> Column:
+        def next_state(x: Column) -> Column:
+            lam = t["l"] + (one - x["c"]) * f * x["sa"] * (
+                x["sg"] + x["c"] * x["ss"] * (x["cm"] + x["c"] * x["cs"] * (two * x["cm"] * x["cm"] - one))
             )
+            return _let(lam, lambda v: F.struct(v.alias("lam"), F.abs(v - state["lam"]).alias("step")))
+
+        return _let(arc(t, state["lam"]), next_state)
+
+    def length(t: Column, state: Column) -> Column:
+        def series(x: Column) -> Column:
+            k = x["ca"] * F.lit((SEMI_MAJOR**2 - SEMI_MINOR**2) / SEMI_MINOR**2)
+            big_a = one + k / 16384 * (F.lit(4096.0) + k * (F.lit(-768.0) + k * (F.lit(320.0) - F.lit(175.0) * k)))
+            big_b = k / 1024 * (F.lit(256.0) + k * (F.lit(-128.0) + k * (F.lit(74.0) - F.lit(47.0) * k)))
+            cm2 = x["cm"] * x["cm"]
+            shift = big_b * x["ss"] * (x["cm"] + big_b / 4 * (
+                x["cs"] * (two * cm2 - one)
+                - big_b / 6 * x["cm"] * (four * x["ss"] * x["ss"] - three) * (four * cm2 - three)
+            ))
+            return F.lit(SEMI_MINOR / METRES_PER_MILE) * big_a * (x["sg"] - shift)
+
+        return F.when(state["step"] <= F.lit(TOLERANCE), _let(arc(t, state["lam"]), series))
+
+    def walk(t: Column) -> Column:
+        start = F.struct(t["l"].alias("lam"), F.lit(1.0).alias("step"))
+        # A settled pair keeps its state; the rounds left over cost one comparison each.
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(ROUNDS)), start,
+            lambda state, _: F.when(state["step"] <= F.lit(TOLERANCE), state).otherwise(improve(t, state)),
+            lambda state: length(t, state),
         )
-        metres = F.lit(SEMI_MINOR) * big_a * (sigma - correction)
-        return F.when(s["step"] <= F.lit(TOLERANCE), metres / METRES_PER_MILE)
-
-    miles = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, improve, finish)
-    return F.when((lat1 == lat2) & (lon1 == lon2), F.lit(0.0)).otherwise(miles)
-
-
-def _auxiliary(s: Column) -> tuple[Column, ...]:
-    """Arc length and azimuth terms of Vincenty's formula for the current longitude."""
-    su1, cu1, su2, cu2 = F.sin(s["u1"]), F.cos(s["u1"]), F.sin(s["u2"]), F.cos(s["u2"])
-    sl, cl = F.sin(s["lam"]), F.cos(s["lam"])
-    across, along = cu2 * sl, cu1 * su2 - su1 * cu2 * cl
-    sin_s = F.sqrt(across * across + along * along)
-    cos_s = su1 * su2 + cu1 * cu2 * cl
-    sin_a = F.coalesce(cu1 * cu2 * sl / F.nullif(sin_s, F.lit(0.0)), F.lit(0.0))
-    cos2_a = F.lit(1.0) - sin_a * sin_a
-    # On the equator cos²α is zero and the term drops out.
-    cos_2m = F.coalesce(
-        cos_s - F.lit(2.0) * su1 * su2 / F.nullif(cos2_a, F.lit(0.0)), F.lit(0.0)
-    )
-    return sin_s, cos_s, F.atan2(sin_s, cos_s), sin_a, cos2_a, cos_2m
+
+    angles = F.struct(reduced(lat1).alias("u1"), reduced(lat2).alias("u2"), F.radians(lon2 - lon1).alias("l"))
+    known = lat1.isNotNull() & lon1.isNotNull() & lat2.isNotNull() & lon2.isNotNull()
+    return F.when((lat1 == lat2) & (lon1 == lon2), F.lit(0.0)).when(known, _let(_let(angles, trig), walk))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def rounded_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

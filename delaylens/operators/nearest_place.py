@@ -25,8 +25,8 @@ def nearest_place(
     A coarse-to-fine search on a latitude/longitude grid. At each level a site keeps the cells
     that may still hold its nearest place: those whose least possible distance does not exceed
     the distance to the best place seen so far, every cell contributing one of its places as a
-    sample. Survivors are replaced by their children, and only the places of the last cells are
-    measured. All joins are equi-joins on cell numbers. Places at the same position are reduced
+    sample. Survivors are replaced by the non-empty cells inside them, and only the places of
+    the last cells are measured. All joins are equi-joins on cell numbers. Places at the same position are reduced
     to the least id before the search.
 
     Sites or places without coordinates count as ``UNKNOWN_MILES`` away from everything.
@@ -44,11 +44,12 @@ def nearest_place(
     spots = spots.withColumns({
         "fy": _cell(F.col("lat"), 90.0, 180.0), "fx": _cell(F.col("lon"), 180.0, 360.0),
     })
-    candidates = _whole_earth(site_rows.where(_located("s_lat", "s_lon")))
+    candidates = site_rows.where(_located("s_lat", "s_lon")).withColumns(
+        {"cy": F.lit(0), "cx": F.lit(0)}
+    )
     for level, units in enumerate(LEVELS):
-        candidates = _keep_reachable(candidates, _samples(spots, units), units)
-        if level + 1 < len(LEVELS):
-            candidates = _children(candidates, units, LEVELS[level + 1])
+        samples = _samples(spots, units, LEVELS[level - 1] if level else None)
+        candidates = _keep_reachable(candidates, samples, units)
     measured = (
         candidates.join(
             spots.select(F.col("fy").alias("cy"), F.col("fx").alias("cx"), "place", "lat", "lon"),
@@ -90,26 +91,23 @@ def _cell(degrees: Column, shift: float, span: float) -> Column:
     ).cast("int")
 
 
-def _whole_earth(sites: DataFrame) -> DataFrame:
-    """Every site with each cell of the coarsest grid, 72 in number."""
-    rows = round(180 / FINEST_DEGREES) // LEVELS[0]
-    columns = round(360 / FINEST_DEGREES) // LEVELS[0]
-    return sites.withColumn("cy", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))).withColumn(
-        "cx", F.explode(F.sequence(F.lit(0), F.lit(columns - 1)))
-    )
-
-
-def _samples(spots: DataFrame, units: int) -> DataFrame:
-    """One place of every non-empty cell of a level."""
-    return spots.groupBy(
-        F.expr(f"fy div {units}").alias("cy"), F.expr(f"fx div {units}").alias("cx")
+def _samples(spots: DataFrame, units: int, parent: int | None) -> DataFrame:
+    """One place of every non-empty cell of a level, with the number of the cell around it."""
+    cells = spots.groupBy(
+        F.expr(f"fy div {units}").alias("y"), F.expr(f"fx div {units}").alias("x")
     ).agg(F.min(F.struct("lat", "lon")).alias("sample"))
+    if parent is None:
+        # The coarsest grid has 72 cells: this side can always be broadcast.
+        return F.broadcast(cells.withColumns({"cy": F.lit(0), "cx": F.lit(0)}))
+    ratio = parent // units
+    return cells.withColumns({"cy": F.expr(f"y div {ratio}"), "cx": F.expr(f"x div {ratio}")})
 
 
 def _keep_reachable(candidates: DataFrame, samples: DataFrame, units: int) -> DataFrame:
+    """Replace each site's cells by the cells inside them that its nearest place may lie in."""
     size = units * FINEST_DEGREES
     # The slack absorbs rounding where a position lies on a cell boundary.
-    south, west = F.col("cy") * size - 90 - 1e-9, F.col("cx") * size - 180 - 1e-9
+    south, west = F.col("y") * size - 90 - 1e-9, F.col("x") * size - 180 - 1e-9
     at_least = miles_to_cell(
         F.col("s_lat"), F.col("s_lon"), south, south + size + 2e-9, west, west + size + 2e-9
     )
@@ -118,24 +116,12 @@ def _keep_reachable(candidates: DataFrame, samples: DataFrame, units: int) -> Da
     )
     seen = F.min("to_sample").over(Window.partitionBy("site"))
     bound = F.when(seen < _NEARLY_ANTIPODAL, seen).otherwise(float(UNKNOWN_MILES))
+    kept = ("site", "s_lat", "s_lon", F.col("y").alias("cy"), F.col("x").alias("cx"))
     return (
         candidates.join(samples, ["cy", "cx"])
-        .withColumns({"at_least": at_least, "to_sample": to_sample})
+        .select(*kept, at_least.alias("at_least"), to_sample.alias("to_sample"))
         .withColumn("bound", bound)
         # Distances are compared in whole miles, so a mile more may still be a tie.
         .where(F.col("at_least") <= F.col("bound") + 1)
         .select("site", "s_lat", "s_lon", "cy", "cx")
     )
-
-
-def _children(candidates: DataFrame, units: int, finer: int) -> DataFrame:
-    ratio = units // finer
-    steps = F.sequence(F.lit(0), F.lit(ratio - 1))
-    return (
-        candidates.withColumn("dy", F.explode(steps)).withColumn("dx", F.explode(steps))
-        .select(
-            "site", "s_lat", "s_lon",
-            (F.col("cy") * ratio + F.col("dy")).alias("cy"),
-            (F.col("cx") * ratio + F.col("dx")).alias("cx"),
-        )
-    )

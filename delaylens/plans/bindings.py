@@ -196,10 +196,10 @@ OBSERVATIONS_SQL = """observations AS (SELECT user_id AS station, ts AS observed
 def departures(spark: SparkSession, folder: str) -> DataFrame:
     """Events to be matched with an observation of their station."""
     rows = table(spark, folder, "events").where("event_type = 'purchase'")
-    return rows.select(F.col("event_id").alias("flight_id"), F.col("user_id").alias("station"), F.col("ts").alias("at"))
+    return rows.select(F.col("event_id").alias("flight_id"), F.col("user_id").alias("station"), F.col("ts").alias("departs"))
 
 
-DEPARTURES_SQL = """departures AS (SELECT event_id AS flight_id, user_id AS station, ts AS at
+DEPARTURES_SQL = """departures AS (SELECT event_id AS flight_id, user_id AS station, ts AS departs
     FROM events WHERE event_type = 'purchase')"""
 
 _REQUEST = """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -171,4 +172,5 @@ def _midnight(df: DataFrame, at: str, day: dt.date) -> Column:
 
 
 def _literal(sep: str) -> str:
-    return r"\Q" + sep + r"\E"
+    """The separator as a pattern that matches just this text."""
+    return re.sub(r"([\\.\[\]{}()*+?^$|])", r"\\\1", sep)
