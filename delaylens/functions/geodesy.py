@@ -1,9 +1,11 @@
-"""Distances on the earth as Column arithmetic, in statute miles."""
+"""Distances on the earth, in statute miles, as SQL expressions over named columns.
+
+The formulas are long, so each is one expression text: building it costs a single call.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,123 +27,81 @@ INNER_RADIUS = SEMI_MAJOR * (1 - _E2) / METRES_PER_MILE
 OUTER_RADIUS = SEMI_MAJOR / math.sqrt(1 - _E2) / METRES_PER_MILE
 
 
-def sphere_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: float) -> Column:
+def sphere_miles(lat1: str, lon1: str, lat2: str, lon2: str, radius: float) -> Column:
     """Great-circle distance by the haversine formula."""
-    half_lat = F.radians(lat2 - lat1) / 2
-    half_lon = F.radians(lon2 - lon1) / 2
-    h = F.pow(F.sin(half_lat), 2) + (
-        F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(half_lon), 2)
-    )
-    return F.lit(2 * radius) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    return F.expr(f"""{2 * radius}D * asin(sqrt(least(1D,
+        pow(sin(radians({lat2} - {lat1}) / 2), 2)
+        + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))""")
+
+
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` over a value that is evaluated once however often the body uses it."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
 
+def _arc(lam: str, name: str, body: str) -> str:
+    """``body`` over the arc length and azimuth terms ``name`` for a longitude difference."""
+    sides = f"""named_struct(
+        'ss', sqrt(pow(t.c2 * sin({lam}), 2) + pow(t.c1 * t.s2 - t.s1 * t.c2 * cos({lam}), 2)),
+        'cs', t.s1 * t.s2 + t.c1 * t.c2 * cos({lam}))"""
+    # Coinciding places have no azimuth; along the equator cos²α is zero and its term drops out.
+    azimuth = f"""named_struct('ss', a.ss, 'cs', a.cs, 'sg', atan2(a.ss, a.cs),
+        'sa', coalesce(t.c1 * t.c2 * sin({lam}) / nullif(a.ss, 0D), 0D))"""
+    square = "named_struct('ss', b.ss, 'cs', b.cs, 'sg', b.sg, 'sa', b.sa, 'ca', 1D - b.sa * b.sa)"
+    middle = f"""named_struct('ss', d.ss, 'cs', d.cs, 'sg', d.sg, 'sa', d.sa, 'ca', d.ca,
+        'cm', coalesce(d.cs - 2D * t.s1 * t.s2 / nullif(d.ca, 0D), 0D),
+        'c', {FLATTENING}D / 16 * d.ca * (4D + {FLATTENING}D * (4D - 3D * d.ca)))"""
+    terms = _let(_let(_let(sides, "a", azimuth), "b", square), "d", middle)
+    return _let(terms, name, body)
 
-def ellipsoid_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+
+def ellipsoid_miles(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
     """Distance on the WGS-84 ellipsoid by Vincenty's inverse formula (1975).
 
     NULL for a missing coordinate and for nearly antipodal places, where the iteration does
     not settle.
     """
-    one, two, three, four = (F.lit(float(i)) for i in (1, 2, 3, 4))
-    f = F.lit(FLATTENING)
-
-    def reduced(lat: Column) -> Column:
-        return F.atan((one - f) * F.tan(F.radians(lat)))
-
-    def trig(p: Column) -> Column:
-        return F.struct(
-            F.sin(p["u1"]).alias("s1"), F.cos(p["u1"]).alias("c1"),
-            F.sin(p["u2"]).alias("s2"), F.cos(p["u2"]).alias("c2"), p["l"].alias("l"),
-        )
-
-    def arc(t: Column, lam: Column) -> Column:
-        """Arc length and azimuth terms for a longitude difference on the auxiliary sphere."""
-        across = t["c2"] * F.sin(lam)
-        along = t["c1"] * t["s2"] - t["s1"] * t["c2"] * F.cos(lam)
-        sides = F.struct(
-            F.sqrt(across * across + along * along).alias("ss"),
-            (t["s1"] * t["s2"] + t["c1"] * t["c2"] * F.cos(lam)).alias("cs"),
-        )
-
-        def azimuth(x: Column) -> Column:
-            sa = F.coalesce(t["c1"] * t["c2"] * F.sin(lam) / F.nullif(x["ss"], F.lit(0.0)), F.lit(0.0))
-            return F.struct(x["ss"].alias("ss"), x["cs"].alias("cs"), sa.alias("sa"),
-                            F.atan2(x["ss"], x["cs"]).alias("sg"), (one - sa * sa).alias("ca"))
-
-        def middle(x: Column) -> Column:
-            # Along the equator cos²α is zero and the term drops out.
-            cm = F.coalesce(x["cs"] - two * t["s1"] * t["s2"] / F.nullif(x["ca"], F.lit(0.0)), F.lit(0.0))
-            ca = x["ca"]
-            return F.struct(*[x[k].alias(k) for k in ("ss", "cs", "sa", "sg", "ca")], cm.alias("cm"),
-                            (f / 16 * ca * (four + f * (four - three * ca))).alias("c"))
-
-        return _let(_let(sides, azimuth), middle)
-
-    def improve(t: Column, state: Column) -> Column:
-        def next_state(x: Column) -> Column:
-            lam = t["l"] + (one - x["c"]) * f * x["sa"] * (
-                x["sg"] + x["c"] * x["ss"] * (x["cm"] + x["c"] * x["cs"] * (two * x["cm"] * x["cm"] - one))
-            )
-            return _let(lam, lambda v: F.struct(v.alias("lam"), F.abs(v - state["lam"]).alias("step")))
-
-        return _let(arc(t, state["lam"]), next_state)
-
-    def length(t: Column, state: Column) -> Column:
-        def series(x: Column) -> Column:
-            k = x["ca"] * F.lit((SEMI_MAJOR**2 - SEMI_MINOR**2) / SEMI_MINOR**2)
-            big_a = one + k / 16384 * (F.lit(4096.0) + k * (F.lit(-768.0) + k * (F.lit(320.0) - F.lit(175.0) * k)))
-            big_b = k / 1024 * (F.lit(256.0) + k * (F.lit(-128.0) + k * (F.lit(74.0) - F.lit(47.0) * k)))
-            cm2 = x["cm"] * x["cm"]
-            shift = big_b * x["ss"] * (x["cm"] + big_b / 4 * (
-                x["cs"] * (two * cm2 - one)
-                - big_b / 6 * x["cm"] * (four * x["ss"] * x["ss"] - three) * (four * cm2 - three)
-            ))
-            return F.lit(SEMI_MINOR / METRES_PER_MILE) * big_a * (x["sg"] - shift)
-
-        return F.when(state["step"] <= F.lit(TOLERANCE), _let(arc(t, state["lam"]), series))
-
-    def walk(t: Column) -> Column:
-        start = F.struct(t["l"].alias("lam"), F.lit(1.0).alias("step"))
-        # A settled pair keeps its state; the rounds left over cost one comparison each.
-        return F.aggregate(
-            F.sequence(F.lit(1), F.lit(ROUNDS)), start,
-            lambda state, _: F.when(state["step"] <= F.lit(TOLERANCE), state).otherwise(improve(t, state)),
-            lambda state: length(t, state),
-        )
-
-    angles = F.struct(reduced(lat1).alias("u1"), reduced(lat2).alias("u2"), F.radians(lon2 - lon1).alias("l"))
-    known = lat1.isNotNull() & lon1.isNotNull() & lat2.isNotNull() & lon2.isNotNull()
-    return F.when((lat1 == lat2) & (lon1 == lon2), F.lit(0.0)).when(known, _let(_let(angles, trig), walk))
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is evaluated once however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def rounded_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    f = f"{FLATTENING}D"
+    longitude = f"""t.l + (1D - x.c) * {f} * x.sa
+        * (x.sg + x.c * x.ss * (x.cm + x.c * x.cs * (2D * x.cm * x.cm - 1D)))"""
+    improved = _arc("p.lam", "x", _let(longitude, "v", "named_struct('lam', v, 'step', abs(v - p.lam))"))
+    # A settled pair keeps its state; the rounds left over cost one comparison each.
+    step = f"CASE WHEN p.step <= {TOLERANCE}D THEN p ELSE {improved} END"
+    series = f"""named_struct('k', x.ca * {(SEMI_MAJOR**2 - SEMI_MINOR**2) / SEMI_MINOR**2}D,
+        'ss', x.ss, 'cs', x.cs, 'sg', x.sg, 'cm', x.cm)"""
+    factors = """named_struct('ss', y.ss, 'cs', y.cs, 'sg', y.sg, 'cm', y.cm,
+        'a', 1D + y.k / 16384 * (4096D + y.k * (-768D + y.k * (320D - 175D * y.k))),
+        'b', y.k / 1024 * (256D + y.k * (-128D + y.k * (74D - 47D * y.k))))"""
+    miles = f"""{SEMI_MINOR / METRES_PER_MILE}D * z.a * (z.sg - z.b * z.ss * (z.cm + z.b / 4 * (
+        z.cs * (2D * z.cm * z.cm - 1D)
+        - z.b / 6 * z.cm * (4D * z.ss * z.ss - 3D) * (4D * z.cm * z.cm - 3D))))"""
+    length = _arc("p.lam", "x", _let(_let(series, "y", factors), "z", miles))
+    walk = f"""aggregate(sequence(1, {ROUNDS}), named_struct('lam', t.l, 'step', 1D),
+        (p, i) -> {step}, p -> CASE WHEN p.step <= {TOLERANCE}D THEN {length} END)"""
+    angles = f"""named_struct('u1', atan((1D - {f}) * tan(radians({lat1}))),
+        'u2', atan((1D - {f}) * tan(radians({lat2}))), 'l', radians({lon2} - {lon1}))"""
+    sines = "named_struct('s1', sin(u.u1), 'c1', cos(u.u1), 's2', sin(u.u2), 'c2', cos(u.u2), 'l', u.l)"
+    return F.expr(f"""CASE WHEN {lat1} = {lat2} AND {lon1} = {lon2} THEN 0D
+        WHEN {lat1} + {lat2} + {lon1} + {lon2} IS NOT NULL THEN {_let(_let(angles, 'u', sines), 't', walk)} END""")
+
+
+def rounded_miles(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
     """Whole miles, half to even; the circumference where no distance can be computed."""
     miles = F.bround(ellipsoid_miles(lat1, lon1, lat2, lon2))
     return F.coalesce(miles, F.lit(float(UNKNOWN_MILES))).cast("bigint")
 
 
-def miles_to_cell(
-    lat: Column, lon: Column, south: Column, north: Column, west: Column, east: Column
-) -> Column:
-    """A distance that no place inside the latitude/longitude cell can undercut."""
-    lat_gap = F.greatest(south - lat, lat - north, F.lit(0.0))
-    # Angular way round to the nearer side meridian; zero between the sides.
-    turn_west = F.abs(_wrapped(lon - west))
-    turn_east = F.abs(_wrapped(lon - east))
-    inside = (lon >= west) & (lon <= east)
-    turn = F.when(inside, F.lit(0.0)).otherwise(F.least(turn_west, turn_east))
-    # The closest point of a meridian is the foot of the perpendicular, or a pole beyond 90°.
-    foot = F.degrees(F.asin(F.least(
-        F.cos(F.radians(lat)) * F.sin(F.radians(F.least(turn, F.lit(90.0)))), F.lit(1.0)
-    )))
-    pole = F.lit(90.0) - F.abs(lat)
-    side_gap = F.when(turn >= 90, pole).otherwise(F.greatest(foot, F.lit(0.0)))
-    return F.radians(F.greatest(lat_gap, side_gap)) * F.lit(INNER_RADIUS)
-
-
-def _wrapped(degrees: Column) -> Column:
-    return F.pmod(degrees + F.lit(540.0), F.lit(360.0)) - F.lit(180.0)
+def miles_to_cell(lat: str, lon: str, south: str, west: str, size: float) -> Column:
+    """A distance that no place inside a latitude/longitude cell can undercut.
+
+    The closest point of a side meridian is the foot of the perpendicular on it, or a pole when
+    the meridian lies more than 90° away.
+    """
+    # The slack absorbs rounding where a position lies on a cell boundary.
+    gap, slack = f"greatest({south} - {lat}, {lat} - {south} - {size}D, 0D)", 1e-9
+    turn = f"""CASE WHEN {lon} BETWEEN {west} AND {west} + {size}D THEN 0D ELSE least(
+        abs(pmod({lon} - {west} + 540D, 360D) - 180D),
+        abs(pmod({lon} - {west} - {size}D + 540D, 360D) - 180D)) END"""
+    foot = f"degrees(asin(cos(radians({lat})) * sin(radians(least({turn}, 90D)))))"
+    side = f"CASE WHEN ({turn}) >= 90 THEN 90D - abs({lat}) ELSE {foot} END"
+    return F.expr(f"radians(greatest({gap}, {side}, {slack}D) - {slack}D) * {INNER_RADIUS}D")

@@ -55,7 +55,7 @@ def nearest_place(
             spots.select(F.col("fy").alias("cy"), F.col("fx").alias("cx"), "place", "lat", "lon"),
             ["cy", "cx"],
         )
-        .withColumn("miles", rounded_miles(*[F.col(c) for c in ("s_lat", "s_lon", "lat", "lon")]))
+        .withColumn("miles", rounded_miles("s_lat", "s_lon", "lat", "lon"))
         .groupBy("site").agg(F.min(F.struct("miles", "place")).alias("best"))
     )
     # Sites that cannot be measured share the least id of all places.
@@ -106,14 +106,8 @@ def _samples(spots: DataFrame, units: int, parent: int | None) -> DataFrame:
 def _keep_reachable(candidates: DataFrame, samples: DataFrame, units: int) -> DataFrame:
     """Replace each site's cells by the cells inside them that its nearest place may lie in."""
     size = units * FINEST_DEGREES
-    # The slack absorbs rounding where a position lies on a cell boundary.
-    south, west = F.col("y") * size - 90 - 1e-9, F.col("x") * size - 180 - 1e-9
-    at_least = miles_to_cell(
-        F.col("s_lat"), F.col("s_lon"), south, south + size + 2e-9, west, west + size + 2e-9
-    )
-    to_sample = sphere_miles(
-        F.col("s_lat"), F.col("s_lon"), F.col("sample.lat"), F.col("sample.lon"), OUTER_RADIUS
-    )
+    at_least = miles_to_cell("s_lat", "s_lon", f"(y * {size}D - 90D)", f"(x * {size}D - 180D)", size)
+    to_sample = sphere_miles("s_lat", "s_lon", "sample.lat", "sample.lon", OUTER_RADIUS)
     seen = F.min("to_sample").over(Window.partitionBy("site"))
     bound = F.when(seen < _NEARLY_ANTIPODAL, seen).otherwise(float(UNKNOWN_MILES))
     kept = ("site", "s_lat", "s_lon", F.col("y").alias("cy"), F.col("x").alias("cx"))

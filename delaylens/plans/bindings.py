@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from delaylens.operators.features import calendar
+from delaylens.sources.writers import to_json_rows
 
 # The carriers, by the order in which requests are assigned to them.
 CARRIERS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -210,12 +212,15 @@ _REQUEST = """
     CAST(event_id * 7 % 120 - 30 AS DOUBLE) AS DepDelay, ts AS {at}"""
 
 
-def requests(spark: SparkSession, folder: str) -> DataFrame:
-    """Prediction requests: who, when, from where to where."""
+def _as_requests(events: DataFrame) -> DataFrame:
     names = ", ".join(f"'{c}'" for c in CARRIERS)
     columns = _REQUEST.format(text="STRING", carrier=f"array({names})[CAST(event_id % 5 AS INT)]", at="Timestamp")
-    rows = table(spark, folder, "events").where("event_type = 'signup'")
-    return rows.select(F.expr(f"struct({columns})").alias("r")).select("r.*")
+    return events.where("event_type = 'signup'").select(F.expr(f"struct({columns})").alias("r")).select("r.*")
+
+
+def requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Prediction requests: who, when, from where to where."""
+    return _as_requests(table(spark, folder, "events"))
 
 
 REQUESTS_SQL = "requests AS (SELECT " + _REQUEST.format(
@@ -234,11 +239,21 @@ RESPONSES_SQL = """responses AS (SELECT CAST(event_id AS VARCHAR) AS UUID,
     CAST(event_id % 4 AS DOUBLE) AS Prediction FROM events WHERE event_type = 'signup' AND value >= 20)"""
 
 
+def _complete(asked: DataFrame) -> DataFrame:
+    miles = F.expr("abs(int(substring_index(Origin, '_', -1)) - int(substring_index(Dest, '_', -1))) * 100 + 50")
+    return calendar(asked, "FlightDate").withColumns(
+        {"Distance": miles.cast("double"), "Timestamp": F.col("Timestamp").cast("timestamp")}
+    )
+
+
 def request_features(spark: SparkSession, folder: str) -> DataFrame:
     """Requests complete with distance and calendar, as the model expects them."""
-    from delaylens.operators.features import calendar
+    return _complete(requests(spark, folder))
+
 
-    miles = F.abs(F.substring_index("Origin", "_", -1).cast("int") - F.substring_index("Dest", "_", -1).cast("int"))
-    return calendar(requests(spark, folder), "FlightDate").withColumn(
-        "Distance", (miles * 100 + 50).cast("double")
-    ).withColumn("Timestamp", F.col("Timestamp").cast(T.TimestampType()))
+def request_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The same requests as a stream of JSON texts, one per message."""
+    schema = table(spark, folder, "events").schema
+    # A pattern, because a stream over a plain path must name a folder.
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/[e]vents.parquet")
+    return to_json_rows(_complete(_as_requests(stream)))
