@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from delaylens.functions.buckets import DELAY_EDGES
 from delaylens.operators.metrics import classification
+from delaylens.session import checkpointed
 from delaylens.sources.readers import read_day
 from delaylens.sources.writers import write_days
 
@@ -66,6 +67,24 @@ def split_by_hash(df: DataFrame, share: float, seed: int) -> tuple[DataFrame, Da
     return df.where(draw < cut), df.where(draw >= cut)
 
 
+_SMALL_ROWS_PER_CORE = 1_000_000
+
+
+def training_rows(df: DataFrame, inputs: Inputs, label: str) -> DataFrame:
+    """The labelled rows, cut down to what the model reads and stored once.
+
+    Fitting passes over its rows many times; the joins and features behind them should run
+    once. Rows that are few for the cluster are spread evenly, since fitting costs far more
+    per byte than reading; many rows stay in the partitions they come in.
+    """
+    sources = [c for c in (*inputs.categorical, *inputs.numeric) if c != "Route"]
+    if "Route" in inputs.categorical:
+        sources += [c for c in ("Origin", "Dest") if c not in sources]
+    rows = checkpointed(df.where(F.col(label).isNotNull()).select(*sources, label))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.count() < cores * _SMALL_ROWS_PER_CORE else rows
+
+
 def category_stages(df: DataFrame, inputs: Inputs) -> list:
     """Route, bounded categories and their indexes; unseen values get an index of their own."""
     values = {
@@ -93,7 +112,7 @@ def fit_classifier(
     depth: int = 5, seed: int = 42,
 ) -> PipelineModel:
     """Random forest over indexed categories and numbers."""
-    rows = df.where(F.col(label).isNotNull())
+    rows = training_rows(df, inputs, label)
     stages = category_stages(rows, inputs)
     prepared = Pipeline(stages=stages).fit(rows)
     # A split must be able to tell all categories of a column apart.
@@ -113,7 +132,7 @@ def fit_regressor(
     df: DataFrame, inputs: Inputs, *, target: str = "ArrDelay", kind: str = "linear", seed: int = 42
 ) -> PipelineModel:
     """Linear or boosted regression over one-hot categories and numbers."""
-    rows = df.where(F.col(target).isNotNull())
+    rows = training_rows(df, inputs, target)
     names = inputs.categorical
     encoder = OneHotEncoder(
         inputCols=[f"{c}_index" for c in names], outputCols=[f"{c}_hot" for c in names],
@@ -126,7 +145,7 @@ def fit_regressor(
     model = (
         GBTRegressor(**columns, seed=seed, maxIter=20)
         if kind == "boosted"
-        else LinearRegression(**columns, regParam=0.01, solver="l-bfgs", maxIter=50)
+        else LinearRegression(**columns, regParam=0.01, maxIter=50)
     )
     return Pipeline(stages=[*category_stages(rows, inputs), encoder, assembler, model]).fit(rows)
 
