@@ -12,6 +12,8 @@ from delaylens.functions.geodesy import (
 # Cell sizes of the search, as multiples of the finest cell. Each divides the one before it.
 FINEST_DEGREES = 0.1
 LEVELS = (300, 100, 25, 5, 1)
+_ROWS = round(180 / FINEST_DEGREES) // LEVELS[0]
+_COLUMNS = round(360 / FINEST_DEGREES) // LEVELS[0]
 # Beyond this a computed distance may be replaced by UNKNOWN_MILES, so it bounds nothing.
 _NEARLY_ANTIPODAL = 12_000.0
 
@@ -44,8 +46,10 @@ def nearest_place(
     spots = spots.withColumns({
         "fy": _cell(F.col("lat"), 90.0, 180.0), "fx": _cell(F.col("lon"), 180.0, 360.0),
     })
-    candidates = site_rows.where(_located("s_lat", "s_lon")).withColumns(
-        {"cy": F.lit(0), "cx": F.lit(0)}
+    coarse = F.explode(F.sequence(F.lit(0), F.lit(_ROWS * _COLUMNS - 1)))
+    candidates = (
+        site_rows.where(_located("s_lat", "s_lon")).withColumn("cell", coarse)
+        .selectExpr("site", "s_lat", "s_lon", f"cell div {_COLUMNS} AS cy", f"cell % {_COLUMNS} AS cx")
     )
     for level, units in enumerate(LEVELS):
         samples = _samples(spots, units, LEVELS[level - 1] if level else None)
@@ -98,7 +102,7 @@ def _samples(spots: DataFrame, units: int, parent: int | None) -> DataFrame:
     ).agg(F.min(F.struct("lat", "lon")).alias("sample"))
     if parent is None:
         # The coarsest grid has 72 cells: this side can always be broadcast.
-        return F.broadcast(cells.withColumns({"cy": F.lit(0), "cx": F.lit(0)}))
+        return F.broadcast(cells.withColumns({"cy": F.col("y"), "cx": F.col("x")}))
     ratio = parent // units
     return cells.withColumns({"cy": F.expr(f"y div {ratio}"), "cx": F.expr(f"x div {ratio}")})
 
