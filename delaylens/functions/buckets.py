@@ -33,18 +33,16 @@ def bucket_label(bucket: Column) -> Column:
     return F.coalesce(*cases)
 
 
-def edge_bin(value: Column, edges: Sequence[float]) -> Column:
-    """Bin number of ``value``: bins are left-closed, the last also right-closed.
+def edge_bin(value: str, edges: Sequence[float]) -> Column:
+    """Bin number of a column: bins are left-closed, the last also right-closed; -1 outside.
 
-    NULL outside the edges. A sum of comparisons keeps the expression inside generated code.
+    A sum of comparisons stays inside generated code. Being never NULL, the number gives the
+    optimizer no reason to repeat the whole expression in a filter.
     """
-    passed = _edges_passed([value >= F.lit(float(e)) for e in edges])
-    last = F.lit(float(edges[-1]))
-    return (
-        F.when((value < F.lit(float(edges[0]))) | (value > last), None)
-        .when(value == last, F.lit(len(edges) - 2))
-        .otherwise(passed - 1)
-    )
+    low, high = float(edges[0]), float(edges[-1])
+    passed = " + ".join(f"int({value} >= {float(e)}D)" for e in edges[1:-1]) or "0"
+    return F.expr(f"""coalesce(CASE WHEN {value} = {high}D THEN {len(edges) - 2}
+        WHEN {value} >= {low}D AND {value} < {high}D THEN {passed} END, -1)""")
 
 
 def _edges_passed(tests: Sequence[Column]) -> Column:

@@ -18,8 +18,7 @@ def by_edges(df: DataFrame, value: str, edges: Sequence[float]) -> DataFrame:
         at.alias("bin"), F.get(marks, at).alias("lo"), F.get(marks, at + 1).alias("hi")
     )
     counted = (
-        df.select(edge_bin(F.col(value), edges).alias("bin"))
-        .where(F.col("bin").isNotNull())
+        df.select(edge_bin(value, edges).alias("bin"))
         .groupBy("bin").agg(F.count("*").alias("n"))
     )
     return bins.join(counted, "bin", "left").na.fill(0, ["n"]).select("bin", "lo", "hi", "n")
