@@ -8,7 +8,7 @@ from delaylens.operators import features, metrics, models, summary
 from delaylens.plans import bindings as b
 from delaylens.plans.registry import query
 from delaylens.plans.summaries import BUCKET_SQL, FLIGHTS, SCHEDULED_SQL
-from delaylens.session import workspace
+from delaylens.session import checkpointed, workspace
 from delaylens.sources.readers import iso_day_slice
 from delaylens.sources.writers import write_days
 from delaylens.streaming import scoring
@@ -101,18 +101,25 @@ def prediction_vs_actual(spark, folder):
 _FITTED: dict = {}
 
 
+def _split(spark, folder):
+    return models.split_by_hash(_labelled(spark, folder), 0.8, seed=42)
+
+
+def _fit(spark, folder):
+    fitted = models.fit_classifier(_split(spark, folder)[0])
+    _FITTED[spark.sparkContext.applicationId, folder] = fitted
+    return fitted
+
+
 def classifier(spark, folder):
-    """The forest trained on all flights of a folder, kept for the queries that only apply it."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _FITTED:
-        _FITTED[key] = models.fit_classifier(_labelled(spark, folder))
-    return _FITTED[key]
+    """The evaluated forest of a folder, kept for the queries that only apply it."""
+    return _FITTED.get((spark.sparkContext.applicationId, folder)) or _fit(spark, folder)
 
 
 @query()
 def train_score_rf(spark, folder):
-    train, test = models.split_by_hash(_labelled(spark, folder), 0.8, seed=42)
-    scored = models.predict(models.fit_classifier(train), test)
+    fitted = _fit(spark, folder)
+    scored = models.predict(fitted, _split(spark, folder)[1])
     return metrics.classification(scored, models.LABEL, models.PREDICTION)
 
 
@@ -131,7 +138,9 @@ def feature_importances(spark, folder):
 def train_score_regression(spark, folder):
     train, test = models.split_by_hash(_base(spark, folder), 0.8, seed=42)
     fitted = models.fit_regressor(train, REGRESSION_INPUTS)
-    return metrics.regression(models.predict(fitted, test), "ArrDelay", models.PREDICTION)
+    # The median takes several passes; the predictions are made once.
+    scored = checkpointed(models.predict(fitted, test).select("ArrDelay", models.PREDICTION))
+    return metrics.regression(scored, "ArrDelay", models.PREDICTION)
 
 
 @query()
