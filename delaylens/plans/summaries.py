@@ -239,22 +239,27 @@ def string_index(spark, folder):
     return index_by_frequency(route(b.flights(spark, folder, "Origin", "Dest")), "Route")
 
 
-@query("""WITH runs AS (SELECT event_type AS metric, CAST(ts AS DATE) AS run, round(avg(value), 6) AS score
-    FROM events GROUP BY 1, 2) SELECT metric, run, score,
-    round(score - coalesce(lag(score) OVER (PARTITION BY metric ORDER BY run), score), 4) AS delta FROM runs""")
+# Scores are means of whole cents, so both engines compute the same numbers to the last bit.
+_RUNS = """WITH runs AS (SELECT event_type AS metric, CAST(ts AS DATE) AS run,
+    avg(CAST(round(value * 100) AS BIGINT)) / 100 AS score FROM events GROUP BY 1, 2)"""
+
+
+def _runs(spark, folder):
+    events = b.table(spark, folder, "events").selectExpr(
+        "event_type AS metric", "to_date(ts) AS run", "CAST(round(value * 100) AS BIGINT) AS cents"
+    )
+    means = summary.mean_by(events, ["metric", "run"], "cents", "score", ordered=False)
+    return means.withColumn("score", F.col("score") / 100)
+
+
+@query(f"""{_RUNS} SELECT metric, run, score,
+    score - coalesce(lag(score) OVER (PARTITION BY metric ORDER BY run), score) AS delta FROM runs""")
 def run_deltas(spark, folder):
-    return experiments.run_deltas(_runs(spark, folder)).withColumn("delta", F.round("delta", 4))
+    return experiments.run_deltas(_runs(spark, folder))
 
 
-@query("""WITH runs AS (SELECT event_type AS metric, CAST(ts AS DATE) AS run, round(avg(value), 6) AS score
-    FROM events GROUP BY 1, 2) SELECT metric, round(avg(score), 4) AS average,
-    round(stddev_pop(score), 4) AS std FROM runs GROUP BY metric""")
+@query(f"""{_RUNS} SELECT metric, round(avg(score), 4) AS average, round(stddev_pop(score), 4) AS std
+    FROM runs GROUP BY metric""")
 def metric_summary(spark, folder):
     scores = experiments.summarize(_runs(spark, folder))
     return scores.select("metric", F.round("average", 4).alias("average"), F.round("std", 4).alias("std"))
-
-
-def _runs(spark, folder):
-    events = b.table(spark, folder, "events").withColumn("run", F.to_date("ts"))
-    means = summary.mean_by(events, ["event_type", "run"], "value", "score", ordered=False)
-    return means.select(F.col("event_type").alias("metric"), "run", F.round("score", 6).alias("score"))
