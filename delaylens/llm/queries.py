@@ -5,8 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from delaylens.llm import language, toxicity
+from delaylens.llm.decontaminate import find_leaks
+from delaylens.llm.licenses import scan_licenses
+from delaylens.llm.mixing import mix_counts
+from delaylens.llm.neighbours import nearest
 from delaylens.llm.ngramjoin import jaccard_groups
+from delaylens.llm.sharding import shard
+from delaylens.llm.substrings import remove_repeats
+
+#: The public vocabulary that language scores use.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +35,89 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(table(spark, folder, "documents"))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The kept words are returned as their SHA-256; spans stay with the operator."""
+    return remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+def low_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Weights of documents that ``labels`` marks as bad; all others weigh 1."""
+    return table(spark, folder, "labels").where("quality = 0").select(
+        F.col("doc_id").alias("key"), F.lit(0.25).alias("weight")
+    )
+
+
+@query
+def op2_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_counts(table(spark, folder, "documents"), quality=low_quality(spark, folder))
+
+
+@query
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Law ``bytes``: shards of nearly equal size, equal texts next to each other."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, folder, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 16).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.xxhash64(text).alias("text_print"),
+    )
+    return shard(docs, F.col("size"), (F.col("text_print"), F.col("doc_id"))).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op4_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels are those of the base phrases and of all detections left."""
+    return scan_licenses(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base", ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union("base", F.array_distinct("spans.label"))), ",").alias("labels"),
+        "score",
+    )
+
+
+@query
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn(
+        "held_out", F.coalesce(language.remainder("doc_id", 4) == 2, F.lit(False))
+    )
+    model = language.learned(docs.where("NOT held_out"), VOCABULARY)
+    predicted = language.predict(docs, model)
+    return predicted.select(
+        "doc_id", F.coalesce(language.remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def toxic_model(docs: DataFrame, spark: SparkSession, folder: str):
+    """Learned from the labelled rows whose checksum leaves a remainder by five."""
+    labels = table(spark, folder, "labels").where(language.remainder("doc_id", 5) != 0).select(
+        F.col("doc_id").alias("key"), F.col("toxic").alias("label")
+    )
+    return toxicity.learned(docs, labels)
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxic_model(docs, spark, folder)).select(
+        "doc_id", F.coalesce(language.remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
