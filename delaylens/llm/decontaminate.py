@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.words import Words, blanks, split
+from delaylens.llm.words import Words, blanks, pooled, split
 
 #: Benchmark items that are searched for in one pass over the documents.
 BLOCK = 20_000
@@ -248,7 +248,7 @@ def searches(items: DataFrame, text: str = "text", key: str = "item_id", s: Sett
 
 def _reporting(search: Search) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pooled(batches, "_text"):
             out = list(leaks(search, split(batch.column("_text"), blanks(), True)))
             rows, items, ends, counts = zip(*out) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(
@@ -285,12 +285,17 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str =
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", s: Settings = Settings()) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no item. Cases as in ``find_leaks``."""
     for search in searches(items, "text", item, s):
+        docs = docs.where(~_holding(search)(F.col(text).cast("string")))
+    return docs
 
-        @F.arrow_udf("boolean")
-        def holds(column: pa.Array, search=search) -> pa.Array:
-            out = np.zeros(len(column), bool)
-            out[[t for t, *_ in leaks(search, split(column, blanks(), True))]] = True
-            return pa.array(out)
 
-        docs = docs.where(~holds(F.col(text).cast("string")))
-    return docs
+def _holding(search: Search):
+    @F.arrow_udf("boolean")
+    def holds(column: pa.Array) -> pa.Array:
+        out, at = np.zeros(len(column), bool), 0
+        for batch in pooled([pa.RecordBatch.from_arrays([column], names=["_text"])], "_text"):
+            out[[at + t for t, *_ in leaks(search, split(batch.column("_text"), blanks(), True))]] = True
+            at += batch.num_rows
+        return pa.array(out)
+
+    return holds

@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.words import Words, blanks, constants, marks, mixed, split
+from delaylens.llm.words import Words, blanks, constants, marks, mixed, pooled, split
 
 #: Longest piece and longest run of a word, in bytes, that are scored at once.
 PIECE_BYTES, RUN_BYTES = 12, 32
@@ -187,7 +187,7 @@ def train(words: list[bytes], counts: np.ndarray, languages: list[str], pieces:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of a batch's texts with their counts per language."""
-    for batch in batches:
+    for batch in pooled(batches, "_text"):
         words, which, table, lengths = spelled(batch.column("_text"))
         names = pc.dictionary_encode(batch.column("_lang"))
         of_word = names.indices.to_numpy()[words.owners()]
@@ -229,7 +229,7 @@ def learned(docs: DataFrame, path: str, text: str = "text", lang: str = "lang",
 
 def _predicting(model: Model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pooled(batches, "_text"):
             column = batch.column("_text")
             words, which, table, lengths = spelled(column)
             n = len(column)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.words import marks, split
+from delaylens.llm.words import marks, pooled, split
 
 
 @dataclass(frozen=True)
@@ -180,7 +180,7 @@ def _scanner(table: list[Rule], base: tuple) -> Callable:
         gate = _gate([*by_keyword, *{p.split()[-1] for p, _ in base}])
         whole = [re.compile(rf"(?<!\S)(?:{r.pattern})(?!\S)") for r in table]
         phrases = [(re.compile(rf"(?<!\S){p}(?!\S)"), label, p.split()[-1]) for p, label in base]
-        for batch in batches:
+        for batch in pooled(batches, "_text"):
             column = batch.column("_text")
             counts = split(column, marks(), False).bounds
             out = []

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from delaylens.llm import language, toxicity
 from delaylens.llm.decontaminate import find_leaks
 from delaylens.llm.licenses import scan_licenses
+from delaylens.llm.linededup import repeated_lines
 from delaylens.llm.mixing import mix_counts
 from delaylens.llm.neighbours import nearest
 from delaylens.llm.ngramjoin import jaccard_groups
@@ -121,3 +122,9 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 @query
 def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Which lines of each document go; ``remove_lines`` gives the texts."""
+    return repeated_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "removed")

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from delaylens.llm.words import blanks, grams, pooled, split
 
-#: Text bytes that a task works on at once, and windows in one block of the index.
-BATCH_BYTES, BLOCK = 16 << 20, 4_000_000
+#: Windows in one block of the index.
+BLOCK = 4_000_000
 _LAST = np.iinfo(np.int64).max
 
 _PROBES = pa.schema([
@@ -43,13 +43,13 @@ def _probing(size: int, blocks: int) -> Callable:
     """The windows of every document, dealt to the blocks of the index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in pooled(batches, "_text", BATCH_BYTES):
+        for table in pooled(batches, "_text"):
             row, pick = np.unique(table.column("_row").to_numpy(), return_index=True)
             table = table.take(pa.array(pick))
             prints, owner, _ = grams(split(table.column("_text"), blanks(), False), size)
             if not len(prints):
                 continue
-            ids = table.column("_id").combine_chunks().fill_null(_LAST).to_numpy()
+            ids = table.column("_id").fill_null(_LAST).to_numpy()
             held = ids[owner]
             order = np.argsort(prints)
             fresh = np.flatnonzero(np.append(True, prints[order][1:] != prints[order][:-1]))
@@ -131,7 +131,7 @@ def factored(hit: np.ndarray, source: np.ndarray, size: int) -> list[tuple[int,
 
 def _parsed(size: int, blocks: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pooled(batches, "_text"):
             answers = batch.column("answers").to_pylist()
             some = np.flatnonzero([bool(a) for a in answers])
             spans: list[list] = [[] for _ in answers]

@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 
 #: Texts are worked through in pieces of about so many bytes, cut between words.
 PIECE = 1 << 16
+#: Text bytes that a task works on at once; about 20 bytes of numbers come with each.
+BATCH = 6 << 20
 _STEP = 0x9E3779B97F4A7C15
 _ODD = 0xD1342543DE82EF95
 
@@ -161,14 +163,23 @@ def unpacked(data: bytes, width: int) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
-def pooled(batches: Iterator[pa.RecordBatch], text: str, size: int) -> Iterator[pa.Table]:
-    """Batches put together until their texts reach ``size`` bytes."""
+def pooled(batches: Iterator[pa.RecordBatch], text: str, size: int = BATCH) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches whose texts (or lists of numbers) have about ``size`` bytes."""
     held, weight = [], 0
+    whole = lambda: pa.Table.from_batches(held).combine_chunks().to_batches()[0]
     for batch in batches:
-        held.append(batch)
-        weight += batch.column(batch.schema.get_field_index(text)).nbytes
-        if weight >= size:
-            yield pa.Table.from_batches(held)
-            held, weight = [], 0
+        column = batch.column(text)
+        lengths = pc.list_value_length(column) if pa.types.is_list(column.type) else pc.binary_length(column)
+        lengths = lengths.fill_null(0).to_numpy().astype(np.int64) * (8 if pa.types.is_list(column.type) else 1)
+        upto = np.append(0, np.cumsum(lengths))
+        at = 0
+        while at < len(column):
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] + size - weight, "right")) - 1)
+            held.append(batch.slice(at, end - at))
+            weight += int(upto[end] - upto[at])
+            at = end
+            if weight >= size or at < len(column):
+                yield whole()
+                held, weight = [], 0
     if held:
-        yield pa.Table.from_batches(held)
+        yield whole()
