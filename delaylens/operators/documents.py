@@ -33,8 +33,6 @@ def gather(
         *[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]
     )
     rows = df.select(*keys, *[c for c in items if c not in keys])
-    if heavy.isEmpty():
-        return _collect(rows.withColumn("part", F.lit(0).cast("bigint")), keys, items, name)
     same = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)]
     )

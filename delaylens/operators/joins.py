@@ -31,16 +31,18 @@ def enrich(
 ) -> DataFrame:
     """Left join with a default text in place of missing attributes.
 
-    Facts without a key cannot match: they are kept apart from the join, so they do not pile up
-    in the one partition a NULL or empty key hashes to.
+    Facts without a key cannot match. A second join column spreads them, so that they do not
+    pile up in the one partition a NULL or empty key hashes to, and the facts are read once.
     """
-    keyed = F.col(key).isNotNull() & (F.col(key) != "")
-    filled = [F.coalesce(c, F.lit(default)).alias(c) for c in columns]
-    joined = facts.where(keyed).join(dimension.select(key, *columns), key, "left")
-    matched = joined.select(*facts.columns, *filled)
-    bare = facts.where(~F.coalesce(keyed, F.lit(False)))
-    unmatched = bare.select("*", *[F.lit(default).alias(c) for c in columns])
-    return matched.unionByName(unmatched)
+    keyed = F.coalesce(F.col(key) != "", F.lit(False))
+    spread = F.when(keyed, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*facts.columns), F.lit(1 << 20)).cast("int"))
+    known = dimension.where(F.coalesce(F.col(key) != "", F.lit(False))).select(
+        F.col(key).alias("_key"), F.lit(0).alias("_known"), *[F.col(c).alias(f"_{c}") for c in columns]
+    )
+    joined = facts.withColumn("_spread", spread).join(
+        known, (F.col(key) == F.col("_key")) & (F.col("_spread") == F.col("_known")), "left"
+    )
+    return joined.select(*facts.columns, *[F.coalesce(f"_{c}", F.lit(default)).alias(c) for c in columns])
 
 
 def both_ends(

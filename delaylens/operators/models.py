@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.classification import RandomForestClassifier
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from delaylens.functions.buckets import DELAY_EDGES
 from delaylens.operators.metrics import classification
 from delaylens.session import checkpointed
-from delaylens.sources.readers import read_day
+from delaylens.sources.readers import STORED_REQUESTS, read_day
 from delaylens.sources.writers import write_days
 
 LABEL = "ArrDelayBucket"
@@ -24,17 +24,18 @@ PREDICTION = "Prediction"
 
 @dataclass(frozen=True)
 class Inputs:
-    """Columns a model reads. Categories beyond ``max_categories`` values are hashed into as many.
+    """Columns a model reads.
 
     An index of categories is held by the driver and by every task, so its size must not grow
-    with the data; hashing keeps every row and bounds the index.
+    with the data: columns in ``hashed`` are always hashed into that many values, and all others,
+    which must have a bounded number of values, are always indexed.
     """
 
     categorical: tuple[str, ...] = (
         "Carrier", "DayOfMonth", "DayOfWeek", "DayOfYear", "Origin", "Dest", "Route",
     )
     numeric: tuple[str, ...] = ("DepDelay", "Distance")
-    max_categories: int = 5000
+    hashed: Mapping[str, int] = field(default_factory=lambda: {"Route": 4096, "TailNum": 4096})
 
 
 HOURLY_INPUTS = Inputs(
@@ -67,35 +68,32 @@ def split_by_hash(df: DataFrame, share: float, seed: int) -> tuple[DataFrame, Da
     return df.where(draw < cut), df.where(draw >= cut)
 
 
-_SMALL_ROWS_PER_CORE = 1_000_000
-
-
-def training_rows(df: DataFrame, inputs: Inputs, label: str) -> DataFrame:
+def training_rows(df: DataFrame, inputs: Inputs, label: str, partitions: int | None = None) -> DataFrame:
     """The labelled rows, cut down to what the model reads and stored once.
 
     Fitting passes over its rows many times; the joins and features behind them should run
-    once. Rows that are few for the cluster are spread evenly, since fitting costs far more
-    per byte than reading; many rows stay in the partitions they come in.
+    once. ``partitions`` spreads the rows by their content into so many parts; a forest draws its
+    samples per part, so the same number gives the same forest on any machine.
     """
     sources = [c for c in (*inputs.categorical, *inputs.numeric) if c != "Route"]
     if "Route" in inputs.categorical:
         sources += [c for c in ("Origin", "Dest") if c not in sources]
-    rows = checkpointed(df.where(F.col(label).isNotNull()).select(*sources, label))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.count() < cores * _SMALL_ROWS_PER_CORE else rows
+    rows = df.where(F.col(label).isNotNull()).select(*sources, label)
+    if partitions is not None:
+        rows = rows.repartition(partitions, F.xxhash64(*rows.columns)).sortWithinPartitions(*rows.columns)
+    return checkpointed(rows)
 
 
-def category_stages(df: DataFrame, inputs: Inputs) -> list:
-    """Route, bounded categories and their indexes; unseen values get an index of their own."""
+def category_stages(inputs: Inputs) -> list:
+    """Route, hashed categories and the indexes of all; unseen values get an index of their own."""
     values = {
         c: "concat(Origin, '-', Dest)" if c == "Route" else f"cast({c} AS STRING)"
         for c in inputs.categorical
     }
-    counts = df.agg(*[F.approx_count_distinct(F.expr(v)).alias(c) for c, v in values.items()]).first()
     texts = []
     for c, value in values.items():
-        if counts[c] > inputs.max_categories:
-            value = f"cast(pmod(xxhash64({value}), {inputs.max_categories}) AS STRING)"
+        if c in inputs.hashed:
+            value = f"cast(pmod(xxhash64({value}), {inputs.hashed[c]}) AS STRING)"
         texts.append(f"{value} AS {c}_text")
     return [
         SQLTransformer(statement=f"SELECT *, {', '.join(texts)} FROM __THIS__"),
@@ -109,11 +107,11 @@ def category_stages(df: DataFrame, inputs: Inputs) -> list:
 
 def fit_classifier(
     df: DataFrame, inputs: Inputs = Inputs(), *, label: str = LABEL, trees: int = 20,
-    depth: int = 5, seed: int = 42,
+    depth: int = 5, seed: int = 42, partitions: int | None = None,
 ) -> PipelineModel:
     """Random forest over indexed categories and numbers."""
-    rows = training_rows(df, inputs, label)
-    stages = category_stages(rows, inputs)
+    rows = training_rows(df, inputs, label, partitions)
+    stages = category_stages(inputs)
     prepared = Pipeline(stages=stages).fit(rows)
     # A split must be able to tell all categories of a column apart.
     bins = max(32, *[len(values) + 1 for values in prepared.stages[-1].labelsArray])
@@ -147,7 +145,7 @@ def fit_regressor(
         if kind == "boosted"
         else LinearRegression(**columns, regParam=0.01, maxIter=50)
     )
-    return Pipeline(stages=[*category_stages(rows, inputs), encoder, assembler, model]).fit(rows)
+    return Pipeline(stages=[*category_stages(inputs), encoder, assembler, model]).fit(rows)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -164,15 +162,19 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def score_day(model: PipelineModel, spark: SparkSession, requests: str, results: str, day: str) -> None:
-    """Score one day of stored requests and replace that day's results."""
-    scored = predict(model, read_day(spark, requests, day))
+    """Score one day of stored requests and replace that day's results; a day without any adds none."""
+    scored = predict(model, read_day(spark, requests, day, STORED_REQUESTS))
     write_days(scored, results, "ds")
 
 
 def repeated_evaluation(
     df: DataFrame, seeds: Sequence[int], inputs: Inputs = Inputs(), share: float = 0.8, **options
 ) -> tuple[DataFrame, list[PipelineModel]]:
-    """Metrics of one split per seed as rows (run, metric, score), and the fitted models."""
+    """Metrics of one split per seed as rows (run, metric, score), and the fitted models.
+
+    The rows are stored once; every split reads what is stored.
+    """
+    df = checkpointed(df)
     tables, models = [], []
     for seed in seeds:
         train, test = split_by_hash(df, share, seed)
@@ -186,6 +188,14 @@ def repeated_evaluation(
     return out, models
 
 
+def importance_deltas(spark: SparkSession, models: Sequence[PipelineModel], previous: Sequence[PipelineModel]) -> DataFrame:
+    """Mean importances over all splits and their change against those of the previous run."""
+    before = importances(spark, previous).select("feature", F.col("importance").alias("_before"))
+    return importances(spark, models).join(before, "feature", "left").select(
+        "feature", "importance", (F.col("importance") - F.coalesce("_before", "importance")).alias("delta")
+    )
+
+
 def importances(spark: SparkSession, models: Sequence[PipelineModel]) -> DataFrame:
     """Mean importance of every feature over the models, largest first."""
     rows = [

@@ -87,59 +87,21 @@ def offsets(start: int, end: int, size: int) -> dict[str, tuple[int, int]]:
     }
 
 
-def exact_percentile(
-    df: DataFrame, value: str, q: float, *, in_memory: int = 100_000, accuracy: int = 10_000
-) -> float | None:
-    """Interpolated percentile, exact whatever the number of rows.
-
-    Each round encloses the wanted ranks between two approximate percentiles and counts what
-    lies below; only when few rows are left between the bounds are these sorted in one place.
-    Nothing is shuffled but a sketch and a few counts.
+def exact_percentile(df: DataFrame, value: str, q: float) -> float | None:
+    """Interpolated percentile, exact whatever the number of rows; None without values.
+
+    The values are range-partitioned once and numbered; the two wanted ranks are looked up.
+    ``percentile_approx`` is the cheaper choice where a bounded error in rank will do.
     """
     x = F.col(value).cast("double")
-    rows = df.where(x.isNotNull()).select(x.alias("x"))
-    n = rows.count()
+    numbered = number_rows(df.where(x.isNotNull()).select(x.alias("x")), [], ["x"], "i")
+    n = numbered.count()
     if n == 0:
         return None
     wanted = (n - 1) * q
-    first, last = math.floor(wanted), math.ceil(wanted)
-    inside, below, size = rows, 0, n
-    while size > in_memory:
-        margin = 2.0 / accuracy
-        bounds = [(first - below) / size - margin, (last - below + 1) / size + margin]
-        low, high = inside.agg(
-            F.percentile_approx("x", [min(max(b, 0.0), 1.0) for b in bounds], accuracy).alias("b")
-        ).first()["b"]
-        narrowed = inside.where(F.col("x").between(low, high))
-        row = inside.agg(
-            F.count_if(F.col("x") < low).alias("below"),
-            F.count_if(F.col("x").between(low, high)).alias("size"),
-        ).first()
-        if low == high:
-            return float(low)
-        if row["size"] == size:
-            # A few values make up nearly everything: their counts settle the ranks.
-            break
-        inside, below, size = narrowed, below + row["below"], row["size"]
-    if size <= in_memory:
-        values = sorted(r["x"] for r in inside.collect())
-        pick = lambda rank: values[rank - below]
-    else:
-        pick = lambda rank: _value_at(inside, rank - below)
-    a, b = pick(first), pick(last)
-    return a + (b - a) * (wanted - first)
-
-
-def _value_at(rows: DataFrame, rank: int) -> float:
-    """The value at a rank, found by numbering the distinct values' counts in order."""
-    counts = rows.groupBy("x").agg(F.count("*").alias("n"))
-    placed = number_rows(counts, [], ["x"], "i")
-    lo, hi = 1, placed.count()
-    while lo < hi:
-        middle = (lo + hi) // 2
-        covered = placed.where(F.col("i") <= middle).agg(F.sum("n").alias("s")).first()["s"]
-        lo, hi = (lo, middle) if covered > rank else (middle + 1, hi)
-    return placed.where(F.col("i") == lo).first()["x"]
+    first, last = math.floor(wanted) + 1, math.ceil(wanted) + 1
+    pair = numbered.where(F.col("i").isin(first, last)).agg(F.min("x").alias("a"), F.max("x").alias("b")).first()
+    return pair["a"] + (pair["b"] - pair["a"]) * (wanted + 1 - first)
 
 
 def index_by_frequency(df: DataFrame, column: str) -> DataFrame:

@@ -16,6 +16,12 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
+def sample_top(df: DataFrame, share: float, order: Sequence[str], k: int, seed: int) -> DataFrame:
+    """The first ``k`` rows, by ``order``, of a sample that depends on the rows and the seed alone."""
+    draw = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1_000_000))
+    return df.where(draw < round(share * 1_000_000)).orderBy(*order).limit(k)
+
+
 def top_by_count(df: DataFrame, keys: Sequence[str], k: int, name: str = "n") -> DataFrame:
     """The ``k`` most frequent keys; ties go to the smaller key."""
     return count_by(df, keys, name).orderBy(F.desc(name), *keys).limit(k)

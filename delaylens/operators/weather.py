@@ -47,7 +47,11 @@ def flight_weather(
     *, place: str = "Airport", station: str = "WBAN_ID", observed_station: str = "WBAN",
     observed_at: str = "Datetime", mode: str = "nearest", how: str = "inner",
 ) -> DataFrame:
-    """Flights with the observation nearest to departure and the one nearest to arrival."""
+    """Flights with the observation nearest to departure and the one nearest to arrival.
+
+    Flights share few instants: the distinct pairs of station and instant of both ends are
+    matched once, and their observations joined back to either end.
+    """
     out = both_ends(
         scheduled_ends(flights), stations, place, station,
         {"Origin": "Origin_Station", "Dest": "Dest_Station"},
@@ -56,9 +60,16 @@ def flight_weather(
         ("Origin_Station", "CRSDepDatetime", "DepObservation"),
         ("Dest_Station", "CRSArrDatetime", "ArrObservation"),
     )
+    asked = out.select(F.explode(F.array(*(
+        F.struct(F.col(end).alias("_end"), F.col(at).alias("_instant")) for end, at, _ in ends
+    ))).alias("p")).select("p.*").where("_end IS NOT NULL AND _instant IS NOT NULL").distinct()
+    matched = nearest_observation(
+        asked, observations, station="_end", at="_instant", observed_station=observed_station,
+        observed_at=observed_at, measures=measures, name="_observation", mode=mode,
+    )
+    columns = list(out.columns)
     for end, at, name in ends:
-        out = nearest_observation(
-            out, observations, station=end, at=at, observed_station=observed_station,
-            observed_at=observed_at, measures=measures, name=name, mode=mode, how=how,
-        )
-    return out
+        side = matched.select(F.col("_end").alias(f"_{end}"), F.col("_instant").alias(f"_{at}"), F.col("_observation").alias(name))
+        out = out.join(side, (F.col(end) == F.col(f"_{end}")) & (F.col(at) == F.col(f"_{at}")), how)
+        columns.append(name)
+    return out.select(*columns)

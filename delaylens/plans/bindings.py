@@ -1,7 +1,8 @@
 """The roles of the operators' inputs, derived from the given tables, in Spark and in SQL.
 
 ``flights`` is lineitem with its order, customer and supplier. A caller names the columns it
-needs: foreign keys always match, so tables that contribute no column are not joined.
+needs. Contract: every foreign key matches exactly one row, so tables that contribute no column
+are not joined; a test compares this with the full join.
 """
 
 from __future__ import annotations
@@ -111,7 +112,7 @@ def flights_sql() -> str:
         JOIN nation cu ON c_nationkey = cu.n_nationkey))"""
 
 
-# Registry of airplanes: parts; small sizes are airplanes the registry does not know.
+# Registry of airplanes: parts.
 _AIRPLANES = """
     concat('N', CAST(p_partkey AS {text})) AS TailNum, p_brand AS Manufacturer, p_type AS Model,
     p_name AS Owner, CAST(p_size AS {text}) AS ManufacturerYear,
@@ -121,11 +122,19 @@ _AIRPLANES = """
 
 
 def airplanes(spark: SparkSession, folder: str) -> DataFrame:
-    parts = table(spark, folder, "part").where("p_size > 10")
+    parts = table(spark, folder, "part")
     return parts.select(F.expr(f"struct({_AIRPLANES.format(text='STRING')})").alias("a")).select("a.*")
 
 
-AIRPLANES_SQL = f"airplanes AS (SELECT {_AIRPLANES.format(text='VARCHAR')} FROM part WHERE p_size > 10)"
+AIRPLANES_SQL = f"airplanes AS (SELECT {_AIRPLANES.format(text='VARCHAR')} FROM part)"
+
+
+def known_airplanes(spark: SparkSession, folder: str) -> DataFrame:
+    """A registry that lacks the parts of small size, for joins that must meet unknown airplanes."""
+    return airplanes(spark, folder).where("CAST(ManufacturerYear AS INT) > 10")
+
+
+KNOWN_AIRPLANES_SQL = AIRPLANES_SQL.replace("FROM part)", "FROM part WHERE p_size > 10)")
 
 
 def carriers(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,14 +194,25 @@ STATIONS_SQL = f"""stations AS (SELECT s_suppkey AS WBAN_ID, s_name AS STATION_N
 
 
 def observations(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "events").where("event_type = 'view'")
-    return rows.select(
+    return _observed(table(spark, folder, "events"))
+
+
+def _observed(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("user_id").alias("station"), F.col("ts").alias("observed_at"), "event_id", "value"
     )
 
 
 OBSERVATIONS_SQL = """observations AS (SELECT user_id AS station, ts AS observed_at, event_id, value
-    FROM events WHERE event_type = 'view')"""
+    FROM events)"""
+
+
+def views(spark: SparkSession, folder: str) -> DataFrame:
+    """Observations of one kind of event, to be matched with events of another kind."""
+    return _observed(table(spark, folder, "events").where("event_type = 'view'"))
+
+
+VIEWS_SQL = OBSERVATIONS_SQL.replace("FROM events)", "FROM events WHERE event_type = 'view')")
 
 
 def departures(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,7 +235,7 @@ _REQUEST = """
 def _as_requests(events: DataFrame) -> DataFrame:
     names = ", ".join(f"'{c}'" for c in CARRIERS)
     columns = _REQUEST.format(text="STRING", carrier=f"array({names})[CAST(event_id % 5 AS INT)]", at="Timestamp")
-    return events.where("event_type = 'signup'").select(F.expr(f"struct({columns})").alias("r")).select("r.*")
+    return events.select(F.expr(f"struct({columns})").alias("r")).select("r.*")
 
 
 def requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -226,17 +246,17 @@ def requests(spark: SparkSession, folder: str) -> DataFrame:
 REQUESTS_SQL = "requests AS (SELECT " + _REQUEST.format(
     text="VARCHAR", at='"Timestamp"',
     carrier="[" + ", ".join(f"'{c}'" for c in CARRIERS) + "][CAST(event_id % 5 AS INT) + 1]",
-) + " FROM events WHERE event_type = 'signup')"
+) + " FROM events)"
 
 
 def responses(spark: SparkSession, folder: str) -> DataFrame:
     """Answers exist for the requests of a certain value."""
-    rows = table(spark, folder, "events").where("event_type = 'signup' AND value >= 20")
+    rows = table(spark, folder, "events").where("value >= 20")
     return rows.selectExpr("CAST(event_id AS STRING) AS UUID", "CAST(event_id % 4 AS DOUBLE) AS Prediction")
 
 
 RESPONSES_SQL = """responses AS (SELECT CAST(event_id AS VARCHAR) AS UUID,
-    CAST(event_id % 4 AS DOUBLE) AS Prediction FROM events WHERE event_type = 'signup' AND value >= 20)"""
+    CAST(event_id % 4 AS DOUBLE) AS Prediction FROM events WHERE value >= 20)"""
 
 
 def _complete(asked: DataFrame) -> DataFrame:

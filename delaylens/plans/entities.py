@@ -1,5 +1,8 @@
 """Joins, entity documents, name resolution, nearest neighbours, look-ups."""
 
+from datetime import date
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from delaylens.functions.geodesy import ROUNDS, SEMI_MAJOR, SEMI_MINOR, FLATTENING, TOLERANCE
@@ -14,12 +17,12 @@ from delaylens.plans.summaries import FLIGHTS, SCHEDULED_SQL
 # ---- joins
 
 
-@query(f"""WITH {FLIGHTS}, {b.AIRPLANES_SQL}, t AS (SELECT DISTINCT TailNum FROM flights WHERE TailNum <> '')
+@query(f"""WITH {FLIGHTS}, {b.KNOWN_AIRPLANES_SQL}, t AS (SELECT DISTINCT TailNum FROM flights WHERE TailNum <> '')
     SELECT count(a.TailNum) AS hits, count(*) AS total, round(count(a.TailNum) / count(*) * 100, 2) AS pct_hits
     FROM t LEFT JOIN airplanes a USING (TailNum)""")
 def join_coverage(spark, folder):
     tails = b.flights(spark, folder, "TailNum").where("TailNum <> ''").distinct()
-    return joins.coverage(tails, b.airplanes(spark, folder), "TailNum")
+    return joins.coverage(tails, b.known_airplanes(spark, folder), "TailNum")
 
 
 @query(f"WITH {b.CARRIERS_SQL}, {FLIGHTS} SELECT DISTINCT Carrier, code, name FROM flights JOIN carriers USING (Carrier)")
@@ -104,20 +107,49 @@ def fleet_per_carrier(spark, folder):
     )
 
 
-@query(f"""{_FLEETS} SELECT Carrier, code, name, fleet_count, raw_count, (SELECT string_agg(TailNum, ' ' ORDER BY TailNum)
-    FROM p WHERE p.Carrier = c.Carrier AND TailNum <> '') AS fleet FROM c LEFT JOIN carriers USING (Carrier)""")
+def _airline_page(size: int) -> str:
+    """The SQL for fleets in parts of ``size`` members."""
+    return f"""{_FLEETS}, n AS (SELECT *, row_number() OVER (PARTITION BY Carrier ORDER BY TailNum) AS i FROM p WHERE TailNum <> ''),
+        f AS (SELECT Carrier, CAST((i - 1) // {size} AS BIGINT) AS part, string_agg(TailNum, ' ' ORDER BY TailNum) AS fleet
+            FROM n GROUP BY 1, 2)
+        SELECT Carrier, code, name, coalesce(part, 0) AS part, fleet_count, raw_count, fleet
+        FROM c LEFT JOIN f USING (Carrier) LEFT JOIN carriers USING (Carrier)"""
+
+
+@query(_airline_page(documents.PART_SIZE))
 def airline_page(spark, folder):
-    fleets = documents.fleets(b.flights(spark, folder, "Carrier", "TailNum"))
+    return _page(spark, folder, documents.PART_SIZE)
+
+
+@query(_airline_page(10))
+def airline_page_in_parts(spark, folder):
+    return _page(spark, folder, 10)
+
+
+def _page(spark, folder, size):
+    fleets = documents.fleets(b.flights(spark, folder, "Carrier", "TailNum"), part_size=size)
     page = lookup.carrier_page(fleets, b.carriers(spark, folder))
     return page.select(
-        "Carrier", "code", "name", "fleet_count", "raw_count", F.array_join("members", " ").alias("fleet")
+        "Carrier", "code", "name", "part", "fleet_count", "raw_count", F.array_join("members", " ").alias("fleet")
     )
 
 
-@query("SELECT conv_id, string_agg(role, ', ' ORDER BY role) AS titles FROM conversations GROUP BY conv_id")
+def _titles(size: int) -> str:
+    return f"""WITH n AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY role) AS i FROM conversations)
+        SELECT conv_id, CAST((i - 1) // {size} AS BIGINT) AS part, string_agg(role, ', ' ORDER BY role) AS titles
+        FROM n GROUP BY 1, 2"""
+
+
+@query(_titles(documents.PART_SIZE))
 def concat_titles(spark, folder):
     rows = b.table(spark, folder, "conversations").select("conv_id", "role")
-    return documents.joined_texts(rows, "conv_id", "role", "titles").select("conv_id", "titles")
+    return documents.joined_texts(rows, "conv_id", "role", "titles")
+
+
+@query(_titles(2))
+def concat_titles_in_parts(spark, folder):
+    rows = b.table(spark, folder, "conversations").select("conv_id", "role")
+    return documents.joined_texts(rows, "conv_id", "role", "titles", part_size=2)
 
 
 _BY_DAY = """SELECT station, CAST(observed_at AS DATE) AS date, CAST(row_number() OVER (PARTITION BY station,
@@ -145,18 +177,15 @@ def station_day_lookup(spark, folder):
     return documents.unfold(docs, ["station", "date"], "observations")
 
 
-@query(f"""WITH {b.OBSERVATIONS_SQL}, {b.STATIONS_SQL}, d AS (SELECT station, CAST(observed_at AS DATE) AS date,
-    count(*) AS n FROM observations GROUP BY 1, 2) SELECT station, date, STATION_NAME AS name,
-    COUNTRY AS country, LOCATION AS location, CAST(n AS INT) AS n FROM d JOIN stations ON station = WBAN_ID""")
+@query(f"""WITH {b.OBSERVATIONS_SQL}, {b.STATIONS_SQL} SELECT station, CAST(observed_at AS DATE) AS date, STATION_NAME AS name,
+    COUNTRY AS country, LOCATION AS location, observed_at, event_id, value FROM observations JOIN stations ON station = WBAN_ID""")
 def station_day_profile(spark, folder):
     profiles = b.stations(spark, folder).withColumnRenamed("WBAN_ID", "station")
     fields = ["STATION_NAME", "COUNTRY", "LOCATION"]
     joined = documents.with_profile(_by_day(spark, folder), profiles, "station", fields)
-    return joined.groupBy("station", "date", "profile").agg(
-        F.sum(F.size("observations")).cast("int").alias("n")
-    ).select(
-        "station", "date", F.col("profile.STATION_NAME").alias("name"),
-        F.col("profile.COUNTRY").alias("country"), F.col("profile.LOCATION").alias("location"), "n",
+    return joined.select("station", "date", "part", "profile", F.explode("observations").alias("o")).select(
+        "station", "date", F.col("profile.STATION_NAME").alias("name"), F.col("profile.COUNTRY").alias("country"),
+        F.col("profile.LOCATION").alias("location"), "o.observed_at", "o.event_id", "o.value",
     )
 
 
@@ -231,14 +260,14 @@ _SAME_DAY = """FROM departures d JOIN observations o
     ON d.station = o.station AND CAST(d.departs AS DATE) = CAST(o.observed_at AS DATE)"""
 
 
-@query(f"""WITH {b.OBSERVATIONS_SQL}, {b.DEPARTURES_SQL} SELECT flight_id, d.station AS station, departs, observed_at, event_id, value
+@query(f"""WITH {b.VIEWS_SQL}, {b.DEPARTURES_SQL} SELECT flight_id, d.station AS station, departs, observed_at, event_id, value
     {_SAME_DAY} QUALIFY row_number() OVER (PARTITION BY flight_id
     ORDER BY abs(epoch_us(departs) - epoch_us(observed_at)), observed_at, event_id) = 1""")
 def nearest_observation(spark, folder):
     return _observed(spark, folder, "nearest")
 
 
-@query(f"""WITH {b.OBSERVATIONS_SQL}, {b.DEPARTURES_SQL} SELECT flight_id, d.station AS station, departs, observed_at, event_id, value
+@query(f"""WITH {b.VIEWS_SQL}, {b.DEPARTURES_SQL} SELECT flight_id, d.station AS station, departs, observed_at, event_id, value
     {_SAME_DAY} QUALIFY row_number() OVER (PARTITION BY flight_id ORDER BY observed_at DESC, event_id) = 1""")
 def last_observation_of_day(spark, folder):
     return _observed(spark, folder, "last")
@@ -246,7 +275,7 @@ def last_observation_of_day(spark, folder):
 
 def _observed(spark, folder, mode):
     matched = nearest(
-        b.departures(spark, folder), b.observations(spark, folder), station="station", at="departs",
+        b.departures(spark, folder), b.views(spark, folder), station="station", at="departs",
         observed_station="station", observed_at="observed_at", measures=["event_id", "value"], mode=mode,
     )
     return matched.select(
@@ -295,18 +324,36 @@ _TIES = ["CRSDepTime", "CRSArrTime", "Carrier", "FlightNum", "TailNum", "DepDela
 _SQL_TIES = ", ".join(f"{c} NULLS FIRST" for c in _TIES)
 
 
-@query(f"""WITH {FLIGHTS} SELECT {', '.join(_ROW)} FROM flights WHERE Carrier = '5-LOW' AND FlightNum = '8'
-    ORDER BY FlightDate, {_SQL_TIES} LIMIT 1""")
+# Flights and route days that exist at one of the scales each.
+_FLIGHTS_ASKED = (("2000-04-08", "8"), ("1995-06-20", "8"), ("1997-11-04", "8"))
+_ROUTE_DAYS = (
+    ("NATION_8", "NATION_17", "2000-01-15"), ("NATION_6", "NATION_16", "2001-05-27"),
+    ("NATION_5", "NATION_16", "1999-07-15"),
+)
+
+
+@query(f"WITH {FLIGHTS} " + " UNION ALL ".join(f"""(SELECT {', '.join(_ROW)} FROM flights WHERE Carrier = '5-LOW'
+    AND FlightDate = DATE '{day}' AND FlightNum = '{number}' ORDER BY {_SQL_TIES} LIMIT 1)""" for day, number in _FLIGHTS_ASKED))
 def flight_lookup(spark, folder):
-    values = {"Carrier": "5-LOW", "FlightNum": "8"}
-    return lookup.one(b.flights(spark, folder, *_ROW), values, ["FlightDate", *_TIES])
+    flights = b.flights(spark, folder, *_ROW)
+    found = [
+        lookup.one(flights, {"Carrier": "5-LOW", "FlightDate": date.fromisoformat(day), "FlightNum": number}, _TIES)
+        for day, number in _FLIGHTS_ASKED
+    ]
+    return reduce(lambda a, b: a.unionByName(b), found)
 
 
-@query(f"""WITH {FLIGHTS}, f AS (SELECT {', '.join(_ROW)} FROM flights WHERE Origin = 'NATION_3' AND Dest = 'NATION_5')
-    SELECT *, (SELECT count(*) FROM f) AS total FROM f ORDER BY {_SQL_TIES}, FlightDate LIMIT 20 OFFSET 20""")
+@query(f"WITH {FLIGHTS} " + " UNION ALL ".join(f"""(SELECT {', '.join(_ROW)}, count(*) OVER () AS total FROM flights
+    WHERE Origin = '{origin}' AND Dest = '{dest}' AND FlightDate = DATE '{day}' ORDER BY {_SQL_TIES} LIMIT 20)"""
+    for origin, dest, day in _ROUTE_DAYS))
 def route_day_page(spark, folder):
-    found = lookup.matching(b.flights(spark, folder, *_ROW), {"Origin": "NATION_3", "Dest": "NATION_5", "FlightDate": None})
-    return lookup.paged(found, [*_TIES, "FlightDate"], 20, 40)
+    """First pages of the flights of a route on a day, by departure and arrival time."""
+    flights = b.flights(spark, folder, *_ROW)
+    pages = [
+        lookup.search(flights, {"Origin": origin, "Dest": dest, "FlightDate": date.fromisoformat(day)}, _TIES)
+        for origin, dest, day in _ROUTE_DAYS
+    ]
+    return reduce(lambda a, b: a.unionByName(b), pages)
 
 
 @query(f"""WITH {FLIGHTS}, f AS (SELECT {', '.join(_ROW)} FROM flights WHERE Carrier = '1-URGENT' AND Origin = 'NATION_3')

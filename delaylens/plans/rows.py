@@ -87,9 +87,41 @@ def suffix_filter(spark, folder):
     return b.table(spark, folder, "part").select("p_partkey", "p_name").where(F.col("p_name").endswith("ring"))
 
 
-@query()
+@query(f"WITH {FLIGHTS} SELECT CAST(count(*) AS BIGINT) AS total, true AS near_a_tenth, true AS all_are_flights FROM flights")
 def sample_rows(spark, folder):
-    return b.flights(spark, folder, "FlightNum", "DepDelay", "ArrDelay").sample(False, 0.1, seed=7)
+    """A tenth of the flights, drawn row by row: how many rows it has is checked, not which."""
+    flights = b.flights(spark, folder, "FlightNum", "DepDelay", "ArrDelay")
+    drawn = flights.sample(False, 0.1, seed=7).agg(
+        F.count("*").alias("n"), F.count_if(F.col("FlightNum").isNull()).alias("strange")
+    )
+    found = flights.agg(F.count("*").alias("total")).withColumns(
+        {"n": drawn.select("n").scalar(), "strange": drawn.select("strange").scalar()}
+    )
+    # Five standard deviations of a draw of a tenth.
+    near = F.abs(F.col("n") - F.col("total") / 10) <= 5 * F.sqrt(F.col("total") * 0.09)
+    return found.select("total", near.alias("near_a_tenth"), (F.col("strange") == 0).alias("all_are_flights"))
+
+
+@query(f"""WITH {FLIGHTS} SELECT 10 AS shown, true AS sorted, true AS drawn_from_flights FROM flights LIMIT 1""")
+def sample_top_rows(spark, folder):
+    """The first rows, in order, of a seeded sample; the same rows on every run."""
+    flights = b.flights(spark, folder, "FlightNum", "FlightDate", "DepDelay")
+    top = summary.sample_top(flights, 0.05, ["FlightDate", "FlightNum", "DepDelay"], 10, seed=7)
+    rows = top.agg(F.count("*").cast("int").alias("shown"), F.collect_list("FlightDate").alias("d"))
+    return rows.select(
+        "shown", (F.array_sort("d") == F.col("d")).alias("sorted"), (F.size("d") == F.col("shown")).alias("drawn_from_flights")
+    )
+
+
+_PREPARED = """SELECT a.Manufacturer, count(*) AS flights, count(DISTINCT f.Origin) AS origins
+    FROM flights f JOIN airplanes a ON f.TailNum = a.TailNum GROUP BY a.Manufacturer"""
+
+
+@query(f"WITH {FLIGHTS}, {b.AIRPLANES_SQL} {_PREPARED}")
+def sql_over_views(spark, folder):
+    """One SQL text over the prepared tables."""
+    flights, planes = b.flights(spark, folder, "TailNum", "Origin"), b.airplanes(spark, folder)
+    return readers.run_sql(spark, _PREPARED, flights=flights, airplanes=planes)
 
 
 @query(f"WITH {FLIGHTS}, {SCHEDULED_SQL} SELECT FlightNum, dep, CASE WHEN arr < dep THEN arr + INTERVAL 1 DAY ELSE arr END AS arr FROM scheduled")

@@ -19,8 +19,10 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Give the session the settings it lacks; only the time zone is always UTC."""
+    given = spark.conf.getAll
     for key, value in SETTINGS.items():
-        if spark.conf.get(key, None) != value:
+        if key not in given or key == "spark.sql.session.timeZone" and given[key] != value:
             spark.conf.set(key, value)
     return spark
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,6 +79,23 @@ REQUESTS = T.StructType([
     T.StructField("Timestamp", T.TimestampType()),
 ])
 STREAM_REQUESTS = T.StructType(REQUESTS.fields + [T.StructField("UUID", T.StringType())])
+# Requests as ``write_days`` stores them: the day is the partition.
+STORED_REQUESTS = T.StructType(STREAM_REQUESTS.fields + [T.StructField("ds", T.DateType())])
+STORED_RESULTS = T.StructType(
+    STREAM_REQUESTS.fields + [T.StructField("Prediction", T.DoubleType()), T.StructField("ds", T.DateType())]
+)
+# The on-time table: text columns, and those that are numbers once cast.
+ON_TIME_TEXTS = (
+    "Year", "Quarter", "Month", "DayofMonth", "DayOfWeek", "FlightDate", "Carrier", "TailNum", "FlightNum",
+    "Origin", "OriginCityName", "OriginState", "Dest", "DestCityName", "DestState", "DepTime", "WheelsOff",
+    "WheelsOn", "ArrTime", "CRSDepTime", "CRSArrTime",
+)
+ON_TIME_FLOATS = (
+    "DepDelay", "TaxiOut", "TaxiIn", "ArrDelay", "ArrDelayMinutes", "ActualElapsedTime", "AirTime", "Distance",
+    "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay", "LateAircraftDelay",
+)
+ON_TIME_WHOLE = ("DepDelayMinutes", "Cancelled", "Diverted", "Flights")
+ON_TIME = _strings(*ON_TIME_TEXTS, *ON_TIME_FLOATS, *ON_TIME_WHOLE)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -142,6 +160,29 @@ def parse_json(df: DataFrame, text: str, schema: T.StructType | str) -> DataFram
     return parsed.select(*others, "_json.*")
 
 
+def run_sql(spark: SparkSession, text: str, **tables: DataFrame) -> DataFrame:
+    """Run one SQL text over the given tables, each a view under its name for this statement only."""
+    names = {name: f"{name}_{uuid.uuid4().hex}" for name in tables}
+    for name, df in tables.items():
+        df.createOrReplaceTempView(names[name])
+    views = ", ".join(f"{name} AS (SELECT * FROM {view})" for name, view in names.items())
+    try:
+        return spark.sql(f"WITH {views} {text}")
+    finally:
+        for view in names.values():
+            spark.catalog.dropTempView(view)
+
+
+def cast_on_time(df: DataFrame) -> DataFrame:
+    """The on-time table with its 17 numeric columns cast; a text that is no number becomes NULL.
+
+    A whole number may be written with decimals ("1.00").
+    """
+    floats = {c: F.expr(f"try_cast({c} AS FLOAT)") for c in ON_TIME_FLOATS}
+    whole = {c: F.expr(f"cast(try_cast({c} AS DOUBLE) AS INT)") for c in ON_TIME_WHOLE}
+    return df.withColumns({**floats, **whole})
+
+
 def day_slice(df: DataFrame, at: str, day: str | dt.date) -> DataFrame:
     """Rows of one UTC day by a half-open range on the instant, which reaches the scan."""
     start = day if isinstance(day, dt.date) else dt.date.fromisoformat(day)
@@ -151,18 +192,25 @@ def day_slice(df: DataFrame, at: str, day: str | dt.date) -> DataFrame:
     )
 
 
-def iso_day_slice(df: DataFrame, iso_text: str, day: str) -> DataFrame:
+def iso_day_slice(df: DataFrame, iso_text: str, day: str, at: str | None = None) -> DataFrame:
     """Rows whose ISO text lies between a day and the next, both bounds included.
 
     The comparison is between texts: the bare text of the next day belongs to the slice, an
-    instant within the next day does not.
+    instant within the next day does not. ``at`` names the instant that the text stands for; a
+    range on it, which the texts imply, then reaches the scan.
     """
     tomorrow = (dt.date.fromisoformat(day) + dt.timedelta(days=1)).isoformat()
+    if at is not None:
+        end = dt.date.fromisoformat(tomorrow)
+        df = df.where((F.col(at) >= _midnight(df, at, dt.date.fromisoformat(day))) & (F.col(at) <= _midnight(df, at, end)))
     return df.where(F.col(iso_text).between(day, tomorrow))
 
 
 def read_day(spark: SparkSession, root: str, day: str, schema: T.StructType | None = None) -> DataFrame:
-    """One day of a table written by ``write_days``; other days are pruned before the scan."""
+    """One day of a table written by ``write_days``; other days are pruned before the scan.
+
+    With a schema, a store without a single day gives no rows.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(root).where(F.col("ds") == F.lit(day).cast("date"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from delaylens.operators.models import predict
+from delaylens.session import checkpointed
 from delaylens.sources.readers import CORRUPT, STREAM_REQUESTS
 
 
@@ -40,7 +42,8 @@ def unreadable(parsed: DataFrame) -> DataFrame:
 
 
 def deduplicated(stream: DataFrame, key: str = "UUID", at: str = "Timestamp", delay: str = "10 minutes") -> DataFrame:
-    """Each key once within the delay: delivery is at least once, answers should not repeat."""
+    """Each key once within the delay. Rows later than the delay are lost; ``write_answers`` keeps
+    them and still stores each key once."""
     return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark([key])
 
 
@@ -62,10 +65,53 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, interval: str |
     return writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
 
 
+def write_answers(
+    stream: DataFrame, path: str, checkpoint: str, key: str = "UUID", at: str = "Timestamp",
+    interval: str | None = "10 seconds",
+) -> DataStreamWriter:
+    """Store one answer per key by day (``ds``), however late or often its request comes.
+
+    A batch is reduced to one row per key and leaves out keys that an earlier batch answered on
+    the same days. A batch that is run again replaces what it wrote. No state is kept, so nothing
+    is too late.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        row = F.struct(*[F.col(c) for c in batch.columns])
+        once = batch.groupBy(F.col(key).alias("_key")).agg(F.min(row).alias("r")).select("r.*")
+        once = once.withColumns({"ds": F.to_date(at), "batch_id": F.lit(batch_id)})
+        days = once.select("ds").distinct()
+        stored = T.StructType([*once.schema.fields])
+        earlier = spark.read.schema(stored).parquet(path) if _exists(spark, path) else spark.createDataFrame([], stored)
+        answered = earlier.where(F.col("batch_id") < batch_id).join(days, "ds", "left_semi").select(key)
+        fresh = checkpointed(once.join(answered, key, "left_anti").select(*once.columns))
+        (
+            fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("ds", "batch_id").parquet(path)
+        )
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException:
+        return False
+    return True
+
+
 def write_console(stream: DataFrame, checkpoint: str) -> DataStreamWriter:
     return stream.writeStream.format("console").option("checkpointLocation", checkpoint)
 
 
 def score(model: PipelineModel, messages: DataFrame, schema: T.StructType = STREAM_REQUESTS) -> DataFrame:
-    """Parsed, deduplicated and scored requests; the model is the one used for daily batches."""
-    return predict(model, deduplicated(readable(parse(messages, schema))))
+    """Parsed and scored requests; the model is the one used for daily batches.
+
+    Without state: repeated requests are answered alike, and ``write_answers`` stores one answer.
+    """
+    return predict(model, readable(parse(messages, schema)))

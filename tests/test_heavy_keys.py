@@ -61,14 +61,14 @@ def test_exact_percentile(spark, q):
     values = [rng.choice([7.0, rng.gauss(0, 9)]) for _ in range(5001)]
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
     expected = df.agg(F.percentile("v", q).alias("p")).first().p
-    assert exact_percentile(df, "v", q, in_memory=300, accuracy=50) == pytest.approx(expected)
+    assert exact_percentile(df, "v", q) == pytest.approx(expected)
     if q == 0.5:
         assert expected == pytest.approx(statistics.median(values))
 
 
 def test_exact_percentile_of_few_values(spark):
     df = spark.createDataFrame([(float(i % 2),) for i in range(1000)] + [(None,)], "v double")
-    assert exact_percentile(df, "v", 0.5, in_memory=10, accuracy=20) == 0.5
+    assert exact_percentile(df, "v", 0.5) == 0.5
     assert exact_percentile(df.where("v > 5"), "v", 0.5) is None
 
 

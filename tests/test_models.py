@@ -1,7 +1,9 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
-from delaylens.operators import experiments, models
+from delaylens.operators import experiments, features, models
 from delaylens.plans import models as bound
 from delaylens.sources import readers, writers
 from delaylens.streaming import scoring
@@ -26,11 +28,11 @@ def test_unseen_categories_are_scored(spark, folder, fitted):
     assert models.predict(fitted, asked).where("Prediction IS NOT NULL").count() == 3
 
 
-def test_many_categories_are_hashed(spark, folder):
-    inputs = models.Inputs(max_categories=40)
+def test_declared_categories_are_hashed(spark, folder):
+    inputs = models.Inputs(hashed={"Route": 40})
     fitted = models.fit_classifier(bound._labelled(spark, folder), inputs, trees=2, depth=2)
     sizes = dict(zip(inputs.categorical, map(len, fitted.stages[1].labelsArray)))
-    assert sizes["DayOfYear"] <= 40 and sizes["Route"] <= 40 and sizes["Carrier"] == 5
+    assert sizes["DayOfYear"] > 300 and sizes["Route"] <= 40 and sizes["Carrier"] == 5
     assert models.predict(fitted, b.request_features(spark, folder)).count() > 0
 
 
@@ -46,7 +48,7 @@ def test_day_and_stream_give_the_same_predictions(spark, folder, fitted, tmp_pat
     writers.write_text(messages, str(tmp_path / "messages"))
     stream = scoring.score(fitted, scoring.message_files(spark, str(tmp_path / "messages")))
     for _ in range(2):
-        writer = scoring.write_batches(stream, str(tmp_path / "out"), str(tmp_path / "state"), interval=None)
+        writer = scoring.write_answers(stream, str(tmp_path / "out"), str(tmp_path / "state"), interval=None)
         writer.start().awaitTermination()
     streamed = spark.read.parquet(str(tmp_path / "out"))
     batch = {r.UUID: r.Prediction for r in stored.collect()}
@@ -88,11 +90,67 @@ def test_boosted_and_linear_regression(spark, folder):
 def test_experiment_log(spark, tmp_path):
     scores = spark.createDataFrame([("f1", 0.5), ("f1", 0.7), ("accuracy", 1.0)], "metric string, score double")
     better = spark.createDataFrame([("f1", 0.9), ("accuracy", 1.0)], "metric string, score double")
-    for run, table in (("1", scores), ("2", better)):
-        experiments.append_run(experiments.summarize(table), str(tmp_path / "log"), run)
+    for run in (*range(1, 12), 12, 12):
+        experiments.append_run(experiments.summarize(better if run == 12 else scores), str(tmp_path / "log"), run)
     log = experiments.run_deltas(experiments.read_log(spark, str(tmp_path / "log")), score="average")
     found = {(r.run, r.metric): r.delta for r in log.collect()}
-    assert found[("1", "f1")] == 0 and found[("2", "f1")] == pytest.approx(0.3)
+    assert len(found) == 24 == log.count()
+    assert found[12, "f1"] == pytest.approx(0.3) and all(found[i, "f1"] == 0 for i in range(1, 12))
+    with pytest.raises(TypeError):
+        experiments.run_deltas(scores.withColumn("run", F.lit("9")))
+
+
+def test_late_and_repeated_requests_are_answered_once(spark, fitted, tmp_path):
+    row = '{{"UUID":"{}","Carrier":"AA","DepDelay":3.5,"Timestamp":"2024-01-{}T00:00:00Z"}}'
+    (tmp_path / "in").mkdir()
+    files = [[("a", "05")], [("b", "01"), ("a", "05")], [("c", "02"), ("b", "01"), ("c", "02")]]
+    for i, rows in enumerate(files):
+        (tmp_path / "in" / f"{i}.txt").write_text("\n".join(row.format(*r) for r in rows))
+        os.utime(tmp_path / "in" / f"{i}.txt", (1000 + i, 1000 + i))
+    messages = scoring.message_files(spark, str(tmp_path / "in"), maxFilesPerTrigger=1)
+    stream = scoring.score(fitted, messages)
+    scoring.write_answers(stream, str(tmp_path / "out"), str(tmp_path / "state"), interval=None).start().awaitTermination()
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((r.UUID, str(r.ds)) for r in stored.collect()) == [("a", "2024-01-05"), ("b", "2024-01-01"), ("c", "2024-01-02")]
+    assert stored.select("batch_id").distinct().count() == 3
+
+
+def test_a_day_without_requests(spark, folder, fitted, tmp_path):
+    none = b.request_features(spark, folder).where("false")
+    writers.write_days(none, str(tmp_path / "requests"), "Timestamp")
+    models.score_day(fitted, spark, str(tmp_path / "requests"), str(tmp_path / "results"), "2024-01-02")
+    assert spark.read.schema(readers.STORED_RESULTS).parquet(str(tmp_path / "results")).count() == 0
+
+
+def test_day_fetch_reaches_the_scan(spark, folder):
+    asked = b.request_features(spark, folder).withColumn("iso", F.date_format("Timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
+    plan = readers.iso_day_slice(asked, "iso", "2024-01-02", at="Timestamp")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan.split("PushedFilters")[1]
+
+
+def test_partitions_settle_the_forest(spark, folder):
+    rows = bound._labelled(spark, folder)
+    one, two = (
+        models.fit_classifier(df, trees=3, depth=3, partitions=4).stages[-1].featureImportances.toArray()
+        for df in (rows, rows.repartition(7))
+    )
+    assert one.tolist() == two.tolist()
+
+
+def test_stamped_requests(spark):
+    found = features.stamped(spark.createDataFrame([(1,), (2,)], "i int")).collect()
+    assert len({r.UUID for r in found}) == 2 and all(len(r.UUID) == 36 and r.Timestamp for r in found)
+
+
+def test_console_sink(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("one\ntwo")
+    writer = scoring.write_console(scoring.message_files(spark, str(tmp_path / "in")), str(tmp_path / "state"))
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert sum(p["numInputRows"] for p in progress) == 2
+    assert "Console" in progress[0]["sink"]["description"]
 
 
 def test_importances_and_repeats(spark, folder):
