@@ -26,7 +26,9 @@ from delaylens.llm.words import constants, mixed, text_bytes
 @dataclass(frozen=True)
 class Settings:
     """``toxic`` and ``clean``: at most so many labelled rows of each class are learned from;
-    of a text, training sees all n-grams. ``scale`` multiplies the average."""
+    of a text, training sees all n-grams. ``texts``: an n-gram in fewer learned texts has no
+    effect, since it would only name them. ``scale`` multiplies the average; ``decay`` draws the
+    vectors that a batch uses towards zero."""
 
     toxic: int = 1500
     clean: int = 3000
@@ -34,7 +36,9 @@ class Settings:
     high: int = 5
     bits: int = 17
     width: int = 8
+    texts: int = 4
     scale: float = 100.0
+    decay: float = 1e-4
     epochs: int = 12
     rate: float = 0.1
     batch: int = 64
@@ -90,11 +94,14 @@ def train(texts: list[str], labels: list[int], s: Settings) -> tuple[np.ndarray,
         share = float(np.mean(labels)) if labels else 0.0
         return np.zeros(size, np.float32), float(np.log((share + 1e-3) / (1 - share + 1e-3)))
     y = np.array(labels)
-    bags = []
+    bags, seen = [], np.zeros(size, np.int32)
     for text in texts:
         buckets = np.concatenate([b for b, _, _ in subwords(pa.array([text], pa.string()), s)] or [np.zeros(0, np.int32)])
         ids, counts = np.unique(buckets, return_counts=True)
+        seen[ids] += 1
         bags.append((ids.astype(np.int32), (counts * (s.scale / max(1, len(buckets)))).astype(np.float32)))
+    bags = [(ids[seen[ids] >= s.texts], share[seen[ids] >= s.texts]) for ids, share in bags]
+    vectors[seen < s.texts] = 0
     grown_v, grown_w, grown_b = np.full((size, s.width), 1e-6, np.float32), np.full((s.width, 2), 1e-6), np.full(2, 1e-6)
     for _ in range(s.epochs):
         order = rng.permutation(len(bags))
@@ -112,6 +119,7 @@ def train(texts: list[str], labels: list[int], s: Settings) -> tuple[np.ndarray,
             slope_w, slope_b, slope_h = hidden.T @ gap, gap.sum(0), gap @ weights.T
             used, back = np.unique(ids, return_inverse=True)
             slope_v = np.stack([np.bincount(back, share * slope_h[row, k], len(used)) for k in range(s.width)], 1)
+            slope_v += s.decay * vectors[used]
             grown_v[used] += slope_v**2
             vectors[used] -= s.rate * slope_v / np.sqrt(grown_v[used])
             grown_w += slope_w**2
