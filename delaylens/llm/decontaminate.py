@@ -150,6 +150,8 @@ def _repetition(search: Search, members: list[int], moves: np.ndarray, steps: li
 def candidates(search: Search, prints: np.ndarray, chunk: int = 1 << 18) -> np.ndarray:
     """Distinct (window, item) pairs of word positions whose walks meet, as rows."""
     found = []
+    if not search.repetitions:
+        return np.zeros((0, 2), np.int64)
     unknown = len(search.vocabulary)
     most = max((r.walks.shape[1] for r in search.repetitions), default=0) + 1
     for low in range(0, len(prints), chunk):

@@ -79,6 +79,8 @@ def fit(sample: np.ndarray, rows: int, *, k: int = 10, tables: int = 8, seed: in
     """
     rng = np.random.default_rng(seed)
     dims = sample.shape[1]
+    if not len(sample):
+        return Index(np.zeros((1, 1, dims)), np.zeros((1, 1)), 1.0, np.zeros((1, 1), np.int8), 1)
     queries = sample[: max(1, min(SAMPLE_QUERIES, len(sample)))]
     apart = ((queries[:, None, :] - sample[None, :, :]) ** 2).sum(-1) if len(sample) * len(queries) * dims < 3e7 else np.stack([((q - sample) ** 2).sum(-1) for q in queries])
     apart[apart == 0] = np.inf
