@@ -1,7 +1,7 @@
 """Headline queries at one scale; prints one JSON line with the seconds of each.
 
 Each query runs once after the session has been warmed up; progress goes to standard error.
-The first query that applies a model also fits it.
+Queries that apply a model load it from the store; ``train_score_rf`` fits and stores it.
 """
 
 from __future__ import annotations

@@ -1,5 +1,6 @@
 """Features, models, metrics, daily batches and streams."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from delaylens.functions.buckets import delay_bucket
@@ -8,7 +9,7 @@ from delaylens.operators import features, metrics, models, summary
 from delaylens.plans import bindings as b
 from delaylens.plans.registry import query
 from delaylens.plans.summaries import BUCKET_SQL, FLIGHTS, SCHEDULED_SQL
-from delaylens.session import checkpointed, workspace
+from delaylens.session import checkpointed, shared_folder, workspace
 from delaylens.sources import readers
 from delaylens.sources.readers import iso_day_slice
 from delaylens.sources.writers import write_days
@@ -105,11 +106,31 @@ def _split(spark, folder):
 
 def _fit(spark, folder):
     """Fit the forest to the folder's training rows, store it and load what was stored."""
-    path = workspace(spark, "classifier")
+    path = _model_path(spark, folder)
     models.save_model(models.fit_classifier(_split(spark, folder)[0], partitions=8), path)
     return models.load_model(path)
 
 
+def _model_path(spark, folder):
+    """Where the forest of these very rows is stored: changed tables have another place."""
+    marks = [
+        b.table(spark, folder, name).agg(F.count("*").alias("n"), F.expr(f"sum(CAST(xxhash64({keys}) AS DECIMAL(38, 0)))").alias("h")).first()
+        for name, keys in (("lineitem", "l_orderkey, l_partkey, l_suppkey, l_quantity"), ("orders", "o_orderkey, o_custkey, o_orderdate"))
+    ]
+    stamp = "-".join(str(value) for mark in marks for value in mark)
+    return f"{shared_folder(spark).rstrip('/')}/models/{spark.sparkContext.applicationId}/forest{stamp}"
+
+
+def classifier(spark, folder):
+    """The stored forest of these tables; fitted if none is stored."""
+    try:
+        return models.load_model(_model_path(spark, folder))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return _fit(spark, folder)
+
+
 @query("""SELECT * FROM (VALUES ('accuracy', true), ('weightedPrecision', true), ('weightedRecall', true), ('f1', true))
     t(metric, beats_majority)""")
 def train_score_rf(spark, folder):
@@ -173,7 +194,7 @@ def batch_score_day(spark, folder):
     wanted = b.request_features(spark, folder).withColumn("iso_time", iso_text(F.col("Timestamp")))
     day = iso_day_slice(wanted, "iso_time", "2024-01-02", at="Timestamp").drop("iso_time")
     write_days(day, requests, "Timestamp")
-    models.score_day(_fit(spark, folder), spark, requests, results, "2024-01-02")
+    models.score_day(classifier(spark, folder), spark, requests, results, "2024-01-02")
     stored = spark.read.schema(readers.STORED_RESULTS).parquet(results)
     return stored.select("UUID", "Carrier", "Origin", "Dest", _known(), "ds")
 
@@ -215,5 +236,5 @@ def stream_dedupe(spark, folder):
 
 @query(_MESSAGES.replace("FlightDate, FlightNum, DepDelay FROM", "true AS known_bucket FROM"))
 def stream_score(spark, folder):
-    scored = scoring.score(_fit(spark, folder), _messages(spark, folder))
+    scored = scoring.score(classifier(spark, folder), _messages(spark, folder))
     return _run(scored, spark, "scored", scoring.write_answers).select("UUID", "Carrier", "Origin", "Dest", _known())
