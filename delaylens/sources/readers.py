@@ -50,6 +50,15 @@ HOURLY_OBSERVATIONS = _strings(
     "WBAN", "Date", "Time", "StationType",
     *[name for m in HOURLY_MEASURES for name in (m, m + "Flag")],
 )
+# The daily observations, in the order of the published file.
+DAILY_OBSERVATIONS = _strings(
+    "WBAN", "YearMonthDay", "Tmax", "TmaxFlag", "Tmin", "TminFlag", "Tavg", "TavgFlag", "Depart", "DepartFlag",
+    "DewPoint", "DewPointFlag", "WetBulb", "WetBulbFlag", "Heat", "HeatFlag", "Cool", "CoolFlag", "Sunrise",
+    "SunriseFlag", "Sunset", "SunsetFlag", "CodeSum", "CodeSumFlag", "Depth", "DepthFlag", "Water1", "Water1Flag",
+    "SnowFall", "SnowFallFlag", "PrecipTotal", "PrecipTotalFlag", "StnPressure", "StnPressureFlag", "SeaLevel",
+    "SeaLevelFlag", "ResultSpeed", "ResultSpeedFlag", "ResultDir", "ResultDirFlag", "AvgSpeed", "AvgSpeedFlag",
+    "Max5Speed", "Max5SpeedFlag", "Max5Dir", "Max5DirFlag", "Max2Speed", "Max2SpeedFlag", "Max2Dir", "Max2DirFlag",
+)
 FEATURES = T.StructType([
     T.StructField("ArrDelay", T.DoubleType()),
     T.StructField("CRSArrTime", T.TimestampType()),
@@ -84,7 +93,7 @@ STORED_REQUESTS = T.StructType(STREAM_REQUESTS.fields + [T.StructField("ds", T.D
 STORED_RESULTS = T.StructType(
     STREAM_REQUESTS.fields + [T.StructField("Prediction", T.DoubleType()), T.StructField("ds", T.DateType())]
 )
-# The on-time table: text columns, and those that are numbers once cast.
+# The on-time table, its text columns and those that are numbers once cast.
 ON_TIME_TEXTS = (
     "Year", "Quarter", "Month", "DayofMonth", "DayOfWeek", "FlightDate", "Carrier", "TailNum", "FlightNum",
     "Origin", "OriginCityName", "OriginState", "Dest", "DestCityName", "DestState", "DepTime", "WheelsOff",

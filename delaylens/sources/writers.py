@@ -55,10 +55,13 @@ def publish(
     """Write a table for look-ups by ``key``.
 
     Rows are range-partitioned and sorted by the key, so file and row-group statistics let a
-    key filter skip nearly everything. Columns in ``search`` also get a token array.
+    key filter skip nearly everything. Rows of one key are told apart by a hash of all columns,
+    so a key with a large part of the rows, or none, still spans several tasks. Columns in
+    ``search`` also get a token array.
     """
     out = df.withColumns({f"{c}_tokens": tokens(F.col(c)) for c in search}) if search else df
-    write_table(out.repartitionByRange(*key).sortWithinPartitions(*key), path, mode)
+    tie = F.xxhash64(*df.columns)
+    write_table(out.repartitionByRange(*key, tie).sortWithinPartitions(*key), path, mode)
 
 
 def replace_record(df: DataFrame, path: str) -> None:

@@ -139,3 +139,42 @@ def test_record_and_intermediate(spark, tmp_path):
 def test_day_slice_reaches_the_scan(spark, folder):
     df = readers.day_slice(readers.read_table(spark, f"{folder}/events.parquet"), "ts", dt.date(2024, 1, 2))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_on_time_casts(spark):
+    row = {c: "x" for c in readers.ON_TIME_TEXTS} | {c: "-3.50" for c in readers.ON_TIME_FLOATS} | {c: "1.00" for c in readers.ON_TIME_WHOLE}
+    row["TaxiIn"], row["Flights"], row["ArrDelay"] = "", "many", None
+    table = spark.createDataFrame([tuple(row[c] for c in readers.ON_TIME.names)], readers.ON_TIME)
+    found = readers.cast_on_time(table)
+    kinds = dict(found.dtypes)
+    assert len(kinds) == 38 and sorted(set(kinds.values())) == ["float", "int", "string"]
+    assert sum(k != "string" for k in kinds.values()) == 17
+    one = found.first()
+    assert (one.DepDelay, one.Cancelled, one.TaxiIn, one.Flights, one.ArrDelay) == (-3.5, 1, None, None, None)
+
+
+def test_daily_observations_read_as_declared(spark, tmp_path):
+    names = readers.DAILY_OBSERVATIONS.names
+    assert len(names) == 50
+    (tmp_path / "d.txt").write_text(",".join(names) + "\n" + ",".join(f" {i}" for i in range(50)) + "\n")
+    found = readers.read_delimited(spark, str(tmp_path / "d.txt"), schema=readers.DAILY_OBSERVATIONS).first()
+    assert (found.WBAN.strip(), found.Max2DirFlag.strip()) == ("0", "49")
+
+
+def test_a_hot_key_is_published_by_several_tasks(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE concat('k', id) END AS k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.publish(df, str(tmp_path / "t"), ["k"], mode="overwrite")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    files = stored.where("k = 'hot'").selectExpr("_metadata.file_name AS f").groupBy("f").count()
+    assert stored.count() == 20_000 and files.count() > 1
+
+
+def test_sql_over_several_tables(spark):
+    a, b = spark.createDataFrame([(1, "x"), (2, "y")], "i int, s string"), spark.createDataFrame([(1,)], "i int")
+    found = readers.run_sql(spark, "SELECT s FROM a JOIN b USING (i)", a=a, b=b)
+    assert [r.s for r in found.collect()] == ["x"]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(("a_", "b_"))]
