@@ -24,15 +24,15 @@ from pyspark.sql import functions as F
 
 from delaylens.llm.words import blanks, grams, pooled, split
 
-#: Windows in one block of the index.
-BLOCK = 4_000_000
+#: Windows in one block of the index, and documents whose answers travel in one row.
+BLOCK, BUCKET = 2_000_000, 1000
 _LAST = np.iinfo(np.int64).max
 
 _PROBES = pa.schema([
     ("block", pa.int32()), ("rows", pa.binary()), ("ids", pa.binary()), ("counts", pa.binary()),
     ("known", pa.binary()), ("sources", pa.binary()), ("windows", pa.binary()),
 ])
-_ANSWERS = "_row long, block int, hits binary, sources binary"
+_ANSWERS = "bucket long, block int, rows binary, counts binary, hits binary, sources binary"
 
 
 def block_of(prints: np.ndarray, blocks: int) -> np.ndarray:
@@ -84,9 +84,56 @@ def _probing(size: int, blocks: int) -> Callable:
     return run
 
 
-def _answered(table: pa.Table) -> pa.Table:
-    """For every document with windows in this block, which of them an earlier document holds."""
-    block = table.column("block")[0].as_py()
+def _answered(buckets: int) -> Callable:
+    def run(table: pa.Table) -> pa.Table:
+        return _packed(*_answers(table), table.column("block")[0].as_py(), buckets)
+
+    return run
+
+
+def _packed(rows: np.ndarray, counts: np.ndarray, hit: np.ndarray, source: np.ndarray, block: int, buckets: int) -> pa.Table:
+    """The answers of a block for documents with a hit, many documents to a row."""
+    edges = np.append(0, np.cumsum(counts))
+    some = np.flatnonzero(np.add.reduceat(hit, edges[:-1])) if len(counts) else np.zeros(0, np.int64)
+    # Equal documents get equal answers from every batch.
+    _, once = np.unique(rows[some], return_index=True)
+    some = some[once]
+    place = (rows[some].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    out = []
+    for bucket in np.unique(place):
+        docs = some[place == bucket]
+        at = np.concatenate([np.arange(edges[d], edges[d + 1]) for d in docs])
+        out.append((
+            int(bucket), block, rows[docs].tobytes(), counts[docs].astype(np.int32).tobytes(),
+            np.packbits(hit[at]).tobytes(), source[at[hit[at]]].tobytes(),
+        ))
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+    columns = zip(*out) if out else ((),) * 6
+    names = ["bucket", "block", "rows", "counts", "hits", "sources"]
+    return pa.table([pa.array(list(x), t) for x, t in zip(columns, kinds)], names=names)
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """All answers for each document of a bucket: one row per document with a hit."""
+    found: dict[int, list] = {}
+    for cell in table.to_pylist():
+        rows, counts = np.frombuffer(cell["rows"], np.int64), np.frombuffer(cell["counts"], np.int32)
+        edges = np.append(0, np.cumsum(counts))
+        hit = np.unpackbits(np.frombuffer(cell["hits"], np.uint8), count=int(edges[-1])).astype(bool)
+        source = np.frombuffer(cell["sources"], np.int64)
+        used = np.append(0, np.cumsum(hit))
+        for row, a, b in zip(rows.tolist(), edges[:-1].tolist(), edges[1:].tolist()):
+            answer = {"block": cell["block"], "hits": np.packbits(hit[a:b]).tobytes(), "sources": source[used[a] : used[b]].tobytes()}
+            found.setdefault(row, []).append(answer)
+    struct = pa.struct([("block", pa.int32()), ("hits", pa.binary()), ("sources", pa.binary())])
+    return pa.table({"_row": pa.array(list(found), pa.int64()), "answers": pa.array(list(found.values()), pa.list_(struct))})
+
+
+def _answers(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every document with windows in this block, which of them an earlier document holds.
+
+    Its rows, the number of windows of each, whether each window is held, and by which document.
+    """
     cells = {c: [x.as_py() for x in table.column(c)] for c in table.column_names[1:]}
     join = lambda name, kind: np.frombuffer(b"".join(cells[name]), kind)
     rows, ids, counts = join("rows", np.int64), join("ids", np.int64), join("counts", np.int32)
@@ -106,17 +153,7 @@ def _answered(table: pa.Table) -> pa.Table:
         found = np.empty(len(windows), np.int64)
         found[order] = first
         source[~known] = np.where(found < mine, found, _LAST)
-    hit = source < _LAST
-    edges = np.append(0, np.cumsum(counts))
-    with_hits = np.flatnonzero(np.add.reduceat(hit, edges[:-1])) if len(counts) else []
-    out = [
-        (int(rows[i]), block, np.packbits(hit[a:b]).tobytes(), source[a:b][hit[a:b]].tobytes())
-        for i in with_hits
-        for a, b in ((edges[i], edges[i + 1]),)
-    ]
-    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
-    columns = zip(*out) if out else ([],) * 4
-    return pa.table([pa.array(list(x), t) for x, t in zip(columns, kinds)], names=["_row", "block", "hits", "sources"])
+    return rows, counts, source < _LAST, source
 
 
 def factored(hit: np.ndarray, source: np.ndarray, size: int) -> list[tuple[int, int, int]]:
@@ -186,14 +223,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", *,
         "_row", F.xxhash64("_id", "_text")
     )
     # Words are about six bytes long; blocks need only be of about equal, bounded size.
-    volume = base.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    blocks = max(1, min(-(-volume // (6 * BLOCK)), 1 << 24))
+    volume, count = base.agg(F.sum(F.octet_length("_text")), F.count("*")).first()
+    blocks = max(1, min(-(-(volume or 0) // (6 * BLOCK)), 1 << 24))
     probes = base.mapInArrow(_probing(size, blocks), ", ".join(f"{f.name} {'int' if f.name == 'block' else 'binary'}" for f in _PROBES))
-    answers = probes.groupBy("block").applyInArrow(_answered, _ANSWERS)
-    # Equal rows get equal hits from any batch; one answer per block is enough.
     gathered = (
-        answers.repartition("_row").groupBy("_row", "block").agg(F.max(F.struct("hits", "sources")).alias("x"))
-        .groupBy("_row").agg(F.collect_list(F.struct("block", "x.hits", "x.sources")).alias("answers"))
+        probes.groupBy("block").applyInArrow(_answered(max(1, count // BUCKET)), _ANSWERS)
+        .groupBy("bucket").applyInArrow(_gathered, "_row long, answers array<struct<block: int, hits: binary, sources: binary>>")
     )
     struct = "array<struct<first_word: long, end_word: long, reference: long>>"
     return (

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 #: Texts are worked through in pieces of about so many bytes, cut between words.
 PIECE = 1 << 16
 #: Text bytes that a task works on at once; about 20 bytes of numbers come with each.
-BATCH = 6 << 20
+BATCH = 3 << 20
 _STEP = 0x9E3779B97F4A7C15
 _ODD = 0xD1342543DE82EF95
 
