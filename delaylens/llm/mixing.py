@@ -26,22 +26,25 @@ WORD, RANGES = "[^\\x20\\x09-\\x0D]+", 4096
 ROUNDS = 6
 
 
-def _drawn(docs: DataFrame, source: str, text: str, key: str, quality: DataFrame | None, seed: int) -> DataFrame:
-    """``docs`` with _key (rising: taken earlier) and _range, a monotone function of it."""
+def _drawn(rows: DataFrame, quality: DataFrame | None, scratch: Scratch) -> DataFrame:
+    """``rows`` with _key (rising: taken earlier) and _range, a monotone function of it, for _draw."""
     rate = F.lit(1.0)
     if quality is not None:
         weights = quality.where("weight IS NOT NULL").groupBy(F.col("key").alias("_qkey")).agg(F.max("weight").alias("_weight"))
-        docs = docs.join(weights, docs[key] == F.col("_qkey"), "left").drop("_qkey")
+        rows = rows.join(small(scratch.store(weights)), rows["_id"] == F.col("_qkey"), "left").drop("_qkey")
         rate = F.coalesce("_weight", F.lit(1.0))
-    draw = F.xxhash64(F.lit(seed), F.col(key), F.col(text))
-    uniform = (F.shiftrightunsigned(draw, 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+    uniform = (F.shiftrightunsigned("_draw", 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     exponential = -F.log(uniform) / rate
     ranged = F.least(F.lit(RANGES - 1), F.floor((1 - F.exp(-exponential)) * RANGES)).cast("int")
-    return docs.withColumn("_key", exponential).withColumn("_range", ranged).drop("_weight")
+    return rows.withColumn("_key", exponential).withColumn("_range", ranged).drop("_weight", "_draw")
 
 
-def _words() -> Column:
-    return F.coalesce(F.regexp_count("_text", F.lit(WORD)), F.lit(0)).cast("long")
+def _draw(text: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.col("_id"), text)
+
+
+def _words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def target_sizes(sources: DataFrame, cap: int) -> DataFrame:
@@ -71,12 +74,12 @@ def mixture(
     stretches of its order, each with the size up to which documents in it are taken once more).
     """
     scratch = Scratch(docs.sparkSession, "mixing")
+    words = F.col(text).cast("string")
     plain = docs.select(
-        F.col(key).alias("_id"), F.col(source).cast("string").alias("_source"), F.col(text).cast("string").alias("_text")
-    )
-    rows = scratch.store(
-        _drawn(plain.withColumn("_size", _words()), "_source", "_text", "_id", quality, seed).drop("_text")
+        F.col(key).alias("_id"), F.col(source).cast("string").alias("_source"), _words(words).alias("_size"), words.alias("_text")
     )
+    # Only numbers meet the weights; texts stay where they are read.
+    rows = scratch.store(_drawn(plain.withColumn("_draw", _draw(F.col("_text"), seed)).drop("_text"), quality, scratch))
     named = scratch.store(rows.groupBy("_source").agg(F.sum("_size").alias("size")))
     # One row per source: the only window over all of them.
     rank = F.row_number().over(Window.orderBy(F.col("_source").asc_nulls_last())) - 1
@@ -195,8 +198,10 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", key: str =
     _, plan = mixture(docs, source, text, key, quality=quality, seed=seed, **options)
     plan = small(plan.withColumnRenamed("_source", "_name"))
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    plain = docs.select(own, F.col(key).alias("_id"), F.col(source).cast("string").alias("_source"), F.col(text).cast("string").alias("_text"))
-    drawn = _drawn(plain.withColumn("_size", _words()), "_source", "_text", "_id", quality, seed)
+    words = F.col(text).cast("string")
+    plain = docs.select(own, F.col(key).alias("_id"), F.col(source).cast("string").alias("_source"), _words(words).alias("_size"), words.alias("_text"))
+    plain = plain.withColumn("_draw", _draw(F.col("_text"), seed)).drop("_text")
+    drawn = _drawn(plain, quality, Scratch(docs.sparkSession, "mixing"))
     taken = drawn.join(plan, drawn["_source"].eqNullSafe(F.col("_name"))).withColumn("_times", _times())
     return (
         taken.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))
