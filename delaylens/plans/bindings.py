@@ -7,11 +7,13 @@ are not joined; a test compares this with the full join.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylens.operators.features import calendar
-from delaylens.sources.writers import to_json_rows
+from delaylens.session import shared_folder
+from delaylens.sources.writers import publish, to_json_rows
 
 # The carriers, by the order in which requests are assigned to them.
 CARRIERS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -100,6 +102,34 @@ def flights(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return rows.select(*[F.expr(definitions[c]).alias(c) for c in columns])
 
 
+def stored_path(spark: SparkSession, folder: str, name: str) -> str:
+    """Where something made from the flights of this application is stored.
+
+    The path names the number of rows and sums over keys: other tables have another place.
+    """
+    lines = table(spark, folder, "lineitem").agg(F.count("*"), F.sum("l_orderkey"), F.sum("l_suppkey")).first()
+    orders = table(spark, folder, "orders").agg(F.count("*"), F.sum("o_custkey")).first()
+    stamp = "-".join(str(value) for value in (*lines, *orders))
+    return f"{shared_folder(spark).rstrip('/')}/stored/{spark.sparkContext.applicationId}/{name}-{stamp}"
+
+
+def published_flights(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Flights as the table that look-ups read: stored once, clustered by route and carrier."""
+    path = stored_path(spark, folder, "flights")
+    try:
+        return spark.read.parquet(path).select(*columns)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    publish(flights(spark, folder, *LOOKED_UP), path, ["Origin", "Dest", "Carrier", "FlightDate"], mode="overwrite")
+    return spark.read.parquet(path).select(*columns)
+
+
+LOOKED_UP = (
+    "FlightDate", "CRSDepTime", "CRSArrTime", "Carrier", "FlightNum", "Origin", "Dest", "TailNum", "DepDelay",
+)
+
+
 def flights_sql() -> str:
     columns = flight_columns("VARCHAR", "isodow(o_orderdate)")
     listed = ", ".join(f"{e} AS {c}" for c, e in columns.items())

@@ -318,6 +318,14 @@ def flight_weather(spark, folder):
 
 # ---- look-ups
 
+
+@query(f"WITH {FLIGHTS} SELECT count(*) AS n, count(DISTINCT Origin) AS origins FROM flights")
+def publish_flights(spark, folder):
+    """Store the table that look-ups read."""
+    flights = b.published_flights(spark, folder, "Origin")
+    return flights.agg(F.count("*").alias("n"), F.countDistinct("Origin").alias("origins"))
+
+
 _ROW = ["FlightDate", "CRSDepTime", "CRSArrTime", "Carrier", "FlightNum", "Origin", "Dest", "TailNum", "DepDelay"]
 # The last columns settle ties between otherwise equal flights.
 _TIES = ["CRSDepTime", "CRSArrTime", "Carrier", "FlightNum", "TailNum", "DepDelay", "Origin", "Dest"]
@@ -335,7 +343,7 @@ _ROUTE_DAYS = (
 @query(f"WITH {FLIGHTS} " + " UNION ALL ".join(f"""(SELECT {', '.join(_ROW)} FROM flights WHERE Carrier = '5-LOW'
     AND FlightDate = DATE '{day}' AND FlightNum = '{number}' ORDER BY {_SQL_TIES} LIMIT 1)""" for day, number in _FLIGHTS_ASKED))
 def flight_lookup(spark, folder):
-    flights = b.flights(spark, folder, *_ROW)
+    flights = b.published_flights(spark, folder, *_ROW)
     found = [
         lookup.one(flights, {"Carrier": "5-LOW", "FlightDate": date.fromisoformat(day), "FlightNum": number}, _TIES)
         for day, number in _FLIGHTS_ASKED
@@ -348,7 +356,7 @@ def flight_lookup(spark, folder):
     for origin, dest, day in _ROUTE_DAYS))
 def route_day_page(spark, folder):
     """First pages of the flights of a route on a day, by departure and arrival time."""
-    flights = b.flights(spark, folder, *_ROW)
+    flights = b.published_flights(spark, folder, *_ROW)
     pages = [
         lookup.search(flights, {"Origin": origin, "Dest": dest, "FlightDate": date.fromisoformat(day)}, _TIES)
         for origin, dest, day in _ROUTE_DAYS
@@ -361,7 +369,7 @@ def route_day_page(spark, folder):
     ORDER BY FlightDate, {_SQL_TIES} LIMIT 20""")
 def search_flights(spark, folder):
     values = {"Carrier": "1-URGENT", "Origin": "NATION_3", "Dest": "", "TailNum": None}
-    return lookup.search(b.flights(spark, folder, *_ROW), values, ["FlightDate", *_TIES])
+    return lookup.search(b.published_flights(spark, folder, *_ROW), values, ["FlightDate", *_TIES])
 
 
 @query(rf"""WITH {b.AIRPLANES_SQL}, f AS (SELECT * FROM airplanes

@@ -9,7 +9,7 @@ from delaylens.operators import features, metrics, models, summary
 from delaylens.plans import bindings as b
 from delaylens.plans.registry import query
 from delaylens.plans.summaries import BUCKET_SQL, FLIGHTS, SCHEDULED_SQL
-from delaylens.session import checkpointed, shared_folder, workspace
+from delaylens.session import checkpointed, workspace
 from delaylens.sources import readers
 from delaylens.sources.readers import iso_day_slice
 from delaylens.sources.writers import write_days
@@ -112,13 +112,8 @@ def _fit(spark, folder):
 
 
 def _model_path(spark, folder):
-    """Where the forest of these very rows is stored: changed tables have another place."""
-    marks = [
-        b.table(spark, folder, name).agg(F.count("*").alias("n"), F.expr(f"sum(CAST(xxhash64({keys}) AS DECIMAL(38, 0)))").alias("h")).first()
-        for name, keys in (("lineitem", "l_orderkey, l_partkey, l_suppkey, l_quantity"), ("orders", "o_orderkey, o_custkey, o_orderdate"))
-    ]
-    stamp = "-".join(str(value) for mark in marks for value in mark)
-    return f"{shared_folder(spark).rstrip('/')}/models/{spark.sparkContext.applicationId}/forest{stamp}"
+    """Where the forest of these rows is stored: changed tables have another place."""
+    return b.stored_path(spark, folder, "forest")
 
 
 def classifier(spark, folder):

@@ -40,8 +40,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, empty folder in the shared folder, removed when the application ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
