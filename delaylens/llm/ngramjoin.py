@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.llm.scratch import Scratch, partitions, small
-from delaylens.llm.words import blanks, grams, mixed, pooled, split
+from delaylens.llm.words import BATCH, blanks, grams, mixed, pooled, split
 
-#: Text bytes that a task works on at once, and n-grams that one fragment of the corpus holds.
-BATCH_BYTES, FRAGMENT = 24 << 20, 4_000_000
+#: n-grams that one fragment of the corpus holds, and classes whose counts travel in one row.
+FRAGMENT, BUCKET = 2_000_000, 2000
 #: Fragments that the sets of compared classes are cut into, and orders for representatives.
 PARTS, ORDERS = 4, 4
 _MIXED = 0xFFFF
@@ -75,17 +75,18 @@ def similar(overlap: Column, a: Column, b: Column, percent: int) -> Column:
 
 def _signed(size: int, fold: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pooled(batches, "_text"):
             sets = list(sets_of(batch.column("_text"), size, fold))
             keys = [digest(x) for x in sets]
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column("_row"),
                     batch.column("_id"),
                     pa.array([len(x) for x in sets], pa.int64()),
                     pa.array(keys, pa.binary()),
                     pa.array([k and int.from_bytes(k[:8], "little", signed=True) for k in keys], pa.int64()),
                 ],
-                names=["_id", "n", "key", "brief"],
+                names=["_row", "_id", "n", "key", "brief"],
             )
 
     return run
@@ -137,8 +138,35 @@ _FIELDS = pa.schema([
 ])
 
 
-def _credited(table: pa.Table) -> pa.Table:
-    """Per class, how many n-grams of this fragment other groups hold too."""
+def _credited(buckets: int) -> Callable:
+    """Per class, how many n-grams of a fragment other groups hold too; many classes to a row."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, credit = _shared(table)
+        own, back = np.unique(keys, return_inverse=True)
+        credit = np.bincount(back, credit, len(own)).astype(np.int64)
+        place = (own.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        own, credit, place = own[order], credit[order], place[order]
+        new = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.zeros(0, np.int64)
+        parts = [slice(a, b) for a, b in zip(new, np.append(new[1:], len(place)))]
+        return pa.table({
+            "bucket": pa.array(place[new], pa.int64()),
+            "keys": pa.array([own[p].tobytes() for p in parts], pa.binary()),
+            "credits": pa.array([credit[p].tobytes() for p in parts], pa.binary()),
+        })
+
+    return run
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """The counts of all fragments for the classes of a bucket."""
+    keys, credits = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64) for c in ("keys", "credits"))
+    own, back = np.unique(keys, return_inverse=True)
+    return pa.table({"brief": own, "credit": np.bincount(back, credits, len(own)).astype(np.int64)})
+
+
+def _shared(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     column = {c: [x.as_py() for x in table.column(c)] for c in table.column_names if c != "fragment"}
     join = lambda name, kind: np.frombuffer(b"".join(column[name]), kind)
     entries, keys, groups = join("entries", np.uint64), join("keys", np.int64), join("groups", np.int64)
@@ -163,15 +191,16 @@ def _credited(table: pa.Table) -> pa.Table:
         got = np.flatnonzero(credit)
         out_keys.append(keys[got])
         out.append(credit[got])
-    return pa.table({"brief": np.concatenate(out_keys), "credit": np.concatenate(out)})
+    return np.concatenate(out_keys), np.concatenate(out)
 
 
-def _credits(dealt: DataFrame) -> DataFrame:
+def _credits(dealt: DataFrame, classes: int) -> DataFrame:
     """Sum of the fragments' counts per class."""
+    counted = _credited(max(1, classes // BUCKET))
     return (
-        dealt.groupBy("fragment").applyInArrow(_credited, "brief long, credit long")
-        .groupBy("brief").agg(F.sum("credit").alias("credit"))
-    )
+        dealt.groupBy("fragment").applyInArrow(counted, "bucket long, keys binary, credits binary")
+        .groupBy("bucket").applyInArrow(_summed, "brief long, credit long")
+    )
 
 
 def _first_tokens(size: int, fold: bool, percent: int, fragments: int) -> Callable:
@@ -182,9 +211,9 @@ def _first_tokens(size: int, fold: bool, percent: int, fragments: int) -> Callab
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in pooled(batches, "_text", BATCH_BYTES):
+        for table in pooled(batches, "_text"):
             sets = {}
-            for tokens in (x for c in table.column("_text").chunks for x in sets_of(c, size, fold)):
+            for tokens in sets_of(table.column("_text"), size, fold):
                 if key := digest(tokens):
                     n = len(tokens)
                     sets[int.from_bytes(key[:8], "little", signed=True)] = tokens[: n - least(n, percent) + max(1, n // 5)]
@@ -213,10 +242,10 @@ def _outside(fragments: int) -> Callable:
     """All n-grams of stored segments, dealt to fragments, with each class's component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in pooled(batches, "tokens", BATCH_BYTES):
+        for table in pooled(batches, "tokens", 4 * BATCH):
             for at in range(0, table.num_rows, _MIXED - 1):
                 part = table.slice(at, _MIXED - 1)
-                lists = part.column("tokens").combine_chunks()
+                lists = part.column("tokens")
                 tokens = lists.flatten().to_numpy().view(np.uint64)
                 if not len(tokens):
                     continue
@@ -239,7 +268,7 @@ def _segmented(size: int, fold: bool) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = constants_of_orders()
-        for batch in batches:
+        for batch in pooled(batches, "_text"):
             column, wanted = batch.column("_text"), batch.column("key").to_pylist()
             out = []
             for tokens, want in zip(sets_of(column, size, fold), wanted):
@@ -317,11 +346,50 @@ def jaccard_groups(
     key of its component, null if there is none.
     Other columns of ``docs`` are not read, whatever their names. An empty table gives none.
     """
+    signed, of_class = _grouped(docs, text, key, size, percent, fold)
+    return signed.join(of_class, "key", "left").select(
+        F.col("_id").alias(key),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("key").isNull(), F.col("_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def one_of_each_group(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", *, size: int = 5, percent: int = 80, fold: bool = True
+) -> DataFrame:
+    """``docs`` with one row of each group of ``jaccard_groups``: that with the smallest key.
+
+    Rows with null keys come last; of equal rows one stays. Rows with an empty set all stay. All
+    columns are kept; ``docs`` may not have columns named _row or _stays.
+    """
+    signed, of_class = _grouped(docs, text, key, size, percent, fold)
+    scratch = Scratch(docs.sparkSession, "groups")
+    rows = (
+        signed.where("key IS NOT NULL").groupBy("key", "_id", "_row").agg(F.count("*").alias("times"))
+        .join(of_class.select("key", "label"), "key")
+    )
+    rows = scratch.store(rows.withColumn("place", F.struct(F.col("_id").isNull(), "_id", "_row")))
+    lead = rows.groupBy("label").agg(F.min("place").alias("first"))
+    judged = scratch.store(
+        rows.join(lead, "label").withColumn("_stays", F.col("place") == F.col("first"))
+        .where("NOT _stays OR times > 1").select("_row", "_stays")
+    )
+    own = F.xxhash64(F.col(key), F.col(text).cast("string"))
+    marked = docs.withColumn("_row", own).join(small(judged), "_row", "left")
+    single = marked.where("_stays IS NULL")
+    if not judged.where("_stays").isEmpty():
+        single = single.unionByName(marked.where("_stays").dropDuplicates(["_row"]))
+    return single.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def _grouped(docs: DataFrame, text: str, key: str, size: int, percent: int, fold: bool) -> tuple[DataFrame, DataFrame]:
+    """Per row _row, _id, n and the key of its class; per class its label and component_id."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngramjoin")
     base = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text"))
+    base = base.withColumn("_row", F.xxhash64("_id", "_text"))
     kind = dict(base.dtypes)["_id"]
-    signed = scratch.store(base.mapInArrow(_signed(size, fold), f"_id {kind}, n long, key binary, brief long"))
+    signed = scratch.store(base.mapInArrow(_signed(size, fold), f"_row long, _id {kind}, n long, key binary, brief long"))
     classes = scratch.store(
         signed.where("key IS NOT NULL").groupBy("key", "_id")
         .agg(F.count("*").alias("times"), F.max("n").alias("n"), F.max("brief").alias("brief"))
@@ -329,26 +397,22 @@ def jaccard_groups(
         .agg(F.min("_id").alias("least_id"), F.min(F.struct(F.coalesce(F.col("_id").cast("string"), F.lit("")), "_id", "times")).alias("rep"))
         .select("key", "brief", "n", "least_id", "rep._id", "rep.times")
     )
-    labels = _linked(base, classes, size, percent, fold, kind, scratch)
+    labels = _linked(base, classes, size, percent, fold, scratch)
     grouped = classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     ids = grouped.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    of_class = grouped.select("key", "label").join(ids, "label").select("key", "component_id")
-    return signed.join(of_class, "key", "left").select(
-        F.col("_id").alias(key),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("key").isNull(), F.col("_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    return signed, grouped.select("key", "label").join(ids, "label").select("key", "label", "component_id")
 
 
-def _linked(base, classes, size, percent, fold, kind, scratch: Scratch) -> DataFrame:
+def _linked(base, classes, size, percent, fold, scratch: Scratch) -> DataFrame:
     """(key, label) of the classes that link to another one."""
-    total = classes.agg(F.sum("n")).first()[0] or 0
+    total, count = classes.agg(F.sum("n"), F.count("*")).first()
+    total = total or 0
     deal = lambda grams: max(1, min(-(-grams // FRAGMENT), 1 << 24))
     sent = base.select("_text").mapInArrow(_first_tokens(size, fold, percent, deal(total * 2 // 5)), _DEALT)
-    credit = _credits(sent)
+    credit = _credits(sent, count)
     left = scratch.store(
         classes.join(credit, "brief").where(F.col("credit") >= _needed(F.col("n"), percent))
-        .select("key", "_id", "times", "n")
+        .select("key", "_id", "times", "n", "credit")
     )
     # Repeated rows of one document would give its set twice; only these are made distinct.
     wanted = small(left.select("key", "_id", "times"))
@@ -358,12 +422,17 @@ def _linked(base, classes, size, percent, fold, kind, scratch: Scratch) -> DataF
         docs.where("times = 1").select("_text", "key").mapInArrow(segmented, _SEGMENTS)
         .unionByName(docs.where("times > 1").groupBy("key").agg(F.min("_text").alias("_text")).select("_text", "key").mapInArrow(segmented, _SEGMENTS))
     )
-    nodes = scratch.store(segments.where("part = 0").select("key", "brief", "n", "buckets"))
+    central = small(left.select("key", (F.col("credit") / F.col("n")).alias("share")))
+    nodes = scratch.store(segments.where("part = 0").select("key", "brief", "n", "buckets").join(central, "key"))
 
     def represented(order: int, labelled: DataFrame | None) -> DataFrame:
-        """Each class with the representative of its bucket, unless both are in one component."""
+        """Each class with the representative of its bucket, unless both are in one component.
+
+        The representative is the class that shares most of its n-grams: of edited copies, the
+        one with the fewest edits, which most others link to.
+        """
         buckets = nodes.withColumn("bucket", F.col("buckets")[order])
-        lead = buckets.groupBy("bucket").agg(F.min("key").alias("b"), F.count("*").alias("size"))
+        lead = buckets.groupBy("bucket").agg(F.max_by("key", F.struct("share", "key")).alias("b"), F.count("*").alias("size"))
         found = buckets.join(lead.where("size > 1"), "bucket").where("key <> b").select(F.col("key").alias("a"), "b")
         if labelled is not None:
             la, lb = (labelled.select(F.col("key").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
@@ -398,12 +467,13 @@ def _missing(segments, nodes, labels, percent, deal, scratch: Scratch) -> DataFr
         nodes.join(labels, "key", "left").select("key", "brief", "n", F.coalesce("label", "key").alias("label"))
         .withColumn("group", F.xxhash64("label"))
     )
-    total = nodes.agg(F.sum("n")).first()[0] or 0
+    total, count = nodes.agg(F.sum("n"), F.count("*")).first()
+    total = total or 0
     placed = segments.select("key", "brief", "tokens").join(small(named.select("key", "group")), "key")
-    outside = _credits(placed.select("brief", "group", "tokens").mapInArrow(_outside(deal(total)), _DEALT))
+    outside = _credits(placed.select("brief", "group", "tokens").mapInArrow(_outside(deal(total)), _DEALT), count)
     open_ = scratch.store(
         named.join(outside, "brief").where(F.col("credit") >= F.ceil(F.col("n") * percent / 100))
-        .select("key", "n", "label")
+        .select("key", "n", "label", "credit")
     )
     grams_ = segments.select("key", F.explode("tokens").alias("gram")).join(small(open_), "key")
     spread = grams_.groupBy("gram").agg(
@@ -411,15 +481,17 @@ def _missing(segments, nodes, labels, percent, deal, scratch: Scratch) -> DataFr
     )
     shared = grams_.join(spread.where("low <> high").select("gram", "df"), "gram")
     # n-grams that no other component holds come first in the order and use up the prefix.
-    ranked = shared.groupBy("key", "n", "label").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("all"))
+    ranked = shared.groupBy("key", "n", "label", "credit").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("all"))
     room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("all"))
     prefix = scratch.store(
         ranked.where(room > 0)
-        .select("key", "n", "label", F.explode(F.slice("all", F.lit(1), room.cast("int"))).alias("x"))
-        .select("key", "n", "label", "x.gram")
+        .select("key", "n", "label", "credit", F.explode(F.slice("all", F.lit(1), room.cast("int"))).alias("x"))
+        .select("key", "n", "label", "credit", "x.gram")
     )
-    a, b = (prefix.select("gram", *(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "label"))) for x in "ab")
+    a, b = (prefix.select("gram", *(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "label", "credit"))) for x in "ab")
     near = F.col("n_a").between(F.ceil(F.col("n_b") * percent / 100), F.floor(F.col("n_b") * 100 / percent))
+    # The overlap is at most what either shares at all, and at least this part of both sizes.
+    near &= F.least("credit_a", "credit_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     return (
         a.join(b, "gram").where((F.col("key_a") < F.col("key_b")) & (F.col("label_a") != F.col("label_b")) & near)
         .select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
