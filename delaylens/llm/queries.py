@@ -23,22 +23,66 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-
-def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[function.__name__] = function
-    return function
+# All pairs and all windows at once: the same results by the plain definition.
+_GROUPS = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    grams AS (SELECT DISTINCT doc_id, list_aggregate(words[i:i + 4], 'string_agg', ' ') AS gram
+        FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, CASE WHEN len(words) > 0 THEN 2 ELSE 1 END))) AS i FROM w)),
+    sizes AS (SELECT doc_id, count(gram) AS n FROM w LEFT JOIN grams USING (doc_id) GROUP BY doc_id),
+    pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (SELECT a, b FROM pairs JOIN sizes sa ON sa.doc_id = a JOIN sizes sb ON sb.doc_id = b
+        WHERE 100 * common >= 80 * (sa.n + sb.n - common)),
+    reach AS (SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, min(b) AS component_id FROM sizes JOIN reach ON doc_id = a GROUP BY doc_id, n"""
+_REPEATS = r"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    windows AS (SELECT doc_id, i, list_aggregate(words[i:i + 12], 'string_agg', ' ') AS win
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)),
+    firsts AS (SELECT win, min(doc_id) AS first FROM windows GROUP BY win),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM windows JOIN firsts USING (win) WHERE first < doc_id),
+    lost AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(list_aggregate(CASE WHEN ps IS NULL THEN words ELSE
+            list_filter(words, lambda x, p: NOT list_contains(ps, p)) END, 'string_agg', ' '), '')) AS kept_sha256
+    FROM w LEFT JOIN lost USING (doc_id)"""
+
+_LINES = r"""WITH RECURSIVE texts AS (SELECT doc_id, string_split(text, chr(10)) AS rows FROM documents),
+    lines AS (SELECT doc_id, p - 1 AS p, trim(rows[p], chr(32) || chr(9) || chr(13)) AS line
+        FROM (SELECT doc_id, rows, unnest(range(1, len(rows) + 1)) AS p FROM texts)),
+    seen AS (SELECT line, length(line) AS n, min(doc_id) AS first FROM lines WHERE line <> '' GROUP BY line),
+    near AS (SELECT a.line AS a, b.line AS b FROM (SELECT *, unnest([0, 1]) AS more FROM seen WHERE n >= 20) a
+        JOIN seen b ON b.n = a.n + more WHERE a.line <> b.line AND levenshtein(a.line, b.line) <= 1),
+    links AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
+    reach AS (SELECT line AS a, line AS b FROM seen UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    classes AS (SELECT r.a AS line, min(r.b) AS label, min(s.first) AS first FROM reach r JOIN seen s ON r.b = s.line GROUP BY r.a),
+    gone AS (SELECT doc_id, p FROM (SELECT doc_id, p, first, row_number() OVER (PARTITION BY doc_id, label ORDER BY p) AS again
+        FROM lines JOIN classes USING (line)) WHERE first < doc_id OR again > 1),
+    lost AS (SELECT doc_id, count(*) AS n, string_agg(CAST(p AS VARCHAR), ',' ORDER BY p) AS removed FROM gone GROUP BY doc_id)
+    SELECT doc_id, CAST(coalesce(len(rows), 0) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+        coalesce(removed, '') AS removed FROM texts LEFT JOIN lost USING (doc_id)"""
+
+
+def query(sql: str | None = None) -> Callable:
+    """Register a function under its name, with the SQL for its result if there is one."""
+
+    def register(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLES[function.__name__] = sql
+        return function
+
+    return register
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query
+@query(_GROUPS)
 def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(table(spark, folder, "documents"))
 
 
-@query
+@query(_REPEATS)
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The kept words are returned as their SHA-256; spans stay with the operator."""
     return remove_repeats(table(spark, folder, "documents")).select(
@@ -53,12 +97,12 @@ def low_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query()
 def op2_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_counts(table(spark, folder, "documents"), quality=low_quality(spark, folder))
 
 
-@query
+@query()
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Law ``bytes``: shards of nearly equal size, equal texts next to each other."""
     text = F.coalesce("text", F.lit(""))
@@ -74,7 +118,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query()
 def op4_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     """Labels are those of the base phrases and of all detections left."""
     return scan_licenses(table(spark, folder, "documents")).select(
@@ -85,7 +129,7 @@ def op4_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query()
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn(
         "held_out", F.coalesce(language.remainder("doc_id", 4) == 2, F.lit(False))
@@ -105,7 +149,7 @@ def toxic_model(docs: DataFrame, spark: SparkSession, folder: str):
     return toxicity.learned(docs, labels)
 
 
-@query
+@query()
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.score(docs, toxic_model(docs, spark, folder)).select(
@@ -114,17 +158,19 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query()
 def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
-@query
+@query()
 def op3_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
 
 
-@query
+@query(_LINES)
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Which lines of each document go; ``remove_lines`` gives the texts."""
-    return repeated_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_removed", "removed")
+    """Which lines of each document go, by position from 0; ``remove_lines`` gives the texts."""
+    return repeated_lines(table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed")
+    )
