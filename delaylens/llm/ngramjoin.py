@@ -473,7 +473,7 @@ def _missing(segments, nodes, labels, percent, deal, scratch: Scratch) -> DataFr
     outside = _credits(placed.select("brief", "group", "tokens").mapInArrow(_outside(deal(total)), _DEALT), count)
     open_ = scratch.store(
         named.join(outside, "brief").where(F.col("credit") >= F.ceil(F.col("n") * percent / 100))
-        .select("key", "n", "label", "credit")
+        .select("key", "n", "label")
     )
     grams_ = segments.select("key", F.explode("tokens").alias("gram")).join(small(open_), "key")
     spread = grams_.groupBy("gram").agg(
@@ -481,17 +481,17 @@ def _missing(segments, nodes, labels, percent, deal, scratch: Scratch) -> DataFr
     )
     shared = grams_.join(spread.where("low <> high").select("gram", "df"), "gram")
     # n-grams that no other component holds come first in the order and use up the prefix.
-    ranked = shared.groupBy("key", "n", "label", "credit").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("all"))
+    ranked = shared.groupBy("key", "n", "label").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("all"))
     room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("all"))
     prefix = scratch.store(
         ranked.where(room > 0)
-        .select("key", "n", "label", "credit", F.explode(F.slice("all", F.lit(1), room.cast("int"))).alias("x"))
-        .select("key", "n", "label", "credit", "x.gram")
+        .select("key", "n", "label", F.size("all").alias("held"), F.posexplode(F.slice("all", F.lit(1), room.cast("int"))).alias("at", "x"))
+        .select("key", "n", "label", (F.col("held") - F.col("at")).alias("ahead"), "x.gram")
     )
-    a, b = (prefix.select("gram", *(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "label", "credit"))) for x in "ab")
+    a, b = (prefix.select("gram", *(F.col(c).alias(f"{c}_{x}") for c in ("key", "n", "label", "ahead"))) for x in "ab")
     near = F.col("n_a").between(F.ceil(F.col("n_b") * percent / 100), F.floor(F.col("n_b") * 100 / percent))
-    # The overlap is at most what either shares at all, and at least this part of both sizes.
-    near &= F.least("credit_a", "credit_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    # From their first common n-gram on, both must still hold as many as their sizes require.
+    near &= F.least("ahead_a", "ahead_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
     return (
         a.join(b, "gram").where((F.col("key_a") < F.col("key_b")) & (F.col("label_a") != F.col("label_b")) & near)
         .select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
