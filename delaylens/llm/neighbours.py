@@ -3,8 +3,8 @@
 A table hashes a vector to the cell of ``hashes`` random projections, each cut into steps of one
 width. A query visits its own cell and, in the order of their estimated success, cells that
 differ by one step in some projections: the nearer a projection lies to a step's edge, the more
-likely a neighbour is beyond it. Cells of all tables are joined with the index, candidates are
-made distinct and ranked by their exact distance.
+likely a neighbour is beyond it. Every row looks up which queries visit its cells; the candidates
+of all tables are merged and ranked by their exact distance.
 
 The number of projections, the width and the number of probes are fitted on a bounded sample, so
 that its neighbours are found with the wanted recall; every row is indexed. Equal vectors are one
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from delaylens.llm.scratch import Scratch
 from delaylens.llm.words import constants, mixed
 
-#: Rows and queries that the fit looks at, and the recall it must reach there.
-SAMPLE_ROWS, SAMPLE_QUERIES, RECALL = 4000, 100, 0.97
+#: Rows and queries that the fit looks at, the recall it must reach there, and queries in a block.
+SAMPLE_ROWS, SAMPLE_QUERIES, RECALL, BLOCK = 4000, 300, 0.95, 2000
 
 
 @dataclass(frozen=True)
@@ -71,37 +71,47 @@ def templates(hashes: int) -> np.ndarray:
     return np.array(out)
 
 
-def fit(sample: np.ndarray, rows: int, *, k: int = 10, tables: int = 8, seed: int = 13) -> Index:
+def fit(sample: np.ndarray, rows: int, *, k: int = 10, tables: int = 12, seed: int = 13) -> Index:
     """An index for ``rows`` vectors like those of ``sample``.
 
-    With more rows cells get smaller. If the sample's neighbours can't be found with the wanted
-    recall, fewer projections are tried; with none left every cell is one and the search exact.
+    Among fewer rows neighbours are farther away: the k nearest of all rows are as near as the
+    k * len(sample) / rows nearest of the sample, so these are what the fit must find. For each
+    number of projections it takes the fewest probes with the wanted recall, and of these the
+    index with the fewest candidates. If none reaches it, every cell is one and the search exact.
     """
     rng = np.random.default_rng(seed)
     dims = sample.shape[1]
-    if not len(sample):
-        return Index(np.zeros((1, 1, dims)), np.zeros((1, 1)), 1.0, np.zeros((1, 1), np.int8), 1)
-    queries = sample[: max(1, min(SAMPLE_QUERIES, len(sample)))]
-    apart = ((queries[:, None, :] - sample[None, :, :]) ** 2).sum(-1) if len(sample) * len(queries) * dims < 3e7 else np.stack([((q - sample) ** 2).sum(-1) for q in queries])
+    exact = Index(np.zeros((1, 1, dims)), np.zeros((1, 1)), 1.0, np.zeros((1, 1), np.int8), 1)
+    queries = sample[:SAMPLE_QUERIES]
+    apart = np.stack([((q - sample) ** 2).sum(-1) for q in queries]) if len(sample) else np.zeros((0, 0))
     apart[apart == 0] = np.inf
-    near = np.argsort(apart, axis=1)[:, : max(1, min(k, len(sample) - 1))]
-    real = np.isfinite(np.take_along_axis(apart, near, 1))
-    most = int(np.clip(round(np.log(max(rows, 2) / 30) / np.log(3.5)), 1, 8))
-    for hashes in range(most, 0, -1):
+    count = max(1, round(k * len(sample) / max(rows, 1)))
+    if len(sample) <= count + 1:
+        return exact
+    near = np.argsort(apart, axis=1)[:, :count]
+    best, least = exact, 0.9 * rows
+    most = int(np.clip(round(np.log(max(rows, 2) / 30) / np.log(2)), 2, 12))
+    for hashes in range(2, most + 1, 2):
         lines = rng.normal(size=(tables, hashes, dims))
         width = 1.25 * float(np.std(sample @ lines.reshape(-1, dims).T)) or 1.0
         index = Index(lines, rng.uniform(0, 1, (tables, hashes)), width, templates(hashes), 0)
+        limit = min(len(index.templates), 600)
         places = index.places(sample)
-        rank = np.full(near.shape, len(index.templates))
+        rank = np.full(apart.shape, limit)
         for t in range(tables):
-            steps = np.floor(places[t])
-            visits = index.visits(places[t, : len(queries)], len(index.templates))
-            same = (visits[:, None, :, :] == steps[near][:, :, None, :]).all(-1)
-            rank = np.minimum(rank, np.where(same.any(-1), same.argmax(-1), len(index.templates)))
-        for probes in range(1, len(index.templates) // 2 + 2):
-            if not real.any() or (rank[real] < probes).mean() >= RECALL:
-                return Index(lines, index.shifts, width, index.templates, probes)
-    return Index(np.zeros((1, 1, dims)), np.zeros((1, 1)), 1.0, np.zeros((1, 1), np.int8), 1)
+            cells = index.cells(t, np.floor(places[t]))
+            visits = index.cells(t, index.visits(places[t, : len(queries)], limit))
+            for q, visit in enumerate(visits):
+                order = np.argsort(visit, kind="stable")
+                at = np.minimum(np.searchsorted(visit[order], cells), limit - 1)
+                rank[q] = np.minimum(rank[q], np.where(visit[order][at] == cells, order[at], limit))
+        found = np.take_along_axis(rank, near, 1)
+        reached = [p for p in range(1, limit + 1) if (found < p).mean() >= RECALL]
+        if reached:
+            candidates = (rank < reached[0]).mean() * rows + tables * reached[0]
+            if candidates < least:
+                best, least = Index(lines, index.shifts, width, index.templates, reached[0]), candidates
+    return best
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -109,47 +119,48 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
-def _indexed(index: Index) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places = index.places(_matrix(batch.column("vector")))
-            for t, place in enumerate(places):
-                cells = index.cells(t, np.floor(place))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(cells), t, np.int32)), pa.array(cells), batch.column("cid")], names=["table", "cell", "cid"]
-                )
-
-    return run
+def _search(index: Index, names: np.ndarray, queries: np.ndarray, k: int, rows: int = 1024) -> Callable:
+    """The best ``k`` candidates of each query among the rows of a task, ties to the smaller low.
 
+    A row is a candidate of the queries that visit its cell in any table. Candidates of all tables
+    are merged as marks of (query, row), and only marked pairs are measured.
+    """
 
-def _probing(index: Index) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        probes = []
+        for t, place in enumerate(index.places(queries)):
+            cells = index.cells(t, index.visits(place, index.probes))
+            order = np.argsort(cells, axis=None, kind="stable")
+            probes.append((cells.reshape(-1)[order], order // cells.shape[1]))
+        score = np.full((len(names), k), np.inf)
+        low, cid = np.full(score.shape, np.iinfo(np.int64).max), np.zeros(score.shape, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                for t, place in enumerate(index.places(_matrix(part.column("vector")))):
-                    cells = index.cells(t, index.visits(place, index.probes))
-                    n = cells.shape[1]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(cells.size, t, np.int32)), pa.array(cells.reshape(-1)),
-                            pa.array(np.repeat(part.column("cid").to_numpy(), n)),
-                        ],
-                        names=["table", "cell", "qid"],
-                    )
-
-    return run
-
-
-def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact distances of candidate pairs, in double precision."""
-    for batch in batches:
-        gap = _matrix(batch.column("vector")) - _matrix(batch.column("other"))
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                vectors = _matrix(part.column("vector"))
+                own_cid, own_low = (np.tile(part.column(c).to_numpy(), (len(names), 1)) for c in ("cid", "low"))
+                marks = np.zeros((len(names), len(vectors)), bool)
+                for t, place in enumerate(index.places(vectors)):
+                    cells, (visited, who) = index.cells(t, np.floor(place)), probes[t]
+                    first, last = np.searchsorted(visited, cells, "left"), np.searchsorted(visited, cells, "right")
+                    many = last - first
+                    spot = np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                    marks[who[spot], np.repeat(np.arange(len(cells)), many)] = True
+                found = np.full(marks.shape, np.inf)
+                for q, hits in enumerate(marks):
+                    gap = vectors[hits] - queries[q]
+                    found[q, hits] = np.sqrt((gap * gap).sum(1))
+                score, low, cid = (np.concatenate(x, 1) for x in ((score, found), (low, own_low), (cid, own_cid)))
+                order = np.lexsort((low, score), axis=1)[:, :k]
+                score, low, cid = (np.take_along_axis(x, order, 1) for x in (score, low, cid))
+        q, at = np.nonzero(np.isfinite(score))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("qid"), batch.column("cid"), batch.column("low"), pa.array(np.sqrt((gap * gap).sum(1)))],
+            [pa.array(names[q]), pa.array(cid[q, at]), pa.array(low[q, at]), pa.array(score[q, at])],
             names=["qid", "cid", "low", "score"],
         )
 
+    return run
+
 
 def _first_ids(most: int) -> Callable:
     """The smallest ids of equal vectors in a batch."""
@@ -216,16 +227,19 @@ def nearest(rows: DataFrame, is_query, vector: str = "embedding", key: str = "ve
         sample = classes.orderBy(F.xxhash64("cid")).limit(SAMPLE_ROWS).select("vector").toArrow().column("vector").combine_chunks()
         index = fit(_matrix(sample), count, k=k)
     active = scratch.store(classes.join(queries.select("cid").distinct(), "cid").select("cid", "vector"))
-    cells = classes.select("cid", "vector").mapInArrow(_indexed(index), "table int, cell long, cid long")
-    visits = active.mapInArrow(_probing(index), "table int, cell long, qid long").distinct()
-    pairs = visits.join(cells, ["table", "cell"]).select("qid", "cid").distinct()
-    scored = (
-        pairs.join(classes.select("cid", F.col("vector").alias("other"), F.col("ids")[0].alias("low")), "cid")
-        .join(active.withColumnRenamed("cid", "qid"), "qid")
-    )
-    measured = scored.select("qid", "cid", "low", "vector", "other").mapInArrow(
-        _measured, "qid long, cid long, low long, score double"
-    )
+    # Queries come in blocks of bounded size; each block meets all rows where they are stored.
+    blocks = max(1, -(-active.count() // BLOCK))
+    entries = classes.select("cid", F.col("ids")[0].alias("low"), "vector")
+    measured = None
+    for b in range(blocks):
+        block = active.where(F.pmod(F.xxhash64("cid"), F.lit(blocks)) == b).select("cid", "vector").toArrow()
+        if not block.num_rows:
+            continue
+        search = _search(index, block.column("cid").to_numpy(), _matrix(block.column("vector").combine_chunks()), k + 1)
+        found = entries.mapInArrow(search, "qid long, cid long, low long, score double")
+        measured = found if measured is None else measured.unionByName(found)
+    if measured is None:
+        measured = rows.sparkSession.createDataFrame([], "qid long, cid long, low long, score double")
     # A class has at least one row, so k classes beside the query's own suffice.
     rank = F.row_number().over(Window.partitionBy("qid").orderBy("score", "low"))
     best = measured.withColumn("place", rank).where(F.col("place") <= k + 1).select("qid", "cid", "score")
