@@ -9,12 +9,17 @@ of all tables are merged and ranked by their exact distance.
 The number of projections, the width and the number of probes are fitted on a bounded sample, so
 that its neighbours are found with the wanted recall; every row is indexed. Equal vectors are one
 entry of the index, with as many of their smallest ids as any result can need.
+
+That recall is a mean, and an outlier lies in cells that hold few of its neighbours or none. The
+chance to find a row depends on its distance alone, so the fit also tells up to which distance
+rows are found with the wanted recall. A query that meets too few rows within it is measured
+against all rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import combinations, product
 
 import numpy as np
@@ -32,13 +37,15 @@ SAMPLE_ROWS, SAMPLE_QUERIES, RECALL, BLOCK = 4000, 300, 0.95, 2000
 @dataclass(frozen=True)
 class Index:
     """``projections`` (tables, hashes, dimensions), ``shifts`` (tables, hashes), the step
-    ``width`` and, as rows of steps, the ``probes`` templates of which a query takes the best."""
+    ``width`` and, as rows of steps, the ``probes`` templates of which a query takes the best.
+    Rows up to the distance ``reach`` are found with the wanted recall."""
 
     projections: np.ndarray
     shifts: np.ndarray
     width: float
     templates: np.ndarray
     probes: int
+    reach: float = 0.0
 
     def places(self, vectors: np.ndarray) -> np.ndarray:
         """Where vectors lie in units of a step: (table, row, projection)."""
@@ -81,7 +88,7 @@ def fit(sample: np.ndarray, rows: int, *, k: int = 10, tables: int = 12, seed: i
     """
     rng = np.random.default_rng(seed)
     dims = sample.shape[1]
-    exact = Index(np.zeros((1, 1, dims)), np.zeros((1, 1)), 1.0, np.zeros((1, 1), np.int8), 1)
+    exact = Index(np.zeros((1, 1, dims)), np.zeros((1, 1)), 1.0, np.zeros((1, 1), np.int8), 1, np.inf)
     queries = sample[:SAMPLE_QUERIES]
     apart = np.stack([((q - sample) ** 2).sum(-1) for q in queries]) if len(sample) else np.zeros((0, 0))
     apart[apart == 0] = np.inf
@@ -111,7 +118,26 @@ def fit(sample: np.ndarray, rows: int, *, k: int = 10, tables: int = 12, seed: i
             candidates = (rank < reached[0]).mean() * rows + tables * reached[0]
             if candidates < least:
                 best, least = Index(lines, index.shifts, width, index.templates, reached[0]), candidates
-    return best
+    return best if best is exact else replace(best, reach=_reach(best, queries, float(np.sqrt(apart[np.isfinite(apart)].max())), rng))
+
+
+def _reach(index: Index, queries: np.ndarray, most: float, rng: np.random.Generator, tries: int = 2000) -> float:
+    """The largest distance up to ``most`` at which a row in any direction is found with ``RECALL``."""
+    queries = queries[np.arange(tries) % len(queries)]
+    ways = rng.normal(size=queries.shape)
+    ways /= np.sqrt((ways**2).sum(1, keepdims=True))
+    # Other shifts for each try: a query may lie anywhere in a step.
+    own = index.places(queries) + rng.uniform(0, 1, (len(index.projections), tries, 1))
+    moved = np.einsum("thd,nd->tnh", index.projections, ways) / index.width
+    visits = [np.sort(index.cells(t, index.visits(place, index.probes)), axis=1) for t, place in enumerate(own)]
+    low, high = 0.0, most
+    for _ in range(12):
+        far = (low + high) / 2
+        found = np.zeros(tries, bool)
+        for t, visit in enumerate(visits):
+            found |= (visit == index.cells(t, np.floor(own[t] + far * moved[t]))[:, None]).any(1)
+        low, high = (far, high) if found.mean() >= RECALL else (low, far)
+    return low
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -201,6 +227,27 @@ def usable(rows: DataFrame, vector: str, key: str) -> DataFrame:
     )
 
 
+def _looked_up(index: Index, active: DataFrame, entries: DataFrame, k: int) -> DataFrame:
+    """(qid, cid, score): the best ``k`` + 1 entries found for each stored row of ``active``.
+
+    Queries come in blocks of bounded size; each block meets all entries where they are stored.
+    """
+    blocks = max(1, -(-active.count() // BLOCK))
+    measured = None
+    for b in range(blocks):
+        block = active.where(F.pmod(F.xxhash64("cid"), F.lit(blocks)) == b).select("cid", "vector").toArrow()
+        if not block.num_rows:
+            continue
+        search = _search(index, block.column("cid").to_numpy(), _matrix(block.column("vector").combine_chunks()), k + 1)
+        found = entries.mapInArrow(search, "qid long, cid long, low long, score double")
+        measured = found if measured is None else measured.unionByName(found)
+    if measured is None:
+        measured = entries.sparkSession.createDataFrame([], "qid long, cid long, low long, score double")
+    # A class has at least one row, so k classes beside the query's own suffice.
+    rank = F.row_number().over(Window.partitionBy("qid").orderBy("score", "low"))
+    return measured.withColumn("place", rank).where(F.col("place") <= k + 1).select("qid", "cid", "score")
+
+
 def nearest(rows: DataFrame, is_query, vector: str = "embedding", key: str = "vec_id", k: int = 10, index: Index | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each query, nearest first.
 
@@ -208,7 +255,8 @@ def nearest(rows: DataFrame, is_query, vector: str = "embedding", key: str = "ve
     original vectors in double precision; ties go to the smaller id. A query is no neighbour of
     itself; other rows with an equal vector are. Rows with a null key or an unusable vector (see
     ``usable``) take no part; of rows that repeat a key with equal vectors one counts, with
-    different vectors the nearest. If fewer than ``k`` other rows exist, all of them are ranked. Other columns are not
+    different vectors the nearest. If fewer than ``k`` other rows exist, all of them are ranked.
+    Queries without ``k`` other rows within the index's reach meet all rows. Other columns are not
     read. An empty table gives none.
     """
     scratch = Scratch(rows.sparkSession, "neighbours")
@@ -227,22 +275,16 @@ def nearest(rows: DataFrame, is_query, vector: str = "embedding", key: str = "ve
         sample = classes.orderBy(F.xxhash64("cid")).limit(SAMPLE_ROWS).select("vector").toArrow().column("vector").combine_chunks()
         index = fit(_matrix(sample), count, k=k)
     active = scratch.store(classes.join(queries.select("cid").distinct(), "cid").select("cid", "vector"))
-    # Queries come in blocks of bounded size; each block meets all rows where they are stored.
-    blocks = max(1, -(-active.count() // BLOCK))
     entries = classes.select("cid", F.col("ids")[0].alias("low"), "vector")
-    measured = None
-    for b in range(blocks):
-        block = active.where(F.pmod(F.xxhash64("cid"), F.lit(blocks)) == b).select("cid", "vector").toArrow()
-        if not block.num_rows:
-            continue
-        search = _search(index, block.column("cid").to_numpy(), _matrix(block.column("vector").combine_chunks()), k + 1)
-        found = entries.mapInArrow(search, "qid long, cid long, low long, score double")
-        measured = found if measured is None else measured.unionByName(found)
-    if measured is None:
-        measured = rows.sparkSession.createDataFrame([], "qid long, cid long, low long, score double")
-    # A class has at least one row, so k classes beside the query's own suffice.
-    rank = F.row_number().over(Window.partitionBy("qid").orderBy("score", "low"))
-    best = measured.withColumn("place", rank).where(F.col("place") <= k + 1).select("qid", "cid", "score")
+    best = scratch.store(_looked_up(index, active, entries, k))
+    if index.reach < np.inf:
+        # A query is settled if k rows beside itself lie where rows are found with the wanted recall.
+        within = best.where(F.col("score") <= index.reach).join(classes.select("cid", F.size("ids").alias("many")), "cid")
+        settled = within.groupBy(F.col("qid").alias("cid")).agg(F.sum("many").alias("many")).where(F.col("many") > k)
+        left = scratch.store(active.join(settled, "cid", "left_anti"))
+        exact = Index(np.zeros_like(index.projections[:1, :1]), np.zeros((1, 1)), 1.0, np.zeros((1, 1), np.int8), 1, np.inf)
+        measured = scratch.store(_looked_up(exact, left, entries, k))
+        best = best.join(left.select(F.col("cid").alias("qid")), "qid", "left_anti").unionByName(measured)
     named = best.join(classes.select("cid", F.explode("ids").alias("vec_id")), "cid")
     expanded = queries.withColumnRenamed("cid", "qid").join(named, "qid").where("id <> vec_id")
     once = expanded.groupBy("id", "vec_id").agg(F.min("score").alias("score"))

@@ -49,6 +49,21 @@ def test_many_equal_vectors(spark):
     assert [r.vec_id for r in sorted(found, key=lambda r: r.rank) if r.query_id == 500] == [400, 401, 402, 403, 404, 405, 406, 407, 408, 409]
 
 
+def test_outliers_of_clusters_find_their_neighbours(spark):
+    rng = np.random.default_rng(3)
+    middles = 20 * rng.normal(size=(20, 8))
+    inner = [(i, (middles[i % 20] + rng.normal(size=8)).tolist()) for i in range(5900)]
+    rows = [(i, np.float32(v).tolist()) for i, v in inner + [(i, (120 * rng.normal(size=8)).tolist()) for i in range(5900, 6000)]]
+    asked = {*range(0, 5900, 100), *range(5900, 6000, 5)}
+    found = neighbours.nearest(vectors(spark, rows), F.col("id").isin(*asked)).collect()
+    want = {(q, i) for q, _, i, _ in exact(rows, asked.__contains__)}
+    got = {(r.query_id, r.vec_id) for r in found}
+    assert len(found) == len(want)
+    for low, high in ((0, 5900), (5900, 6000)):
+        part = {(q, i) for q, i in want if low <= q < high}
+        assert len(got & part) >= 0.95 * len(part)
+
+
 def test_no_vectors(spark):
     assert neighbours.nearest(vectors(spark, []), F.col("id") % 100 == 0).count() == 0
     assert neighbours.nearest(vectors(spark, [(0, None)]), F.col("id") % 100 == 0).count() == 0
