@@ -11,6 +11,10 @@ verified by the exact edit distance in words.
 
 The walk from all windows of a batch is one array that moves step by step, and windows leave it
 as soon as a sampled step fits no item.
+
+Short items have too few words for a walk and are searched for exactly: of one more pieces than
+an item may have edits, one must occur unchanged. Pieces are looked up among the n-grams of a
+text, and the places where they occur are verified together.
 """
 
 from __future__ import annotations
@@ -23,16 +27,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.words import Words, blanks, pooled, split
+from delaylens.llm.words import Words, blanks, grams, pooled, split
 
 #: Benchmark items that are searched for in one pass over the documents.
 BLOCK = 20_000
+#: Words of a piece that are looked up, and numbers that places are verified in at once.
+PIECE, CELLS = 8, 1 << 20
 
 
 @dataclass(frozen=True)
 class Settings:
     """``rate``: edits per word of an item that still count as the item; ``words``: shorter items
-    are not searched for; ``recall``: share of items edited at the full rate to be found."""
+    are searched for exactly; ``recall``: share of other items edited at the full rate to be found."""
 
     rate: float = 0.2
     words: int = 8
@@ -56,15 +62,27 @@ class Repetition:
     walks: np.ndarray
 
 
+@dataclass
+class Pieces:
+    """Sorted fingerprints of pieces of one length, their items and their first words there."""
+
+    length: int
+    keys: np.ndarray
+    items: np.ndarray
+    offsets: np.ndarray
+
+
 @dataclass
 class Search:
-    """Items as fingerprints, their ids, the sorted vocabulary, and the repetitions of all lengths."""
+    """Items as fingerprints, their ids, the sorted vocabulary of those that walk, the repetitions
+    of all lengths, and the pieces of items that are searched for exactly."""
 
     ids: list
     items: list[np.ndarray]
     vocabulary: np.ndarray
     repetitions: list[Repetition]
     settings: Settings
+    pieces: list[Pieces]
 
 
 def _walk(prints: np.ndarray, bits: np.ndarray, count: int) -> np.ndarray:
@@ -93,13 +111,16 @@ def _edited(item: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarra
 
 def prepare(ids: list, items: list[np.ndarray], s: Settings = Settings()) -> Search:
     """Choose the repetitions for items given as word fingerprints."""
-    kept = [(i, x) for i, x in zip(ids, items) if len(x) >= s.words]
+    kept = [(i, x) for i, x in zip(ids, items) if len(x)]
     ids, items = [i for i, _ in kept], [x for _, x in kept]
-    vocabulary = np.unique(np.concatenate(items)) if items else np.zeros(0, np.uint64)
+    walking = [k for k, x in enumerate(items) if len(x) >= s.words]
+    vocabulary = np.unique(np.concatenate([items[k] for k in walking])) if walking else np.zeros(0, np.uint64)
     rng = np.random.default_rng(s.seed)
-    search = Search(ids, items, vocabulary, [], s)
+    search = Search(ids, items, vocabulary, [], s, [])
+    exact = [k for k, x in enumerate(items) if len(x) < s.words]
     classes: dict[int, list[int]] = {}
-    for k, item in enumerate(items):
+    for k in walking:
+        item = items[k]
         classes.setdefault(len(item).bit_length(), []).append(k)
     for bits_, members in sorted(classes.items()):
         length = 1 << (bits_ - 1)
@@ -121,9 +142,28 @@ def prepare(ids: list, items: list[np.ndarray], s: Settings = Settings()) -> Sea
                     found[t] = same[steps].all() and same.mean() >= s.agreement
             if found.mean() >= s.recall:
                 break
+    search.pieces = _pieces(items, exact, s)
     return search
 
 
+def _pieces(items: list[np.ndarray], members: list[int], s: Settings) -> list[Pieces]:
+    """Each item cut into one more pieces than it may have edits."""
+    cut: dict[int, list[tuple[int, int]]] = {}
+    for k in members:
+        many = min(int(s.rate * len(items[k])) + 1, len(items[k]))
+        edges = [len(items[k]) * i // many for i in range(many + 1)]
+        for a, b in zip(edges[:-1], edges[1:]):
+            cut.setdefault(min(b - a, PIECE), []).append((k, a))
+    out = []
+    for length, places in sorted(cut.items()):
+        prints = np.stack([items[k][a : a + length] for k, a in places])
+        keys, _, _ = grams(Words(None, None, prints.reshape(-1), np.arange(len(places) + 1) * length, None), length)
+        own, offsets = np.array(places, np.int64).T
+        order = np.argsort(keys, kind="stable")
+        out.append(Pieces(length, keys[order], own[order], offsets[order]))
+    return out
+
+
 def _repetition(search: Search, members: list[int], moves: np.ndarray, steps: list[int], count: int) -> Repetition:
     size = np.uint64(len(search.vocabulary) + 1)
     keys, own, walks = [], [], []
@@ -217,6 +257,61 @@ def edits(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best
 
 
+def _nearest_parts(patterns: np.ndarray, regions: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``edits`` of each pattern to the region in the same row, all rows at once."""
+    columns = np.arange(regions.shape[1] + 1, dtype=np.int32)
+    row = np.zeros((len(regions), len(columns)), np.int32)
+    for i in range(patterns.shape[1]):
+        new = np.full_like(row, i + 1)
+        new[:, 1:] = np.minimum(row[:, :-1] + ~((regions == patterns[:, i : i + 1]) & valid), row[:, 1:] + 1)
+        row = np.minimum.accumulate(new - columns, axis=1) + columns
+    ends = row.argmin(1)
+    return row[np.arange(len(row)), ends], ends
+
+
+def _places(search: Search, words: Words) -> Iterator[np.ndarray]:
+    """(item, text, region) where pieces occur, as rows in sets of bounded size.
+
+    Of an item with ``most`` edits, places that begin in the same ``most`` + 1 words share a region.
+    """
+    sizes = np.array([len(x) for x in search.items], np.int64)
+    step = (search.settings.rate * sizes).astype(np.int64) + 1
+    for p in search.pieces:
+        prints, owner, first = grams(words, p.length)
+        low, high = np.searchsorted(p.keys, prints, "left"), np.searchsorted(p.keys, prints, "right")
+        hit = np.flatnonzero(high > low)
+        low, many = low[hit], (high - low)[hit]
+        upto = np.append(0, np.cumsum(many))
+        at = 0
+        while at < len(hit):
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] + CELLS, "right")) - 1)
+            part = slice(at, end)
+            which = np.repeat(low[part] - upto[at:end], many[part]) + np.arange(upto[at], upto[end])
+            window, item = np.repeat(first[hit[part]], many[part]), p.items[which]
+            yield np.unique(np.stack([item, np.repeat(owner[hit[part]], many[part]), (window - p.offsets[which]) // step[item]], 1), axis=0)
+            at = end
+
+
+def exact_leaks(search: Search, words: Words) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, end word, edits) of places of the items that are searched for exactly."""
+    sizes = np.array([len(x) for x in search.items], np.int64)
+    for places in _places(search, words):
+        length = sizes[places[:, 0]]
+        for n in np.unique(length):
+            group, most = places[length == n], int(search.settings.rate * n)
+            width = n + 3 * most
+            rows = max(1, CELLS // int(width))
+            for at in range(0, len(group), rows):
+                k, text, region = group[at : at + rows].T
+                begin = region * (most + 1) - most
+                spots = begin[:, None] + np.arange(width)
+                valid = (spots >= words.bounds[text][:, None]) & (spots < words.bounds[text + 1][:, None])
+                patterns = np.stack([search.items[i] for i in k])
+                counts, ends = _nearest_parts(patterns, words.prints[np.where(valid, spots, 0)], valid)
+                good = np.flatnonzero(counts <= most)
+                yield from zip(text[good].tolist(), k[good].tolist(), (begin + ends - words.bounds[text])[good].tolist(), counts[good].tolist())
+
+
 def leaks(search: Search, words: Words) -> Iterator[tuple[int, int, int, int]]:
     """(text, item, end word, edits) of every item found in a text, with the fewest edits."""
     best: dict[tuple[int, int], tuple[int, int]] = {}
@@ -233,6 +328,8 @@ def leaks(search: Search, words: Words) -> Iterator[tuple[int, int, int, int]]:
         count, end = edits(item, words.prints[first : min(high, window + len(item) + most)])
         if count <= most:
             best[text, k] = min(best.get((text, k), (count, first + end - low)), (count, first + end - low))
+    for text, k, end, count in exact_leaks(search, words):
+        best[text, k] = min(best.get((text, k), (count, end)), (count, end))
     for (text, k), (count, end) in sorted(best.items()):
         yield text, k, end, count
 
@@ -269,7 +366,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str =
 
     One row per document row and item, with the fewest edits and the word at which that place
     ends. Words are separated by ASCII white space, A-Z equal to a-z. Items shorter than
-    ``words`` words, null or empty items are not searched for; null and empty texts hold none.
+    ``words`` words are found without exception. Null or empty items are not searched for; null and
+    empty texts hold none.
     Of repeated items each is reported; repeated rows are judged one by one, null keys kept.
     Other columns are not read; an empty table on either side gives none.
     """

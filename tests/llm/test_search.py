@@ -148,6 +148,30 @@ def test_leaks_are_those_of_the_full_search(documents, spark, planted):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in rows} - {d for d, _ in found}
 
 
+def every_edit(pattern, words, rate=0.2):
+    return table_distance(pattern, words) <= int(rate * len(pattern))
+
+
+def test_short_items_are_found_without_exception(documents, spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(30)]
+    items = [(i, rng.choices(vocabulary, k=1 + i % 7)) for i in range(60)]
+    rows = [(d, rng.choices(vocabulary, k=rng.randint(0, 25))) for d in range(120)]
+    for d in range(0, 120, 3):
+        words = list(rng.choice(items)[1])
+        if len(words) >= 5:
+            at = rng.randrange(len(words))
+            words[at : at + rng.randint(0, 1)] = ["edit"] * rng.randint(0, 1)
+        at = rng.randint(0, len(rows[d][1]))
+        rows[d][1][at:at] = words
+    table = spark.createDataFrame([(i, " ".join(w).upper()) for i, w in items] + [(98, ""), (99, None)], "item_id long, text string")
+    docs = documents([(d, " ".join(w)) for d, w in rows] + [(500, None), (501, "")])
+    want = {(d, i): table_distance(p, w) for d, w in rows for i, p in items if every_edit(p, w)}
+    assert {(r.doc_id, r.item_id): r.edits for r in decontaminate.find_leaks(docs, table).collect()} == want
+    kept = {r.doc_id for r in decontaminate.clean(docs, table).collect()}
+    assert kept == {*range(120), 500, 501} - {d for d, _ in want}
+
+
 def test_blocks_of_items_find_the_same(documents, spark, planted, monkeypatch):
     rows, items, _ = planted
     table = spark.createDataFrame(items, "item_id long, text string")
