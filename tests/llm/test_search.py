@@ -172,6 +172,21 @@ def test_short_items_are_found_without_exception(documents, spark):
     assert kept == {*range(120), 500, 501} - {d for d, _ in want}
 
 
+def test_items_that_walks_miss_are_found_exactly(documents, spark, planted):
+    rows, items, _ = planted
+    rng = random.Random(6)
+    long = [f"long{rng.randrange(90)}" for _ in range(150)]
+    edited = list(long)
+    for at in rng.sample(range(150), 29):
+        edited[at] = "edit"
+    rows = rows + [(300, " ".join(["x"] * 9 + edited + ["y"])), (301, " ".join(long[:110]))]
+    items = [*items, (70, " ".join(long))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    few = decontaminate.Settings(repetitions=2)
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(documents(rows), table, s=few).collect()}
+    assert found == brute(rows, items) and (300, 70) in found
+
+
 def test_blocks_of_items_find_the_same(documents, spark, planted, monkeypatch):
     rows, items, _ = planted
     table = spark.createDataFrame(items, "item_id long, text string")
