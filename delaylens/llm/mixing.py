@@ -4,7 +4,8 @@ Every document draws an exponential key whose rate is its quality weight (Efraim
 Spirakis): in rising key order, documents of a higher weight tend to come first. A source whose
 target exceeds its size is taken whole as often as it fits; the rest of the target is filled in
 key order until the prefix sum of sizes reaches it. A document that no longer fits is passed over
-and smaller ones further on fill what is left.
+and smaller ones further on fill what is left. At the end of its order a source that is still
+short goes through it again, as long as a document may be taken once more.
 
 The prefix sum has two levels, so that a source with a third of all rows is never gathered:
 sizes are summed per source and range of keys, and only the one range of a source in which its
@@ -22,7 +23,8 @@ from delaylens.llm.scratch import Scratch, small
 
 #: Words as the sizes count them, and ranges that the keys of a source are divided into.
 WORD, RANGES = "[^\\x20\\x09-\\x0D]+", 4096
-#: How often at most the rest of a budget is filled with documents further on that still fit.
+#: How often at most, for each time that a document may be taken, the rest of a budget is filled
+#: with documents further on that still fit.
 ROUNDS = 6
 
 
@@ -71,7 +73,8 @@ def mixture(
     """The rows of ``docs`` as (_id, _source, _size, _key, _range), and one row per source.
 
     Per source: _source, source_size, target, epochs (how often it is taken whole) and cuts (the
-    stretches of its order, each with the size up to which documents in it are taken once more).
+    stretches of its order, each with the size up to which documents in it are taken once more;
+    those of several passes overlap).
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     words = F.col(text).cast("string")
@@ -92,11 +95,11 @@ def mixture(
     place = _PLACE.format(dict(rows.dtypes)["_id"])
     state = scratch.store(
         sources.select(
-            F.col("_source").alias("_name"), "rest", F.lit(None).cast(place).alias("from"),
+            F.col("_source").alias("_name"), "rest", (F.lit(cap) - F.col("epochs")).alias("passes"), F.lit(None).cast(place).alias("from"),
             F.array().cast(_CUTS.format(place)).alias("cuts"),
         )
     )
-    for _ in range(ROUNDS):
+    for _ in range(ROUNDS * cap):
         state, more = _advanced(rows, state, place, scratch)
         if not more:
             break
@@ -114,8 +117,9 @@ _CUTS = "array<struct<after: {0}, upto: {0}, fits: double>>"
 def _advanced(rows: DataFrame, state: DataFrame, place: str, scratch: Scratch) -> tuple[DataFrame, bool]:
     """Take, in key order, rows that fit what is left, up to the first one that does not.
 
-    ``state`` has a row per source: what is left of its budget (rest), where it stands (from) and
-    the stretches taken so far (cuts). Also tells whether any source could take more.
+    ``state`` has a row per source: what is left of its budget (rest), how many passes through its
+    order may be made with this one (passes), where it stands (from) and the stretches taken so far
+    (cuts). Also tells whether any source could take more.
     """
     here = F.struct("_range", "_key", "_id")
     live = (
@@ -144,28 +148,35 @@ def _advanced(rows: DataFrame, state: DataFrame, place: str, scratch: Scratch) -
     ends = ends.withColumnRenamed("_name", "_ended")
     before = F.struct(F.col("end._range").alias("_range"), F.lit(-1.0).alias("_key"), F.lit(None).alias("_id")).cast(place)
     whole = F.struct(F.lit(RANGES).alias("_range"), F.lit(0.0).alias("_key"), F.lit(None).alias("_id")).cast(place)
-    to = F.when(F.col("end").isNull(), whole).otherwise(F.coalesce("last", before))
-    used = F.when(F.col("end").isNull(), F.coalesce("all", F.lit(0))).otherwise(F.coalesce("sum", "end.before"))
+    ended = F.col("end").isNull()
+    to = F.when(ended, whole).otherwise(F.coalesce("last", before))
+    used = F.when(ended, F.coalesce("all", F.lit(0))).otherwise(F.coalesce("sum", "end.before"))
     cut = F.struct(F.col("from").alias("after"), to.alias("upto"), F.col("rest").alias("fits"))
+    rest = F.col("rest") - used
+    # A pass from the beginning in which nothing fits is the last one.
+    idle = F.col("all").isNull() & F.col("from").isNull()
+    again = ended & (F.col("passes") > 1) & (rest >= 1) & ~idle
     moved = scratch.store(
         state.join(ends, F.col("_name").eqNullSafe(F.col("_ended")), "left")
         .join(taken, F.col("_name").eqNullSafe(F.col("_some")), "left")
         .select(
-            "_name", (F.col("rest") - used).alias("rest"), to.alias("from"),
-            F.concat("cuts", F.array(cut)).alias("cuts"), (F.col("end").isNotNull()).alias("more"),
+            "_name", rest.alias("rest"), (F.col("passes") - ended.cast("int")).alias("passes"),
+            F.when(~again, to).alias("from"),
+            F.when(idle & (F.size("cuts") > 0), F.col("cuts")).otherwise(F.concat("cuts", F.array(cut))).alias("cuts"),
+            (~ended | again).alias("more"),
         )
     )
     return moved.drop("more"), not moved.where("more AND rest >= 1").isEmpty()
 
 
 def _times() -> Column:
-    """How often a row is taken: its source's epochs, and once more if it lies in a stretch taken."""
+    """How often a row is taken: its source's epochs, and once more for each stretch taken that it lies in."""
     here = F.struct("_range", "_key", "_id")
-    more = F.exists(
+    more = F.filter(
         "cuts",
         lambda c: (c["after"].isNull() | (here > c["after"])) & (here <= c["upto"]) & (F.col("_size") <= c["fits"]),
     )
-    return F.col("epochs") + F.when(F.coalesce(more, F.lit(False)), 1).otherwise(0)
+    return F.col("epochs") + F.when(F.col("cuts").isNull(), 0).otherwise(F.size(more))
 
 
 def mix_counts(docs: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id", **options) -> DataFrame:
@@ -173,8 +184,9 @@ def mix_counts(docs: DataFrame, source: str = "source", text: str = "text", key:
 
     Size is the number of words, 0 for a null text. Sources in code point order, null last, have
     the weights in turn; see ``target_sizes``. Only whole documents are taken, in key order, each if
-    it fits what is left of the budget, so a source falls short of its target by less than its
-    smallest document left (after ``ROUNDS`` fillings). Keys are hashes of row
+    it fits what is left of the budget, and none more than ``cap`` times. Unless ``ROUNDS`` * ``cap``
+    fillings end before, a source falls short of its target by less than its smallest document
+    that was taken fewer times. Keys are hashes of row
     key and text, so reruns agree; rows equal in both are taken or left together. Empty texts are taken
     with their neighbours and add nothing. An empty table gives none. Columns of ``docs`` beyond
     the three named are not read.

@@ -48,6 +48,16 @@ def test_mix_meets_its_targets(many):
             assert abs(by_target[t, sizes[s]] - t) <= 0.02 * t + 1
 
 
+def test_one_dominating_document_leaves_no_gap(documents):
+    rows = [(i, "w " * (10 + 10 * (i % 7)), "en", "a") for i in range(100)] + [(500, "w " * 9000, "en", "a")]
+    rows += [(1000 + i, "w " * 10, "en", "b") for i in range(716)]
+    found = mixing.mix_counts(documents(rows), weights=(1, 3)).collect()
+    part = [r for r in found if r.doc_id <= 500]
+    assert all(0 <= r.times <= 3 and r.taken == r.times * r.size for r in found)
+    assert part[0].target - 10 < sum(r.taken for r in part) <= part[0].target
+    assert len(mixing.mix(documents(rows), weights=(1, 3)).where("doc_id <= 500").collect()) == sum(r.times for r in part)
+
+
 def test_mix_reruns_agree_and_returns_rows(many):
     one, two = (sorted(map(str, mixing.mix_counts(many.repartition(n)).collect())) for n in (2, 5))
     assert one == two
