@@ -391,11 +391,11 @@ def _grouped(docs: DataFrame, text: str, key: str, size: int, percent: int, fold
     kind = dict(base.dtypes)["_id"]
     signed = scratch.store(base.mapInArrow(_signed(size, fold), f"_row long, _id {kind}, n long, key binary, brief long"))
     classes = scratch.store(
-        signed.where("key IS NOT NULL").groupBy("key", "_id")
+        signed.where("key IS NOT NULL").groupBy("key", "_id", "_row")
         .agg(F.count("*").alias("times"), F.max("n").alias("n"), F.max("brief").alias("brief"))
         .groupBy("key", "brief", "n")
-        .agg(F.min("_id").alias("least_id"), F.min(F.struct(F.coalesce(F.col("_id").cast("string"), F.lit("")), "_id", "times")).alias("rep"))
-        .select("key", "brief", "n", "least_id", "rep._id", "rep.times")
+        .agg(F.min("_id").alias("least_id"), F.min(F.struct(F.coalesce(F.col("_id").cast("string"), F.lit("")), "_row", "times")).alias("rep"))
+        .select("key", "brief", "n", "least_id", "rep._row", "rep.times")
     )
     labels = _linked(base, classes, size, percent, fold, scratch)
     grouped = classes.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
@@ -412,11 +412,12 @@ def _linked(base, classes, size, percent, fold, scratch: Scratch) -> DataFrame:
     credit = _credits(sent, count)
     left = scratch.store(
         classes.join(credit, "brief").where(F.col("credit") >= _needed(F.col("n"), percent))
-        .select("key", "_id", "times", "n", "credit")
+        .select("key", "_row", "times", "n", "credit")
     )
     # Repeated rows of one document would give its set twice; only these are made distinct.
-    wanted = small(left.select("key", "_id", "times"))
-    docs = base.join(wanted, base["_id"].eqNullSafe(wanted["_id"])).select("_text", "key", "times")
+    # A row is met by key and text: many rows may share a key, as those without one do.
+    wanted = small(left.select("key", "_row", "times"))
+    docs = base.join(wanted, "_row").select("_text", "key", "times")
     segmented = _segmented(size, fold)
     segments = scratch.store(
         docs.where("times = 1").select("_text", "key").mapInArrow(segmented, _SEGMENTS)

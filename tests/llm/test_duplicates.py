@@ -57,6 +57,26 @@ def test_groups_of_many_edited_copies(documents):
     assert order(found) == order(groups(rows))
 
 
+def test_rows_without_a_key_meet_their_own_class_only(documents, monkeypatch, tmp_path):
+    plain, log = ngramjoin._segmented, str(tmp_path / "rows")
+
+    def counted(size, fold):
+        run = plain(size, fold)
+
+        def seen(batches):
+            for batch in batches:
+                with open(log, "a") as f:
+                    f.write(f"{batch.num_rows}\n")
+                yield from run(iter([batch]))
+
+        return seen
+
+    monkeypatch.setattr(ngramjoin, "_segmented", counted)
+    texts = [" ".join(f"w{t}x{j}" for j in range(40)) + f" end{c}" for t in range(15) for c in range(2)]
+    ngramjoin.jaccard_groups(documents([(None, t) for t in texts])).collect()
+    assert sum(map(int, open(log).read().split())) <= 2 * len(texts)
+
+
 def test_one_of_each_group_stays(documents, odd_rows):
     docs = documents(odd_rows)
     kept = ngramjoin.one_of_each_group(docs)
