@@ -38,4 +38,4 @@ def test_stages_take_effect(spark, folder):
 
 
 def test_every_operator_is_registered():
-    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14))
