@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.words import Words, blanks, grams, pooled, split
+from delaylens.llm.words import Words, blanks, grams, pooled, released, split
 
 #: Benchmark items that are searched for in one pass over the documents.
 BLOCK = 20_000
@@ -412,6 +412,7 @@ def _holding(search: Search):
         for batch in pooled([pa.RecordBatch.from_arrays([column], names=["_text"])], "_text"):
             out[[at + t for t, *_ in leaks(search, split(batch.column("_text"), blanks(), True))]] = True
             at += batch.num_rows
+        released()
         return pa.array(out)
 
     return holds

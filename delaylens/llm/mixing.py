@@ -9,36 +9,68 @@ short goes through it again, as long as a document may be taken once more.
 
 The prefix sum has two levels, so that a source with a third of all rows is never gathered:
 sizes are summed per source and range of keys, and only the one range of a source in which its
-budget ends is summed row by row. All expressions are Spark's own.
+budget ends is summed row by row. Ranges are as many as the rows need, and divide the keys of
+every weight about evenly. All expressions are Spark's own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylens.llm.scratch import Scratch, small
 
-#: Words as the sizes count them, and ranges that the keys of a source are divided into.
-WORD, RANGES = "[^\\x20\\x09-\\x0D]+", 4096
-#: How often at most, for each time that a document may be taken, the rest of a budget is filled
-#: with documents further on that still fit.
-ROUNDS = 6
+#: Words as the sizes count them.
+WORD = "[^\\x20\\x09-\\x0D]+"
+#: Ranges that the keys are divided into: so many at least, and one for so many rows.
+RANGES, ROWS = 4096, 20_000
 
 
-def _drawn(rows: DataFrame, quality: DataFrame | None, scratch: Scratch) -> DataFrame:
-    """``rows`` with _key (rising: taken earlier) and _range, a monotone function of it, for _draw."""
+def _drawn(rows: DataFrame, weights: DataFrame | None) -> DataFrame:
+    """``rows`` with _key (rising: taken earlier) for _draw; ``weights`` is what ``_weights`` gives."""
     rate = F.lit(1.0)
-    if quality is not None:
-        weights = quality.where("weight IS NOT NULL").groupBy(F.col("key").alias("_qkey")).agg(F.max("weight").alias("_weight"))
-        rows = rows.join(small(scratch.store(weights)), rows["_id"] == F.col("_qkey"), "left").drop("_qkey")
+    if weights is not None:
+        rows = rows.join(small(weights), rows["_id"] == F.col("_qkey"), "left").drop("_qkey")
         rate = F.coalesce("_weight", F.lit(1.0))
     uniform = (F.shiftrightunsigned("_draw", 11) + F.lit(0.5)) / F.lit(float(1 << 53))
-    exponential = -F.log(uniform) / rate
-    ranged = F.least(F.lit(RANGES - 1), F.floor((1 - F.exp(-exponential)) * RANGES)).cast("int")
-    return rows.withColumn("_key", exponential).withColumn("_range", ranged).drop("_weight", "_draw")
+    return rows.withColumn("_key", -F.log(uniform) / rate).drop("_weight", "_draw")
+
+
+def _weights(quality: DataFrame | None, scratch: Scratch) -> DataFrame | None:
+    """(_qkey, _weight): the largest weight above zero given to each key."""
+    if quality is None:
+        return None
+    known = quality.where("weight > 0").groupBy(F.col("key").alias("_qkey"))
+    return scratch.store(known.agg(F.max("weight").cast("double").alias("_weight")))
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """How keys are divided into ranges: a monotone function of the key.
+
+    Keys of weight w are exponential with rate w. The mean of their distributions over rates from
+    the least to the largest weight by factors of four spreads keys of each weight so that no range
+    has more than a few times the share of an even one for each rate.
+    """
+
+    count: int
+    rates: tuple[float, ...]
+
+    def place(self, key: Column) -> Column:
+        shares = [1 - F.exp(-key * rate) for rate in self.rates]
+        return F.least(F.lit(self.count - 1), F.floor(sum(shares[1:], shares[0]) / len(shares) * self.count)).cast("int")
+
+
+def _ranges(rows: DataFrame, weights: DataFrame | None) -> Ranges:
+    least, most = (weights.agg(F.min("_weight"), F.max("_weight")).first() if weights is not None else (None, None))
+    rates = [min(1.0, least or 1.0)]
+    while rates[-1] * 4 <= max(1.0, most or 1.0):
+        rates.append(rates[-1] * 4)
+    return Ranges(max(RANGES, rows.count() // ROWS), tuple(rates))
 
 
 def _draw(text: Column, seed: int) -> Column:
@@ -69,12 +101,12 @@ def target_sizes(sources: DataFrame, cap: int) -> DataFrame:
 def mixture(
     docs: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id", *,
     weights: Sequence[int] = (5, 2, 1), cap: int = 3, quality: DataFrame | None = None, seed: int = 11,
-) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``docs`` as (_id, _source, _size, _key, _range), and one row per source.
+) -> tuple[DataFrame, DataFrame, DataFrame, Ranges]:
+    """The rows of ``docs`` as (_id, _source, _size, _group, _key, _range), and one row per source.
 
     Per source: _source, source_size, target, epochs (how often it is taken whole) and cuts (the
     stretches of its order, each with the size up to which documents in it are taken once more;
-    those of several passes overlap).
+    those of several passes overlap). Then the repeated rows (_id, _key, _copies) and the ranges.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     words = F.col(text).cast("string")
@@ -82,7 +114,12 @@ def mixture(
         F.col(key).alias("_id"), F.col(source).cast("string").alias("_source"), _words(words).alias("_size"), words.alias("_text")
     )
     # Only numbers meet the weights; texts stay where they are read.
-    rows = scratch.store(_drawn(plain.withColumn("_draw", _draw(F.col("_text"), seed)).drop("_text"), quality, scratch))
+    known = _weights(quality, scratch)
+    drawn = scratch.store(_drawn(plain.withColumn("_draw", _draw(F.col("_text"), seed)).drop("_text"), known))
+    # Rows equal in key and text are taken together or not at all, so they must fit together.
+    equal = drawn.groupBy("_source", "_id", "_key").agg(F.count("*").alias("_copies")).where("_copies > 1")
+    repeated, ranges = scratch.store(equal), _ranges(drawn, known)
+    rows = _placed(drawn, repeated, ranges)
     named = scratch.store(rows.groupBy("_source").agg(F.sum("_size").alias("size")))
     # One row per source: the only window over all of them.
     rank = F.row_number().over(Window.orderBy(F.col("_source").asc_nulls_last())) - 1
@@ -99,14 +136,22 @@ def mixture(
             F.array().cast(_CUTS.format(place)).alias("cuts"),
         )
     )
-    for _ in range(ROUNDS * cap):
-        state, more = _advanced(rows, state, place, scratch)
-        if not more:
-            break
+    # Each round moves on in every source that is short, so the last one comes when nothing fits.
+    more = True
+    while more:
+        state, more = _advanced(rows, state, place, ranges, scratch)
     plan = sources.join(state.select("_name", "cuts"), F.col("_source").eqNullSafe(F.col("_name")), "left")
-    return rows, scratch.store(
-        plan.select("_source", F.col("size").alias("source_size"), "target", "epochs", "cuts")
-    )
+    plan = plan.select("_source", F.col("size").alias("source_size"), "target", "epochs", "cuts")
+    return rows, scratch.store(plan), repeated, ranges
+
+
+def _placed(drawn: DataFrame, repeated: DataFrame, ranges: Ranges) -> DataFrame:
+    """``drawn`` with the range of each row and _group, the size of all rows equal to it."""
+    names = {c: f"_same{c}" for c in ("_source", "_id", "_key")}
+    copies = small(repeated.withColumnsRenamed(names))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    grouped = drawn.join(copies, same, "left").withColumn("_group", F.col("_size") * F.coalesce("_copies", F.lit(1)))
+    return grouped.drop(*names.values(), "_copies").withColumn("_range", ranges.place(F.col("_key")))
 
 
 #: Where a row stands in the order of its source, and which stretches of it are taken up to a size.
@@ -114,7 +159,7 @@ _PLACE = "struct<_range: int, _key: double, _id: {0}>"
 _CUTS = "array<struct<after: {0}, upto: {0}, fits: double>>"
 
 
-def _advanced(rows: DataFrame, state: DataFrame, place: str, scratch: Scratch) -> tuple[DataFrame, bool]:
+def _advanced(rows: DataFrame, state: DataFrame, place: str, ranges: Ranges, scratch: Scratch) -> tuple[DataFrame, bool]:
     """Take, in key order, rows that fit what is left, up to the first one that does not.
 
     ``state`` has a row per source: what is left of its budget (rest), how many passes through its
@@ -124,7 +169,7 @@ def _advanced(rows: DataFrame, state: DataFrame, place: str, scratch: Scratch) -
     here = F.struct("_range", "_key", "_id")
     live = (
         rows.join(small(state), rows["_source"].eqNullSafe(F.col("_name")))
-        .where((F.col("from").isNull() | (here > F.col("from"))) & (F.col("_size") <= F.col("rest")) & (F.col("_size") > 0))
+        .where((F.col("from").isNull() | (here > F.col("from"))) & (F.col("_group") <= F.col("rest")) & (F.col("_size") > 0))
         .select("_name", "rest", "_range", "_key", "_id", "_size")
     )
     sums = scratch.store(live.groupBy("_name", "rest", "_range").agg(F.sum("_size").alias("_size")))
@@ -147,7 +192,7 @@ def _advanced(rows: DataFrame, state: DataFrame, place: str, scratch: Scratch) -
     )
     ends = ends.withColumnRenamed("_name", "_ended")
     before = F.struct(F.col("end._range").alias("_range"), F.lit(-1.0).alias("_key"), F.lit(None).alias("_id")).cast(place)
-    whole = F.struct(F.lit(RANGES).alias("_range"), F.lit(0.0).alias("_key"), F.lit(None).alias("_id")).cast(place)
+    whole = F.struct(F.lit(ranges.count).alias("_range"), F.lit(0.0).alias("_key"), F.lit(None).alias("_id")).cast(place)
     ended = F.col("end").isNull()
     to = F.when(ended, whole).otherwise(F.coalesce("last", before))
     used = F.when(ended, F.coalesce("all", F.lit(0))).otherwise(F.coalesce("sum", "end.before"))
@@ -174,7 +219,7 @@ def _times() -> Column:
     here = F.struct("_range", "_key", "_id")
     more = F.filter(
         "cuts",
-        lambda c: (c["after"].isNull() | (here > c["after"])) & (here <= c["upto"]) & (F.col("_size") <= c["fits"]),
+        lambda c: (c["after"].isNull() | (here > c["after"])) & (here <= c["upto"]) & (F.col("_group") <= c["fits"]),
     )
     return F.col("epochs") + F.when(F.col("cuts").isNull(), 0).otherwise(F.size(more))
 
@@ -184,14 +229,14 @@ def mix_counts(docs: DataFrame, source: str = "source", text: str = "text", key:
 
     Size is the number of words, 0 for a null text. Sources in code point order, null last, have
     the weights in turn; see ``target_sizes``. Only whole documents are taken, in key order, each if
-    it fits what is left of the budget, and none more than ``cap`` times. Unless ``ROUNDS`` * ``cap``
-    fillings end before, a source falls short of its target by less than its smallest document
-    that was taken fewer times. Keys are hashes of row
-    key and text, so reruns agree; rows equal in both are taken or left together. Empty texts are taken
+    it fits what is left of the budget, and none more than ``cap`` times. A source falls short of
+    its target by less than its smallest document (with all rows equal to it) that was taken fewer
+    times. Keys are hashes of row key and text, so reruns agree; rows equal in both are taken or
+    left together. Weights that are not above zero count as 1. Empty texts are taken
     with their neighbours and add nothing. An empty table gives none. Columns of ``docs`` beyond
     the three named are not read.
     """
-    rows, plan = mixture(docs, source, text, key, **options)
+    rows, plan, _, _ = mixture(docs, source, text, key, **options)
     plan = small(plan.withColumnRenamed("_source", "_name"))
     return (
         rows.join(plan, rows["_source"].eqNullSafe(F.col("_name"))).withColumn("times", _times())
@@ -207,13 +252,13 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", key: str =
 
     Cases are defined as for ``mix_counts``.
     """
-    _, plan = mixture(docs, source, text, key, quality=quality, seed=seed, **options)
+    _, plan, repeated, ranges = mixture(docs, source, text, key, quality=quality, seed=seed, **options)
     plan = small(plan.withColumnRenamed("_source", "_name"))
     own = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     words = F.col(text).cast("string")
     plain = docs.select(own, F.col(key).alias("_id"), F.col(source).cast("string").alias("_source"), _words(words).alias("_size"), words.alias("_text"))
     plain = plain.withColumn("_draw", _draw(F.col("_text"), seed)).drop("_text")
-    drawn = _drawn(plain, quality, Scratch(docs.sparkSession, "mixing"))
+    drawn = _placed(_drawn(plain, _weights(quality, Scratch(docs.sparkSession, "mixing"))), repeated, ranges)
     taken = drawn.join(plan, drawn["_source"].eqNullSafe(F.col("_name"))).withColumn("_times", _times())
     return (
         taken.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))))

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.words import constants, mixed, text_bytes
+from delaylens.llm.words import constants, mixed, pooled, released, text_bytes
 
 
 @dataclass(frozen=True)
@@ -45,7 +45,7 @@ class Settings:
     seed: int = 5
 
 
-def subwords(column: pa.Array, s: Settings, piece: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+def subwords(column: pa.Array, s: Settings, piece: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """Buckets of all n-grams of the texts, with the text of each: (buckets, texts, number of texts).
 
     Texts are put in lower case. Words are separated by white space; n-grams lie in a word with
@@ -156,9 +156,7 @@ def _scored(model: tuple[np.ndarray, float], s: Settings) -> Callable:
                 total = np.bincount(texts, effect[buckets], n)
                 odds = total / np.maximum(1, np.bincount(texts, minlength=n)) + constant
                 scores.append(1 / (1 + np.exp(-np.clip(odds, -500, 500))))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.concatenate(scores or [np.zeros(0)]))], names=[*batch.schema.names, "score"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(np.concatenate(scores or [np.zeros(0)]))], names=["_id", "score"])
 
     return run
 
@@ -173,7 +171,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
     base = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text"))
     kind = dict(base.dtypes)["_id"]
     return (
-        base.mapInArrow(_scored(model, s), f"_id {kind}, _text string, score double")
+        base.mapInArrow(_scored(model, s), f"_id {kind}, score double")
         .select(F.col("_id").alias(key), "score")
     )
 
@@ -185,9 +183,11 @@ def reject(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
     def scored(column: pa.Array) -> pa.Array:
         effect, constant = model
         out = []
-        for buckets, texts, n in subwords(column, s):
-            odds = np.bincount(texts, effect[buckets], n) / np.maximum(1, np.bincount(texts, minlength=n)) + constant
-            out.append(1 / (1 + np.exp(-np.clip(odds, -500, 500))))
+        for batch in pooled([pa.RecordBatch.from_arrays([column], names=["_text"])], "_text"):
+            for buckets, texts, n in subwords(batch.column("_text"), s):
+                odds = np.bincount(texts, effect[buckets], n) / np.maximum(1, np.bincount(texts, minlength=n)) + constant
+                out.append(1 / (1 + np.exp(-np.clip(odds, -500, 500))))
+        released()
         return pa.array(np.concatenate(out or [np.zeros(0)]))
 
     return docs.where(scored(F.col(text).cast("string")) < threshold)

@@ -7,6 +7,8 @@ a chance near 2**-61, which the callers accept.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -151,18 +153,6 @@ def grams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mixed(total[first]), owner[first], first
 
 
-def packed(x: np.ndarray, width: int) -> bytes:
-    """The lowest ``width`` bytes of each number."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
-
-
-def unpacked(data: bytes, width: int) -> np.ndarray:
-    small = np.frombuffer(data, np.uint8).reshape(-1, width)
-    out = np.zeros((len(small), 8), np.uint8)
-    out[:, :width] = small
-    return out.reshape(-1).view("<u8")
-
-
 def pooled(batches: Iterator[pa.RecordBatch], text: str, size: int = BATCH) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts (or lists of numbers) have about ``size`` bytes."""
     held, weight = [], 0
@@ -183,3 +173,10 @@ def pooled(batches: Iterator[pa.RecordBatch], text: str, size: int = BATCH) -> I
                 held, weight = [], 0
     if held:
         yield whole()
+
+
+def released() -> None:
+    """Give memory that is no longer used back to the machine: workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        getattr(ctypes.CDLL(None), "malloc_trim", lambda _: None)(0)

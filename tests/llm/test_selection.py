@@ -118,3 +118,66 @@ def test_few_rows_and_none(documents):
 def test_checksum_is_the_usual_one(documents):
     docs = documents([(1, "é text")]).select(F.crc32(F.col("text").cast("binary")).alias("c"))
     assert docs.first().c == zlib.crc32("é text".encode())
+
+
+def greedy(docs, spark, **options):
+    """Times of every row by going through each source row by row, in the order that the mix draws."""
+    rows, plan, _, _ = mixing.mixture(docs, **options)
+    cap, out = options.get("cap", 3), {}
+    sources = {r._source: r for r in plan.collect()}
+    groups = {}
+    for r in rows.collect():
+        groups.setdefault((r._source, r._range, r._key, r._id is not None, r._id), []).append(r._size)
+    order = sorted(groups, key=lambda g: g[1:4] + (g[4] or 0,))
+    for name, s in sources.items():
+        own = [g for g in order if g[0] == name]
+        times, rest = {g: s.epochs for g in own}, s.target - s.epochs * s.source_size
+        for _ in range(cap - s.epochs):
+            for g in own:
+                if 0 < sum(groups[g]) <= rest:
+                    times[g], rest = times[g] + 1, rest - sum(groups[g])
+        for g in own:
+            for size in groups[g]:
+                out.setdefault((g[4], size, name), []).append(times[g] if size else None)
+    return out
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_repeated_rows_are_taken_as_one_and_never_too_often(documents, spark, seed):
+    rows = [(i, "a", "en", "A") for i in range(100)] + [(200 + i, "b", "en", "B") for i in range(60)]
+    rows += [(300 + i, "b b b b", "en", "B") for i in range(60) for _ in range(3)] + [(None, "b b", "en", "B")] * 5
+    docs = documents(rows)
+    quality = spark.createDataFrame([(r[0], 0.001 if r[0] % 5 else 2.0) for r in rows if r[0]], "key long, weight double")
+    options = {"weights": (5, 3), "quality": quality, "seed": seed}
+    found = mixing.mix_counts(docs, **options).collect()
+    got = {}
+    for r in found:
+        name = {100: "A"}.get(r.source_size, "B")
+        assert 0 <= r.times <= 3 and r.taken == r.times * r.size
+        got.setdefault((r.doc_id, r.size, name), []).append(r.times)
+    assert got == greedy(docs, spark, **options)
+    assert mixing.mix(docs, **options).count() == sum(r.times for r in found)
+
+
+def test_rows_are_taken_as_by_one_walk(many, spark):
+    want = greedy(many, spark)
+    got = {}
+    names = {(r.doc_id, r.text): r.source for r in many.select("doc_id", "text", "source").collect()}
+    by_size = {}
+    for r in mixing.mix_counts(many).collect():
+        if r.size:
+            by_size.setdefault((r.doc_id, r.size), []).append(r.times)
+    for (key, size, _), times in want.items():
+        if size:
+            got.setdefault((key, size), []).extend(times)
+    assert {k: sorted(v) for k, v in by_size.items()} == {k: sorted(v) for k, v in got.items()} and names
+
+
+def test_ranges_divide_every_weight(spark):
+    ranges = mixing.Ranges(4096, (0.01, 0.04, 0.16, 0.64))
+    for weight in (0.01, 0.25, 1.0):
+        keys = spark.range(20_000).select((-F.log((F.col("id") + 0.5) / 20_000) / weight).alias("k"))
+        placed = keys.select("k", ranges.place(F.col("k")).alias("r"))
+        assert placed.groupBy("r").count().agg(F.max("count")).first()[0] < 20_000 * 16 / 4096 + 5
+        ordered = [r.r for r in placed.orderBy("k").collect()]
+        assert ordered == sorted(ordered)
