@@ -152,6 +152,10 @@ def test_lines_match_all_pairs(documents):
             at = int(rng.integers(len(b)))
             lines.append([b, b[:at] + "Z" + b[at + 1 :], b[:at] + b[at + 1 :], b[:at] + "YY" + b[at:]][int(rng.integers(4))])
     rows = [(i, "\n".join(["", *rng.choice(lines, 4), "ab", f"only in {i} and nowhere else"])) for i in range(20)]
+    for i, n in enumerate((19, 20, 21, 31, 32, 33, 63, 64, 65)):  # lengths around powers of two
+        base = "".join(rng.choice(list("fghij"), n))
+        cuts = [base, base[1:], base[:-1], base[: n // 2] + base[n // 2 + 1 :], "Z" + base[1:], base[:-1] + "Z", base + "Z"]
+        rows += [(40 + 10 * i + j, x) for j, x in enumerate(cuts)]
     rows += [(30, None), (31, ""), (None, bases[0]), (32, "ab\r\n ab\t\nac"), (32, "ab")]
     seen = sorted({x.strip(" \t\r") for _, t in rows for x in (t or "").split("\n")} - {""})
     label = {x: x for x in seen}
@@ -182,6 +186,20 @@ def test_lines_match_all_pairs(documents):
     assert kept.columns == docs.columns and kept.count() == len(rows)
 
 
+def test_lines_are_taken_out_beside_clashing_columns(spark):
+    line = "a line that is long enough"
+    rows = [(1, f"{line}\nx", "r1", 1, "o"), (2, f"y\n{line}", "r2", 2, "o"), (2, f"y\n{line}", "r3", 3, "o"), (3, None, "r4", 4, "o")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, removed string, _row int, _own string")
+    kept = sorted(map(tuple, linededup.remove_lines(docs).collect()))
+    assert linededup.remove_lines(docs).columns == docs.columns
+    assert kept == sorted([rows[0], (2, "y", "r2", 2, "o"), (2, "y", "r3", 3, "o"), rows[3]])
+
+
+def test_line_plan_has_no_python(documents, odd_rows):
+    plan = linededup.repeated_lines(documents(odd_rows))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_empty_tables(documents):
     docs = documents([]).repartition(1)
     assert ngramjoin.jaccard_groups(docs).count() == 0
