@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.llm.scratch import Scratch, partitions, small
-from delaylens.llm.words import BATCH, blanks, grams, mixed, pooled, split
+from delaylens.llm.words import BATCH, blanks, grams, mixed, pooled, split, tidy, tidy_group
 
 #: n-grams that one fragment of the corpus holds, and classes whose counts travel in one row.
 FRAGMENT, BUCKET = 2_000_000, 2000
@@ -198,8 +198,8 @@ def _credits(dealt: DataFrame, classes: int) -> DataFrame:
     """Sum of the fragments' counts per class."""
     counted = _credited(max(1, classes // BUCKET))
     return (
-        dealt.groupBy("fragment").applyInArrow(counted, "bucket long, keys binary, credits binary")
-        .groupBy("bucket").applyInArrow(_summed, "brief long, credit long")
+        dealt.groupBy("fragment").applyInArrow(tidy_group(counted), "bucket long, keys binary, credits binary")
+        .groupBy("bucket").applyInArrow(tidy_group(_summed), "brief long, credit long")
     )
 
 
@@ -389,7 +389,7 @@ def _grouped(docs: DataFrame, text: str, key: str, size: int, percent: int, fold
     base = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text"))
     base = base.withColumn("_row", F.xxhash64("_id", "_text"))
     kind = dict(base.dtypes)["_id"]
-    signed = scratch.store(base.mapInArrow(_signed(size, fold), f"_row long, _id {kind}, n long, key binary, brief long"))
+    signed = scratch.store(base.mapInArrow(tidy(_signed(size, fold)), f"_row long, _id {kind}, n long, key binary, brief long"))
     classes = scratch.store(
         signed.where("key IS NOT NULL").groupBy("key", "_id", "_row")
         .agg(F.count("*").alias("times"), F.max("n").alias("n"), F.max("brief").alias("brief"))
@@ -408,7 +408,7 @@ def _linked(base, classes, size, percent, fold, scratch: Scratch) -> DataFrame:
     total, count = classes.agg(F.sum("n"), F.count("*")).first()
     total = total or 0
     deal = lambda grams: max(1, min(-(-grams // FRAGMENT), 1 << 24))
-    sent = base.select("_text").mapInArrow(_first_tokens(size, fold, percent, deal(total * 2 // 5)), _DEALT)
+    sent = base.select("_text").mapInArrow(tidy(_first_tokens(size, fold, percent, deal(total * 2 // 5))), _DEALT)
     credit = _credits(sent, count)
     left = scratch.store(
         classes.join(credit, "brief").where(F.col("credit") >= _needed(F.col("n"), percent))
@@ -420,8 +420,8 @@ def _linked(base, classes, size, percent, fold, scratch: Scratch) -> DataFrame:
     docs = base.join(wanted, "_row").select("_text", "key", "times")
     segmented = _segmented(size, fold)
     segments = scratch.store(
-        docs.where("times = 1").select("_text", "key").mapInArrow(segmented, _SEGMENTS)
-        .unionByName(docs.where("times > 1").groupBy("key").agg(F.min("_text").alias("_text")).select("_text", "key").mapInArrow(segmented, _SEGMENTS))
+        docs.where("times = 1").select("_text", "key").mapInArrow(tidy(segmented), _SEGMENTS)
+        .unionByName(docs.where("times > 1").groupBy("key").agg(F.min("_text").alias("_text")).select("_text", "key").mapInArrow(tidy(segmented), _SEGMENTS))
     )
     central = small(left.select("key", (F.col("credit") / F.col("n")).alias("share")))
     nodes = scratch.store(segments.where("part = 0").select("key", "brief", "n", "buckets").join(central, "key"))
@@ -471,7 +471,7 @@ def _missing(segments, nodes, labels, percent, deal, scratch: Scratch) -> DataFr
     total, count = nodes.agg(F.sum("n"), F.count("*")).first()
     total = total or 0
     placed = segments.select("key", "brief", "tokens").join(small(named.select("key", "group")), "key")
-    outside = _credits(placed.select("brief", "group", "tokens").mapInArrow(_outside(deal(total)), _DEALT), count)
+    outside = _credits(placed.select("brief", "group", "tokens").mapInArrow(tidy(_outside(deal(total))), _DEALT), count)
     open_ = scratch.store(
         named.join(outside, "brief").where(F.col("credit") >= F.ceil(F.col("n") * percent / 100))
         .select("key", "n", "label")

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylens.llm.words import constants, mixed, pooled, released, text_bytes
+from delaylens.llm.words import constants, mixed, pooled, released, text_bytes, tidy
 
 
 @dataclass(frozen=True)
@@ -171,7 +171,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text",
     base = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("_text"))
     kind = dict(base.dtypes)["_id"]
     return (
-        base.mapInArrow(_scored(model, s), f"_id {kind}, score double")
+        base.mapInArrow(tidy(_scored(model, s)), f"_id {kind}, score double")
         .select(F.col("_id").alias(key), "score")
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -180,3 +180,24 @@ def released() -> None:
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
         getattr(ctypes.CDLL(None), "malloc_trim", lambda _: None)(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` (batches to batches), giving memory back once a task is through."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        released()
+
+    return tidied
+
+
+def tidy_group(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """The same for a function of one group."""
+
+    def tidied(table: pa.Table) -> pa.Table:
+        out = run(table)
+        released()
+        return out
+
+    return tidied
