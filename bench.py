@@ -20,7 +20,7 @@ from delaylens.plans import QUERIES  # noqa: E402
 LIGHT = (
     "punctuality_kpis", "totals_by_month", "top_routes", "delay_by_hour", "null_counts",
     "histogram_edges", "share_of_total", "join_coverage", "fleet_per_carrier", "flights_per_airplane",
-    "resolve_names", "nearest_station", "nearest_observation", "flight_weather", "publish_flights", "search_flights",
+    "resolve_names", "nearest_station", "nearest_observation", "flight_weather", "publish_flights", "index_flights", "search_flights",
     "base_features", "features_full", "string_index", "classification_metrics", "regression_metrics",
 )
 HEAVY = ("train_score_rf", "train_score_regression", "batch_score_day", "stream_score")

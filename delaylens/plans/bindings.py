@@ -7,11 +7,16 @@ are not joined; a test compares this with the full join.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaylens.operators import search_index
 from delaylens.operators.features import calendar
+from delaylens.operators.search_index import Index
 from delaylens.session import shared_folder
 from delaylens.sources.writers import publish, to_json_rows
 
@@ -125,6 +130,47 @@ def published_flights(spark: SparkSession, folder: str, *columns: str) -> DataFr
     return spark.read.parquet(path).select(*columns)
 
 
+def table_stamp(spark: SparkSession, folder: str, *names: str) -> str:
+    """Changes with the files of the tables: their bytes, number and time, from the file system."""
+    parts = []
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        held, status = files.getContentSummary(path), files.getFileStatus(path)
+        parts.append(f"{folder}/{name}:{held.getLength()}:{held.getFileCount()}:{status.getModificationTime()}")
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:24]
+
+
+#: Indexes of this application that are open.
+_OPEN: dict[str, Index] = {}
+
+
+def _indexed(spark: SparkSession, folder: str, name: str, sources: tuple[str, ...], make: Callable[[], DataFrame], order: Sequence[str], **fields) -> Index:
+    """The search index of the rows that ``make`` gives, built once by an application for the same files."""
+    stamp = table_stamp(spark, folder, *sources)
+    path = f"{shared_folder(spark).rstrip('/')}/stored/{spark.sparkContext.applicationId}/{name}-{stamp}"
+    if path not in _OPEN:
+        _OPEN[path] = search_index.build(make(), path, order, **fields)
+    return _OPEN[path]
+
+
+#: The order of found flights; its last columns settle ties between otherwise equal ones.
+FLIGHT_ORDER = ("FlightDate", "CRSDepTime", "CRSArrTime", "Carrier", "FlightNum", "TailNum", "DepDelay", "Origin", "Dest")
+
+
+def indexed_flights(spark: SparkSession, folder: str) -> Index:
+    """Flights by carrier, airports, airplane and day."""
+    sources = ("lineitem", "orders", "customer", "supplier", "nation")
+    values = ("Carrier", "Origin", "Dest", "TailNum", "FlightDate")
+    return _indexed(spark, folder, "flight-index", sources, lambda: flights(spark, folder, *LOOKED_UP), FLIGHT_ORDER, values=values)
+
+
+def indexed_airplanes(spark: SparkSession, folder: str) -> Index:
+    """Airplanes by the words of their owners, manufacturers and models."""
+    words = ("Owner", "Manufacturer", "Model")
+    return _indexed(spark, folder, "airplane-index", ("part",), lambda: airplanes(spark, folder), ("Owner", "TailNum"), words=words)
+
+
 LOOKED_UP = (
     "FlightDate", "CRSDepTime", "CRSArrTime", "Carrier", "FlightNum", "Origin", "Dest", "TailNum", "DepDelay",
 )

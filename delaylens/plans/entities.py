@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from delaylens.functions.geodesy import ROUNDS, SEMI_MAJOR, SEMI_MINOR, FLATTENING, TOLERANCE
-from delaylens.operators import documents, features, joins, lookup, resolve
+from delaylens.operators import documents, features, joins, lookup, resolve, search_index
 from delaylens.operators.nearest_place import best_and_worst, nearest_place
 from delaylens.operators.nearest_time import nearest_observation as nearest
 from delaylens.operators.weather import flight_weather as weather_at_both_ends
@@ -369,7 +369,7 @@ def route_day_page(spark, folder):
     ORDER BY FlightDate, {_SQL_TIES} LIMIT 20""")
 def search_flights(spark, folder):
     values = {"Carrier": "1-URGENT", "Origin": "NATION_3", "Dest": "", "TailNum": None}
-    return lookup.search(b.published_flights(spark, folder, *_ROW), values, ["FlightDate", *_TIES])
+    return search_index.search(b.indexed_flights(spark, folder), values).select(*_ROW, "total")
 
 
 @query(rf"""WITH {b.AIRPLANES_SQL}, f AS (SELECT * FROM airplanes
@@ -378,4 +378,34 @@ def search_flights(spark, folder):
     SELECT *, (SELECT count(*) FROM f) AS total FROM f ORDER BY Owner, TailNum LIMIT 20""")
 def search_airplanes(spark, folder):
     words = {"Owner": "Small blue", "Manufacturer": "brand#7", "Model": None}
-    return lookup.search_words(b.airplanes(spark, folder), words, ["Owner", "TailNum"])
+    return search_index.search(b.indexed_airplanes(spark, folder), words)
+
+
+@query(rf"""WITH {b.AIRPLANES_SQL}, f AS (SELECT * FROM airplanes
+    WHERE list_has_all(regexp_split_to_array(lower(Owner), '\W+'), ['blue', 'ring'])
+    AND list_has_all(regexp_split_to_array(lower(Manufacturer), '\W+'), ['brand', '7']))
+    SELECT *, (SELECT count(*) FROM f) AS total FROM f ORDER BY Owner, TailNum LIMIT 20""")
+def search_airplanes_all_words(spark, folder):
+    """The same search for airplanes that have every word asked for."""
+    words = {"Owner": "Ring, blue", "Manufacturer": "brand#7", "Model": None}
+    return search_index.search(b.indexed_airplanes(spark, folder), words, every=True)
+
+
+@query(f"""WITH {FLIGHTS}, t AS (SELECT unnest([struct_pack(field := 'Carrier', token := Carrier), struct_pack(field := 'Origin', token := Origin),
+    struct_pack(field := 'Dest', token := Dest), struct_pack(field := 'TailNum', token := TailNum),
+    struct_pack(field := 'FlightDate', token := CAST(FlightDate AS VARCHAR))]) AS t FROM flights),
+    c AS (SELECT t.field AS field, t.token AS token, count(*) AS n FROM t WHERE t.token <> '' GROUP BY ALL)
+    SELECT field, count(*) AS tokens, CAST(sum(n) AS BIGINT) AS listed, max(n) AS most FROM c GROUP BY field""")
+def index_flights(spark, folder):
+    """Build the search index of the flights: lists of each field, and the longest of them."""
+    terms = b.indexed_flights(spark, folder).terms
+    return terms.groupBy("field").agg(F.count("*").alias("tokens"), F.sum("frequency").alias("listed"), F.max("frequency").alias("most"))
+
+
+@query(rf"""WITH {b.AIRPLANES_SQL}, t AS (SELECT 'Owner' AS field, unnest(list_distinct(regexp_split_to_array(lower(Owner), '\W+'))) AS token FROM airplanes
+    UNION ALL SELECT 'Manufacturer', unnest(list_distinct(regexp_split_to_array(lower(Manufacturer), '\W+'))) FROM airplanes
+    UNION ALL SELECT 'Model', unnest(list_distinct(regexp_split_to_array(lower(Model), '\W+'))) FROM airplanes)
+    SELECT field, token, count(*) AS frequency FROM t WHERE token <> '' GROUP BY ALL""")
+def index_airplanes(spark, folder):
+    """Build the search index of the airplanes: how many hold each word of each field."""
+    return b.indexed_airplanes(spark, folder).terms
