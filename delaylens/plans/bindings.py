@@ -349,7 +349,31 @@ def request_features(spark: SparkSession, folder: str) -> DataFrame:
 
 def request_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The same requests as a stream of JSON texts, one per message."""
-    schema = table(spark, folder, "events").schema
+    return to_json_rows(_complete(_as_requests(_event_stream(spark, folder))))
+
+
+def request_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests as a stream of rows: who asked, when, and for which route."""
+    return _as_requests(_event_stream(spark, folder)).select("UUID", "Carrier", "Origin", "Dest", F.col("Timestamp").cast("timestamp").alias("asked"))
+
+
+def response_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses as a stream: to requests of a certain value, up to six minutes later."""
+    events = _event_stream(spark, folder).where("value >= 20")
+    later = F.expr("CAST(ts AS TIMESTAMP) + make_interval(0, 0, 0, 0, 0, CAST(event_id % 7 AS INT), 0)")
+    return events.select(
+        F.col("event_id").cast("string").alias("UUID"), later.alias("answered"), (F.col("event_id") % 4).cast("double").alias("Prediction")
+    )
+
+
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     # A pattern, because a stream over a plain path must name a folder.
-    stream = spark.readStream.schema(schema).parquet(f"{folder}/[e]vents.parquet")
-    return to_json_rows(_complete(_as_requests(stream)))
+    return spark.readStream.schema(table(spark, folder, "events").schema).parquet(f"{folder}/[e]vents.parquet")
+
+
+def damaged_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Request messages of which those of every 17th request are cut off in the middle."""
+    asked = _complete(_as_requests(_event_stream(spark, folder)))
+    text = F.to_json(F.struct("*"))
+    broken = F.col("FlightNum").cast("long") % 17 == 0
+    return asked.select(F.when(broken, F.substring(text, 1, 20)).otherwise(text).alias("value"))

@@ -14,6 +14,7 @@ from delaylens.sources import readers
 from delaylens.sources.readers import iso_day_slice
 from delaylens.sources.writers import write_days
 from delaylens.streaming import scoring
+from delaylens.streaming.pairing import paired
 
 _FLIGHT = (
     "FlightNum", "FlightDate", "Carrier", "Origin", "Dest", "Distance", "DepDelay", "ArrDelay",
@@ -233,3 +234,30 @@ def stream_dedupe(spark, folder):
 def stream_score(spark, folder):
     scored = scoring.score(classifier(spark, folder), _messages(spark, folder))
     return _run(scored, spark, "scored", scoring.write_answers).select("UUID", "Carrier", "Origin", "Dest", _known())
+
+
+@query(f"""WITH {b.REQUESTS_SQL}, a AS (SELECT CAST(event_id AS VARCHAR) AS UUID, ts + to_minutes(CAST(event_id % 7 AS INT)) AS answered,
+        CAST(event_id % 4 AS DOUBLE) AS Prediction FROM events WHERE value >= 20),
+    passed AS (SELECT least((SELECT max(ts) FROM events), (SELECT max(answered) FROM a)) - INTERVAL 10 MINUTE AS mark),
+    p AS (SELECT r.UUID, Carrier, Origin, Dest, r."Timestamp" AS asked, a.answered, a.Prediction
+        FROM requests r LEFT JOIN a ON r.UUID = a.UUID AND a.answered BETWEEN r."Timestamp" AND r."Timestamp" + INTERVAL 5 MINUTE)
+    SELECT UUID, Carrier, Origin, Dest, CASE WHEN answered IS NULL THEN 'WAIT' ELSE 'OK' END AS status, Prediction
+    FROM p, passed WHERE answered IS NOT NULL OR asked < mark - INTERVAL 5 MINUTE""")
+def stream_pairs(spark, folder):
+    """Requests with their responses, or known to have none: both sides are streams."""
+    pairs = paired(b.request_stream(spark, folder), b.response_stream(spark, folder), "UUID", "asked", "answered", ["Prediction"])
+    return _run(pairs, spark, "pairs").select("UUID", "Carrier", "Origin", "Dest", "status", "Prediction")
+
+
+@query(f"""WITH {b.REQUESTS_SQL} SELECT CAST(FlightDate AS DATE) AS FlightDate, false AS failed, count(*) AS n, count(DISTINCT UUID) AS different
+    FROM requests WHERE CAST(FlightNum AS BIGINT) % 17 <> 0 GROUP BY FlightDate
+    UNION ALL SELECT NULL, true, count(*), count(DISTINCT UUID[1:11]) FROM requests WHERE CAST(FlightNum AS BIGINT) % 17 = 0 HAVING count(*) > 0""")
+def stream_split(spark, folder):
+    """Messages that can be read, by day, and those that can't, from the two tables of one stream."""
+    parsed = scoring.parse(b.damaged_messages(spark, folder))
+    good, bad = workspace(spark, "good"), workspace(spark, "bad")
+    scoring.write_split(parsed, good, bad, workspace(spark, "split-state"), interval=None).start().awaitTermination()
+    rows = spark.read.parquet(good).groupBy("FlightDate").agg(F.lit(False).alias("failed"), F.count("*").alias("n"), F.countDistinct("UUID").alias("different"))
+    text = F.regexp_extract(readers.CORRUPT, '"UUID":"([0-9]*)', 1)
+    lost = spark.read.schema(f"{readers.CORRUPT} string").parquet(bad).agg(F.lit(True).alias("failed"), F.count("*").alias("n"), F.countDistinct(text).alias("different"))
+    return rows.unionByName(lost.where("n > 0").select(F.lit(None).cast("date").alias("FlightDate"), "failed", "n", "different"))
