@@ -144,7 +144,10 @@ def learned(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "
         docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
         .join(F.broadcast(some), "key").select("key", "text", "label").toArrow().sort_by([("key", "ascending"), ("text", "ascending")])
     )
-    return train(rows.column("text").to_pylist(), rows.column("label").to_pylist(), s)
+    model = train(rows.column("text").to_pylist(), rows.column("label").to_pylist(), s)
+    del rows
+    released()
+    return model
 
 
 def _scored(model: tuple[np.ndarray, float], s: Settings) -> Callable:
