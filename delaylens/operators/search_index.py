@@ -142,4 +142,5 @@ def search(index: Index, wanted: Mapping[str, object], start: int = 0, end: int
     page = [r[ROW] for r in answer if r[ROW] is not None]
     total = next(r.n for r in answer if r[ROW] is None) or 0
     rows = index.rows.where(F.col(ROW).isin(page)) if page else index.rows.where(F.lit(False))
-    return rows.drop(ROW).withColumn("total", F.lit(total).cast("long"))
+    ordered = rows.orderBy(ROW).limit(max(len(page), 1))
+    return ordered.drop(ROW).withColumn("total", F.lit(total).cast("long"))
