@@ -1,4 +1,8 @@
-"""Removal of passages that earlier documents hold, by relative Lempel-Ziv parsing.
+"""Removal of passages that earlier documents hold, after the manner of relative Lempel-Ziv parsing.
+
+It is no parse in the strict sense: factors are made of windows that the smallest earlier document
+holds, and nothing checks that they follow each other there, nor is a longest match sought. The
+words removed are those of the longest factors.
 
 The reference of a document is every document with a smaller key. Its index lists all windows of
 ``size`` words and is cut into blocks by fingerprint. Every document probes every block that can
