@@ -25,17 +25,17 @@ from delaylens.llm.words import Words, blanks, constants, marks, mixed, pooled,
 
 #: Longest piece and longest run of a word, in bytes, that are scored at once.
 PIECE_BYTES, RUN_BYTES = 12, 32
+#: Most numbers that a forward pass holds at once; more words are worked through in parts.
+NUMBERS = 4_000_000
 _ODD = 0xD1342543DE82EF95
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``documents``: about so many documents per language are learned from; ``languages``: at
-    most so many, the most frequent ones. ``unknown``: probability of a character outside the
-    vocabulary; ``smoothing``: count added to every piece."""
+    """``documents``: about so many documents per language are learned from. ``unknown``:
+    probability of a character outside the vocabulary; ``smoothing``: count added to every piece."""
 
     documents: int = 500
-    languages: int = 200
     rounds: int = 4
     smoothing: float = 0.05
     unknown: float = 1e-7
@@ -149,40 +149,59 @@ def _lattice(table: np.ndarray, lengths: np.ndarray, pieces: np.ndarray) -> Iter
 
 def forward(table: np.ndarray, lengths: np.ndarray, model: Model) -> np.ndarray:
     """Log probability of every word under every language."""
-    reach = np.zeros((RUN_BYTES + 2, len(table), len(model.languages)))
-    reach[0] = 1
-    for end, size, at, piece, none in _lattice(table, lengths, model.pieces):
-        reach[end, at] += reach[end - size, at] * (model.chances[piece] + model.unknown * none[:, None])
-    return np.log(np.maximum(reach[lengths, np.arange(len(table))], 1e-300))
-
-
-def train(words: list[bytes], counts: np.ndarray, languages: list[str], pieces: np.ndarray, s: Settings) -> Model:
-    """Fit the piece probabilities to ``counts`` (word, language)."""
-    model = Model(languages, pieces, np.full((len(pieces) + 1, len(languages)), 1 / max(1, len(pieces))), s.unknown)
-    model.chances[-1] = 0
-    table = np.zeros((len(words), RUN_BYTES + 1), np.uint8)
-    for i, word in enumerate(words):
-        table[i, : len(word)] = np.frombuffer(word, np.uint8)
-    lengths = np.array([len(w) for w in words], np.int64)
+    part = max(1, NUMBERS // ((RUN_BYTES + 2) * max(1, len(model.languages))))
+    out = np.zeros((len(table), len(model.languages)))
+    for first in range(0, len(table), part):
+        rows, long_ = table[first : first + part], lengths[first : first + part]
+        reach = np.zeros((RUN_BYTES + 2, len(rows), len(model.languages)))
+        reach[0] = 1
+        for end, size, at, piece, none in _lattice(rows, long_, model.pieces):
+            reach[end, at] += reach[end - size, at] * (model.chances[piece] + model.unknown * none[:, None])
+        out[first : first + part] = np.log(np.maximum(reach[long_, np.arange(len(rows))], 1e-300))
+    return out
+
+
+def fitted(words: list[bytes], counts: np.ndarray, pieces: np.ndarray, s: Settings) -> np.ndarray:
+    """Piece probabilities of one language, from its words and their counts; the last is for no piece."""
+    chances = np.full(len(pieces) + 1, 1 / max(1, len(pieces)))
+    chances[-1] = 0
+    part = NUMBERS // (RUN_BYTES + 2)
     for _ in range(s.rounds if len(words) else 0):
-        steps = list(_lattice(table, lengths, pieces))
-        ahead = np.zeros((RUN_BYTES + 2, len(words), len(languages)))
-        ahead[0] = 1
-        for end, size, at, piece, none in steps:
-            ahead[end, at] += ahead[end - size, at] * (model.chances[piece] + s.unknown * none[:, None])
-        behind = np.zeros_like(ahead)
-        behind[lengths, np.arange(len(words))] = 1
-        total = np.maximum(ahead[lengths, np.arange(len(words))], 1e-300)
-        used = np.full((len(pieces) + 1, len(languages)), s.smoothing)
-        for end, size, at, piece, none in reversed(steps):
-            step = behind[end, at] * (model.chances[piece] + s.unknown * none[:, None])
-            behind[end - size, at] += step
-            share = ahead[end - size, at] * step / total[at] * counts[at]
-            for k in range(len(languages)):
-                used[:, k] += np.bincount(piece, share[:, k] * ~none, len(used))
+        used = np.full(len(pieces) + 1, s.smoothing)
+        for first in range(0, len(words), part):
+            some, times = words[first : first + part], counts[first : first + part]
+            table = np.zeros((len(some), RUN_BYTES + 1), np.uint8)
+            for i, word in enumerate(some):
+                table[i, : len(word)] = np.frombuffer(word, np.uint8)
+            lengths = np.array([len(w) for w in some], np.int64)
+            steps = list(_lattice(table, lengths, pieces))
+            ahead = np.zeros((RUN_BYTES + 2, len(some)))
+            ahead[0] = 1
+            for end, size, at, piece, none in steps:
+                ahead[end, at] += ahead[end - size, at] * (chances[piece] + s.unknown * none)
+            behind = np.zeros_like(ahead)
+            behind[lengths, np.arange(len(some))] = 1
+            total = np.maximum(ahead[lengths, np.arange(len(some))], 1e-300)
+            for end, size, at, piece, none in reversed(steps):
+                step = behind[end, at] * (chances[piece] + s.unknown * none)
+                behind[end - size, at] += step
+                used += np.bincount(piece, ahead[end - size, at] * step / total[at] * times[at] * ~none, len(used))
         used[-1] = 0
-        model.chances = used / used.sum(0)
-    return model
+        chances = used / used.sum()
+    return chances
+
+
+def train(words: dict[str, dict[bytes, int]], pieces: np.ndarray, s: Settings) -> Model:
+    """Fit the piece probabilities of every language to its words and their counts.
+
+    A language's fit depends on its own words only, so languages are fitted one after another.
+    """
+    languages = sorted(words)
+    chances = np.zeros((len(pieces) + 1, len(languages)))
+    for k, name in enumerate(languages):
+        own = sorted(words[name])
+        chances[:, k] = fitted(own, np.array([words[name][w] for w in own], float), pieces, s)
+    return Model(languages, pieces, chances, s.unknown)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,29 +221,28 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learned(docs: DataFrame, path: str, text: str = "text", lang: str = "lang", key: str = "doc_id", s: Settings = Settings()) -> Model:
     """Fit a model to a sample of the rows of ``docs`` that have a language.
 
-    Rows are chosen by a hash of their key, at a rate that leaves about ``documents`` per
-    language; only words and their counts reach the driver.
+    Rows are chosen by a hash of their key (of their text, if it is null), at a rate that leaves
+    about ``documents`` per language; only words and their counts reach the driver. Every
+    language is learned.
     """
     rows = docs.where(F.col(lang).isNotNull()).select(
         F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"), F.col(lang).cast("string").alias("_lang")
     )
-    sizes = rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(s.languages)
+    sizes = rows.groupBy("_lang").count()
     rates = docs.sparkSession.createDataFrame(
         [(r["_lang"], min(1.0, s.documents / r["count"])) for r in sizes.collect()], "_lang string, _rate double"
     )
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(s.seed), "_key"), 11) / float(1 << 53)
-    sample = rows.join(F.broadcast(rates), "_lang").where(draw < F.col("_rate")).select("_lang", "_text")
+    row = F.when(F.col("_key").isNull(), F.xxhash64(F.lit(s.seed), "_text")).otherwise(F.xxhash64(F.lit(s.seed), "_key"))
+    draw = F.shiftrightunsigned(row, 11) / float(1 << 53)
+    sample = rows.join(rates, "_lang").where(draw < F.col("_rate")).select("_lang", "_text")
     found = (
         sample.mapInArrow(_counted, "lang string, word binary, times long")
         .groupBy("lang", "word").agg(F.sum("times").alias("times")).toArrow()
     )
-    languages = sorted(r["_lang"] for r in rates.collect())
-    words = sorted(set(found.column("word").to_pylist()))
-    place = {w: i for i, w in enumerate(words)}
-    counts = np.zeros((len(words), len(languages)))
+    words: dict[str, dict[bytes, int]] = {r["_lang"]: {} for r in rates.collect()}
     for name, word, n in zip(*(found.column(c).to_pylist() for c in ("lang", "word", "times"))):
-        counts[place[word], languages.index(name)] += n
-    return train(words, counts, languages, vocabulary(path), s)
+        words[name][word] = n
+    return train(words, vocabulary(path), s)
 
 
 def _predicting(model: Model) -> Callable:
@@ -235,9 +253,8 @@ def _predicting(model: Model) -> Callable:
             n = len(column)
             names, scores = np.full(n, None, object), np.zeros(n)
             if len(words.starts) and model.languages:
-                logs = forward(table, lengths, model)[which]
-                sums = np.append(np.zeros((1, logs.shape[1])), np.cumsum(logs, axis=0), axis=0)
-                text = sums[words.bounds[1:]] - sums[words.bounds[:-1]]
+                logs, owners = forward(table, lengths, model), words.owners()
+                text = np.stack([np.bincount(owners, logs[which, k], n) for k in range(len(model.languages))], axis=1)
                 best = text.argmax(1)
                 scores = 1 / np.exp(text - text.max(1, keepdims=True)).sum(1)
                 names = np.array(model.languages, object)[best]
