@@ -9,8 +9,10 @@ is suppressed, others stay.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import pyarrow as pa
@@ -22,6 +24,8 @@ from delaylens.llm.words import marks, pooled, split
 
 @dataclass(frozen=True)
 class Rule:
+    """``keyword``: alternatives parted by "|", one of which must occur in a text."""
+
     label: str
     pattern: str
     keyword: str
@@ -32,42 +36,43 @@ class Rule:
 # The phrases whose every place is counted, and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Families: label, pattern of the name, versions, keyword. A version "2.0" is written "2 0" in words.
+#: Families: label, pattern of the name, versions, keywords (one for each form of the name). A
+#: version "2.0" is written "2 0" in words.
 FAMILIES = (
     ("apache", "apache(?: software)?", ("1.0", "1.1", "2.0"), "apache"),
-    ("gpl", "(?:gnu )?(?:general public|gpl)", ("1.0", "2.0", "3.0"), "g"),
-    ("lgpl", "(?:gnu )?(?:lesser general public|library general public|lgpl)", ("2.0", "2.1", "3.0"), "l"),
-    ("agpl", "(?:gnu )?(?:affero general public|agpl)", ("1.0", "3.0"), "a"),
-    ("gfdl", "(?:gnu )?(?:free documentation|gfdl|fdl)", ("1.1", "1.2", "1.3"), "f"),
-    ("mpl", "(?:mozilla public|mpl)", ("1.0", "1.1", "2.0"), "m"),
-    ("epl", "(?:eclipse public|epl)", ("1.0", "2.0"), "e"),
+    ("gpl", "(?:gnu )?(?:general public|gpl)", ("1.0", "2.0", "3.0"), "general|gpl"),
+    ("lgpl", "(?:gnu )?(?:lesser general public|library general public|lgpl)", ("2.0", "2.1", "3.0"), "lesser|library|lgpl"),
+    ("agpl", "(?:gnu )?(?:affero general public|agpl)", ("1.0", "3.0"), "affero|agpl"),
+    ("gfdl", "(?:gnu )?(?:free documentation|gfdl|fdl)", ("1.1", "1.2", "1.3"), "documentation|fdl"),
+    ("mpl", "(?:mozilla public|mpl)", ("1.0", "1.1", "2.0"), "mozilla|mpl"),
+    ("epl", "(?:eclipse public|epl)", ("1.0", "2.0"), "eclipse|epl"),
     ("edl", "eclipse distribution", ("1.0",), "eclipse"),
-    ("eupl", "(?:european union public|eupl)", ("1.0", "1.1", "1.2"), "eu"),
-    ("cddl", "(?:common development and distribution|cddl)", ("1.0", "1.1"), "c"),
+    ("eupl", "(?:european union public|eupl)", ("1.0", "1.1", "1.2"), "european|eupl"),
+    ("cddl", "(?:common development and distribution|cddl)", ("1.0", "1.1"), "common development|cddl"),
     ("cpl", "common public", ("1.0",), "common public"),
-    ("osl", "(?:open software|osl)", ("1.0", "1.1", "2.0", "2.1", "3.0"), "o"),
-    ("afl", "(?:academic free|afl)", ("1.1", "1.2", "2.0", "2.1", "3.0"), "a"),
+    ("osl", "(?:open software|osl)", ("1.0", "1.1", "2.0", "2.1", "3.0"), "open software|osl"),
+    ("afl", "(?:academic free|afl)", ("1.1", "1.2", "2.0", "2.1", "3.0"), "academic|afl"),
     ("artistic", "(?:perl )?artistic", ("1.0", "2.0"), "artistic"),
     ("bsl", "boost software", ("1.0",), "boost"),
     ("busl", "business source", ("1.1",), "business"),
     ("cecill", "cecill", ("1.0", "1.1", "2.0", "2.1"), "cecill"),
-    ("ofl", "(?:(?:sil )?open font|ofl)", ("1.0", "1.1"), "o"),
-    ("odbl", "(?:open database|odbl)", ("1.0",), "o"),
-    ("psf", "(?:python software foundation|psf)", ("2.0",), "p"),
+    ("ofl", "(?:(?:sil )?open font|ofl)", ("1.0", "1.1"), "open font|ofl"),
+    ("odbl", "(?:open database|odbl)", ("1.0",), "open database|odbl"),
+    ("psf", "(?:python software foundation|psf)", ("2.0",), "python|psf"),
     ("php", "php", ("3.0", "3.01"), "php"),
-    ("zpl", "(?:zope public|zpl)", ("1.1", "2.0", "2.1"), "z"),
+    ("zpl", "(?:zope public|zpl)", ("1.1", "2.0", "2.1"), "zope|zpl"),
     ("ecl", "educational community", ("1.0", "2.0"), "educational"),
     ("upl", "universal permissive", ("1.0",), "permissive"),
-    ("lppl", "(?:latex project public|lppl)", ("1.0", "1.1", "1.2", "1.3"), "l"),
-    ("sspl", "(?:server side public|sspl)", ("1.0",), "s"),
+    ("lppl", "(?:latex project public|lppl)", ("1.0", "1.1", "1.2", "1.3"), "latex|lppl"),
+    ("sspl", "(?:server side public|sspl)", ("1.0",), "server side|sspl"),
     ("ipl", "ibm public", ("1.0",), "ibm"),
-    ("qpl", "(?:q public|qpl)", ("1.0",), "q"),
+    ("qpl", "(?:q public|qpl)", ("1.0",), "q public|qpl"),
     ("rpl", "reciprocal public", ("1.1", "1.5"), "reciprocal"),
     ("spl", "sun public", ("1.0",), "sun public"),
     ("nposl", "non profit open software", ("3.0",), "profit"),
     ("ms-pl", "microsoft (?:public|permissive)", (), "microsoft"),
     ("ms-rl", "microsoft reciprocal", (), "microsoft"),
-    ("mit", "(?:the )?(?:mit|expat|x11)", (), "i"),
+    ("mit", "(?:the )?(?:mit|expat|x11)", (), "mit|expat|x11"),
     ("isc", "isc", (), "isc"),
     ("zlib", "zlib(?: libpng)?", (), "zlib"),
     ("bsd", "(?:new |modified |simplified |revised )?bsd", (), "bsd"),
@@ -76,7 +81,7 @@ FAMILIES = (
     ("bsd-4-clause", "(?:4|four) clause bsd|bsd (?:4|four) clause", (), "clause"),
     ("0bsd", "(?:0|zero) clause bsd|bsd (?:0|zero) clause", (), "clause"),
     ("ncsa", "(?:university of illinois )?ncsa open source", (), "ncsa"),
-    ("wtfpl", "wtfpl|do what the fuck you want to public", (), "w"),
+    ("wtfpl", "wtfpl|do what the fuck you want to public", (), "fuck|wtfpl"),
     ("vim", "vim", (), "vim"),
     ("ruby", "ruby", (), "ruby"),
     ("openssl", "openssl", (), "openssl"),
@@ -106,6 +111,47 @@ SENTENCES = (
     ("commercial", "(?:commercial|end user) license agreement", "agreement"),
 )
 
+#: Identifiers, short forms and addresses as they stand in package files and headers: label,
+#: pattern, keyword. Marks between words are gone: "GPL-2.0+" is "gpl 2 0". A version alone and
+#: with "only" are one label, "or later" is another.
+SHORT = (
+    ("apache-1.1", "apache 1 1(?! \\d)", "apache"),
+    ("apache-2.0", "apache (?:version )?v?2 0(?! \\d)|apache v2|apachev2|asl 2 0", "apache|asl"),
+    ("apache-2.0", "apache org licenses license 2 0(?: txt| html)?", "apache"),
+    ("gpl-2.0-or-later", "gpl ?v?2(?: 0)? or (?:any )?(?:later|newer)(?: version)?", "gpl"),
+    ("gpl-2.0", "gpl ?v?2(?: 0)?(?: only)?(?! \\d)", "gpl"),
+    ("gpl-3.0-or-later", "gpl ?v?3(?: 0)? or (?:any )?(?:later|newer)(?: version)?", "gpl"),
+    ("gpl-3.0", "gpl ?v?3(?: 0)?(?: only)?(?! \\d)", "gpl"),
+    ("gpl-2.0", "gnu org licenses(?: old licenses)? gpl 2 0(?: txt| html)?", "gnu"),
+    ("gpl-3.0", "gnu org licenses gpl 3 0(?: txt| html)?", "gnu"),
+    ("gpl-2.0-or-later", "either version 2 of the license or (?:at your option )?any later version", "either version"),
+    ("gpl-3.0-or-later", "either version 3 of the license or (?:at your option )?any later version", "either version"),
+    ("lgpl-2.1-or-later", "lgpl ?v?2 1 or (?:any )?(?:later|newer)(?: version)?", "lgpl"),
+    ("lgpl-2.1", "lgpl ?v?2 1(?: only)?(?! \\d)", "lgpl"),
+    ("lgpl-3.0-or-later", "lgpl ?v?3(?: 0)? or (?:any )?(?:later|newer)(?: version)?", "lgpl"),
+    ("lgpl-3.0", "lgpl ?v?3(?: 0)?(?: only)?(?! \\d)", "lgpl"),
+    ("lgpl-2.1", "gnu org licenses(?: old licenses)? lgpl 2 1(?: txt| html)?", "gnu"),
+    ("lgpl-3.0", "gnu org licenses lgpl 3 0(?: txt| html)?", "gnu"),
+    ("agpl-3.0-or-later", "agpl ?v?3(?: 0)? or (?:any )?(?:later|newer)(?: version)?", "agpl"),
+    ("agpl-3.0", "agpl ?v?3(?: 0)?(?: only)?(?! \\d)|gnu org licenses agpl 3 0(?: txt| html)?", "agpl"),
+    ("bsd-2-clause", "bsd (?:2|two) clause(?: licen[cs]e)?|freebsd licen[cs]e", "bsd"),
+    ("bsd-3-clause", "bsd (?:3|three) clause(?: licen[cs]e)?", "bsd"),
+    ("bsd-4-clause", "bsd (?:4|four) clause(?: licen[cs]e)?", "bsd"),
+    ("0bsd", "0bsd", "0bsd"),
+    ("mpl-1.1", "mpl ?v?1 1(?! \\d)|mozilla org mpl 1 1", "mpl"),
+    ("mpl-2.0", "mpl ?v?2(?: 0)?(?! \\d)|mozilla org mpl 2 0", "mpl"),
+    ("epl-1.0", "epl ?v?1 0(?! \\d)|eclipse org legal epl v10(?: html)?", "epl"),
+    ("epl-2.0", "epl ?v?2 0(?! \\d)|eclipse org legal epl 2 0", "epl"),
+    ("cddl-1.0", "cddl ?v?1 0(?! \\d)", "cddl"),
+    ("cddl-1.1", "cddl ?v?1 1(?! \\d)", "cddl"),
+    ("cc0-1.0", "cc0 1 0|creativecommons org publicdomain zero 1 0", "cc0|publicdomain"),
+    ("mit", "opensource org licen[cs]es? mit(?: licen[cs]e php)?", "opensource"),
+    ("bsl-1.0", "bsl 1 0|boost org license 1 0(?: txt)?", "bsl|boost"),
+    ("unlicense", "unlicense(?: org)?", "unlicense"),
+    ("gpl or mit", "(?:dual licensed|licensed) under (?:the )?(?:mit (?:and|or) gpl|gpl (?:and|or) mit)(?: licen[cs]es?)?", "licensed"),
+    ("apache-2.0 or mit", "(?:mit or apache 2 0|apache 2 0 or mit|mit apache 2 0)", "apache"),
+)
+
 #: Creative Commons: terms by their short names.
 COMMONS = {
     "by": "attribution", "by-sa": "attribution share ?alike", "by-nd": "attribution no ?deriv(?:ative)?s(?: works)?",
@@ -126,18 +172,21 @@ def _spoken(version: str) -> str:
 def rules() -> list[Rule]:
     """All rules, by falling priority: those for a version before those for a family."""
     out = []
-    for label, name, versions, _ in FAMILIES:
+    for label, name, versions, keyword in FAMILIES:
         licence = f"(?:{name})(?: public)? licen[cs]e"
         for version in versions:
             said = _spoken(version)
-            out.append(Rule(f"{label}-{version}", f"{licence} (?:version |v )?{said}", "licen", 90, 1.0))
-            out.append(Rule(f"{label}-{version}", f"spdx license identifier {label} {said}(?: only| or later)?", "spdx", 95, 1.0))
-            out.append(Rule(f"{label}-{version}", f"{label} ?(?:version |v )?{said}(?= licen|$)", "licen", 60, 0.7))
-        out.append(Rule(label, f"(?:licensed|released|distributed|available) under (?:the )?(?:terms of the )?{licence}", "licen", 70, 0.9))
-        out.append(Rule(label, licence, "licen", 50, 0.8))
+            out.append(Rule(f"{label}-{version}", f"{licence} (?:version |v )?{said}", keyword, 90, 1.0))
+            out.append(Rule(f"{label}-{version}", f"spdx license identifier {label} {said}(?: only)?", "spdx", 95, 1.0))
+            out.append(Rule(f"{label}-{version}-or-later", f"spdx license identifier {label} {said} or later", "spdx", 96, 1.0))
+            out.append(Rule(f"{label}-{version}", f"{label} ?(?:version |v )?{said}(?= licen|$)", keyword, 60, 0.7))
+        out.append(Rule(label, f"(?:licensed|released|distributed|available) under (?:the )?(?:terms of the )?{licence}", keyword, 70, 0.9))
+        out.append(Rule(label, licence, keyword, 50, 0.8))
         out.append(Rule(label, f"spdx license identifier {re.escape(label).replace('-', ' ').replace(chr(92), '')}", "spdx", 75, 1.0))
     for label, sentence, keyword in SENTENCES:
         out.append(Rule(label, sentence, keyword, 80, 0.9))
+    for label, form, keyword in SHORT:
+        out.append(Rule(label, form, keyword, 88, 0.9))
     for short, terms in COMMONS.items():
         letters = short.replace("-", " ")
         for version in COMMONS_VERSIONS:
@@ -161,11 +210,23 @@ def _gate(names: list[str]) -> ahocorasick.Automaton:
 
 
 def resolved(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """Of detections (priority, start, end, rule) those that no detection kept before contains."""
+    """Of detections (priority, start, end, rule) those that no detection kept before contains.
+
+    Of the kept ones only the outermost can contain others: their starts and ends both rise, so
+    the last that starts in time has the farthest end.
+    """
     kept: list[tuple[int, int, int, int]] = []
+    starts: list[int] = []
+    ends: list[int] = []
     for one in sorted(found, key=lambda x: (-x[0], x[1] - x[2], x[1], x[3])):
-        if not any(k[1] <= one[1] and one[2] <= k[2] for k in kept):
-            kept.append(one)
+        _, start, end, _ = one
+        before = bisect_right(starts, start)
+        if before and ends[before - 1] >= end:
+            continue
+        kept.append(one)
+        first, last = bisect_left(starts, start), bisect_right(ends, end)
+        starts[first : max(first, last)] = [start]
+        ends[first : max(first, last)] = [end]
     return sorted(kept, key=lambda x: (x[1], x[2], x[3]))
 
 
@@ -176,7 +237,8 @@ def _scanner(table: list[Rule], base: tuple) -> Callable:
         # A keyword is looked for in the raw text, where other marks may stand between its words.
         by_keyword: dict[str, list[int]] = {}
         for i, rule in enumerate(table):
-            by_keyword.setdefault(max(rule.keyword.split(), key=len), []).append(i)
+            for keyword in rule.keyword.split("|"):
+                by_keyword.setdefault(max(keyword.split(), key=len), []).append(i)
         gate = _gate([*by_keyword, *{p.split()[-1] for p, _ in base}])
         whole = [re.compile(rf"(?<!\S)(?:{r.pattern})(?!\S)") for r in table]
         phrases = [(re.compile(rf"(?<!\S){p}(?!\S)"), label, p.split()[-1]) for p, label in base]
@@ -189,16 +251,17 @@ def _scanner(table: list[Rule], base: tuple) -> Callable:
                 hits = {name for _, name in gate.iter(lower)}
                 places, labels, spans, weight = [], set(), [], 0.0
                 if hits:
-                    joined = " ".join(words_of.findall(lower))
-                    number = lambda at: joined.count(" ", 0, at)  # noqa: B023, E731
+                    words = words_of.findall(lower)
+                    joined = " ".join(words)
+                    begins = list(accumulate((len(w) + 1 for w in words), initial=0))
+                    number = lambda at: bisect_right(begins, at) - 1  # noqa: B023, E731
                     for phrase, label, keyword in phrases:
                         if keyword in hits and (at := [m.start() for m in phrase.finditer(joined)]):
                             labels.add(label)
                             places += [number(a) for a in at]
                     found = []
-                    for name in hits & by_keyword.keys():
-                        for i in by_keyword[name]:
-                            found += [(table[i].priority, *m.span(), i) for m in whole[i].finditer(joined)]
+                    for i in sorted({i for name in hits & by_keyword.keys() for i in by_keyword[name]}):
+                        found += [(table[i].priority, *m.span(), i) for m in whole[i].finditer(joined)]
                     for _, first, last, i in resolved(found):
                         spans.append((table[i].label, number(first), number(last - 1) + 1, table[i].weight))
                         weight = max(weight, table[i].weight)

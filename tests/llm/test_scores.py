@@ -58,6 +58,46 @@ def test_rules_and_suppression():
     assert licenses.resolved([(50, 0, 10, 1), (90, 0, 12, 2), (50, 11, 20, 3), (10, 12, 18, 4)]) == [(90, 0, 12, 2), (50, 11, 20, 3)]
 
 
+@pytest.mark.parametrize("text, label", [
+    ("Apache-2.0", "apache-2.0"), ("GPLv3", "gpl-3.0"), ("BSD 3-Clause", "bsd-3-clause"), ("LGPL-2.1-or-later", "lgpl-2.1-or-later"),
+    ("see http://www.apache.org/licenses/LICENSE-2.0.", "apache-2.0"), ("GPL-2.0-only", "gpl-2.0"), ("GPL-2.0-or-later", "gpl-2.0-or-later"),
+    ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0-or-later"), ("https://www.gnu.org/licenses/gpl-3.0.html", "gpl-3.0"),
+    ("MIT OR Apache-2.0", "apache-2.0 or mit"), ("either version 2 of the License, or (at your option) any later version", "gpl-2.0-or-later"),
+])
+def test_short_forms_and_addresses(documents, text, label):
+    row = licenses.scan_licenses(documents([(1, text)])).first()
+    assert [s.label for s in row.spans] == [label]
+
+
+def test_each_rule_waits_for_a_word_of_its_own():
+    """A keyword is a part of every text that its rule finds, so no more rules than a tenth share one."""
+    counts = {}
+    for rule in licenses.rules():
+        for keyword in rule.keyword.split("|"):
+            counts[keyword] = counts.get(keyword, 0) + 1
+    assert max(n for k, n in counts.items() if k != "spdx") < 0.1 * len(licenses.rules())
+
+
+def test_suppression_is_that_of_its_definition():
+    rng = random.Random(2)
+    for _ in range(300):
+        found = []
+        for i in range(rng.randrange(25)):
+            start = rng.randrange(30)
+            found.append((rng.choice((10, 50, 90)), start, start + rng.randrange(1, 12), i))
+        kept = []
+        for one in sorted(found, key=lambda x: (-x[0], x[1] - x[2], x[1], x[3])):
+            if not any(k[1] <= one[1] and one[2] <= k[2] for k in kept):
+                kept.append(one)
+        assert licenses.resolved(found) == sorted(kept, key=lambda x: (x[1], x[2], x[3]))
+
+
+def test_many_detections_take_linear_time(documents):
+    row = licenses.scan_licenses(documents([(1, "mit license apache license " * 20_000)])).first()
+    assert row.n_base == 40_000 and row.last_word == 79_998
+    assert {s.label for s in row.spans} == {"mit", "apache"}
+
+
 def segmentations(word, chances, unknown):
     """Sum over all ways to cut a word, by recursion."""
     if not word:
@@ -77,6 +117,30 @@ def fingerprints(pieces):
     return language.mixed(np.array(raw, np.uint64))
 
 
+def test_every_language_is_learned(documents):
+    """More languages than 200, each from one word of its own; rows without a key are drawn by text."""
+    names = [f"l{i:03d}" for i in range(230)]
+    code = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3)) * 2
+    rows = [(None if i % 3 else i, (code(i) + " ") * 4, n) for i, n in enumerate(names)]
+    docs = documents(rows)
+    model = language.learned(docs, VOCABULARY)
+    assert model.languages == names
+    found = {r.text: r.lang_pred for r in language.predict(docs, model, key="text").collect()}
+    assert sum(found[t] == n for _, t, n in rows) > 0.9 * len(rows)
+
+
+def test_words_in_parts_give_the_same(monkeypatch):
+    pieces = fingerprints(["a", "b", "ab", " a", " b"])
+    model = language.train({"x": {b" ab": 3, b" ba": 1}, "y": {b" bb": 2}}, np.sort(pieces), language.Settings())
+    table = np.zeros((40, language.RUN_BYTES + 1), np.uint8)
+    for i in range(40):
+        word = " " + format(i, "06b").replace("0", "a").replace("1", "b")
+        table[i, : len(word)] = np.frombuffer(word.encode(), np.uint8)
+    whole = language.forward(table, np.full(40, 7), model)
+    monkeypatch.setattr(language, "NUMBERS", 500)
+    assert np.array_equal(whole, language.forward(table, np.full(40, 7), model))
+
+
 def test_forward_sums_all_segmentations():
     rng = random.Random(1)
     pieces = [" ", " a", "a", "b", "ab", "ba", "é", "éa", " aé", "bab"]
@@ -103,6 +167,7 @@ def test_languages_of_odd_texts(documents):
     assert [found[i].lang_pred for i in (0, 1, 103, 106, None)] == ["en", "de", "de", "en", "en"]
     assert [(found[i].lang_pred, found[i].score) for i in (100, 101, 102)] == [("und", 0.0)] * 3
     assert found[104].lang_pred in ("en", "de") and all(0 <= r.score <= 1 for r in found.values())
+    assert all(r.lang_pred in {"und", *model.languages} for r in found.values())
     nothing = language.learned(docs.where("lang IS NULL"), VOCABULARY)
     assert {r.lang_pred for r in language.predict(docs, nothing).collect()} == {"und"}
     assert language.predict(documents([]), model).count() == 0
