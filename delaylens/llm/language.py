@@ -27,6 +27,8 @@ from delaylens.llm.words import Words, blanks, constants, marks, mixed, pooled,
 PIECE_BYTES, RUN_BYTES = 12, 32
 #: Most numbers that a forward pass holds at once; more words are worked through in parts.
 NUMBERS = 4_000_000
+#: Languages whose rates are broadcast; beyond it the join is left to Spark.
+BROADCAST = 20_000
 _ODD = 0xD1342543DE82EF95
 
 
@@ -228,10 +230,12 @@ def learned(docs: DataFrame, path: str, text: str = "text", lang: str = "lang",
     rows = docs.where(F.col(lang).isNotNull()).select(
         F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"), F.col(lang).cast("string").alias("_lang")
     )
-    sizes = rows.groupBy("_lang").count()
+    counts = rows.groupBy("_lang").count().collect()
     rates = docs.sparkSession.createDataFrame(
-        [(r["_lang"], min(1.0, s.documents / r["count"])) for r in sizes.collect()], "_lang string, _rate double"
+        [(r["_lang"], min(1.0, s.documents / r["count"])) for r in counts], "_lang string, _rate double"
     )
+    if len(counts) <= BROADCAST:
+        rates = F.broadcast(rates)
     row = F.when(F.col("_key").isNull(), F.xxhash64(F.lit(s.seed), "_text")).otherwise(F.xxhash64(F.lit(s.seed), "_key"))
     draw = F.shiftrightunsigned(row, 11) / float(1 << 53)
     sample = rows.join(rates, "_lang").where(draw < F.col("_rate")).select("_lang", "_text")
@@ -239,7 +243,7 @@ def learned(docs: DataFrame, path: str, text: str = "text", lang: str = "lang",
         sample.mapInArrow(_counted, "lang string, word binary, times long")
         .groupBy("lang", "word").agg(F.sum("times").alias("times")).toArrow()
     )
-    words: dict[str, dict[bytes, int]] = {r["_lang"]: {} for r in rates.collect()}
+    words: dict[str, dict[bytes, int]] = {r["_lang"]: {} for r in counts}
     for name, word, n in zip(*(found.column(c).to_pylist() for c in ("lang", "word", "times"))):
         words[name][word] = n
     return train(words, vocabulary(path), s)
