@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from delaylens.functions import casting, clock, text
 from delaylens.operators import features, pages, summary, weather
 from delaylens.operators.joins import located
+from delaylens.operators.suffixes import domains_by_rules
 from delaylens.plans import bindings as b
 from delaylens.plans.registry import query
 from delaylens.plans.summaries import FLIGHTS, SCHEDULED_SQL
@@ -237,6 +238,23 @@ def url_domains(spark, folder):
     return pages.domains(b.table(spark, folder, "pages"), "page_id")
 
 
+# Rules of the bound query: suffixes, one below any label, and an exception to it.
+SUFFIX_RULES = ("com", "net", "org", "example.com", "*.example.net", "!ththth.example.net")
+
+
+@query(rf"""WITH rules(rule) AS (VALUES {", ".join(f"('{r}')" for r in SUFFIX_RULES)}),
+    hosts AS (SELECT page_id, {_HOST} AS host FROM pages),
+    best AS (SELECT page_id, max(len(string_split(rule, '.')) + CASE WHEN rule LIKE '!%' THEN 999 ELSE 0 END) AS best
+        FROM hosts JOIN rules ON regexp_matches(host,
+            '^(.*\.)?' || replace(replace(replace(rule, '!', ''), '.', '\.'), '*', '[^.]+') || '$') GROUP BY page_id),
+    cut AS (SELECT page_id, host, string_split(host, '.') AS labels, coalesce(CASE WHEN best > 900 THEN best - 1000 ELSE best END, 1) + 1 AS n
+        FROM hosts LEFT JOIN best USING (page_id))
+    SELECT page_id, host, CASE WHEN len(labels) >= n THEN array_to_string(labels[-n:], '.') END AS domain FROM cut""")
+def url_domains_by_rules(spark, folder):
+    rules = spark.createDataFrame([(r,) for r in SUFFIX_RULES], "rule string")
+    return domains_by_rules(b.table(spark, folder, "pages").select("page_id", "url"), "url", rules).drop("url")
+
+
 def _plain_sql(fragment: str) -> str:
     return rf"trim(regexp_replace(regexp_replace({fragment}, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'), ' ')"
 
