@@ -9,6 +9,7 @@ from delaylens.operators.suffixes import domains_by_rules
 from delaylens.plans import bindings as b
 from delaylens.plans.registry import query
 from delaylens.plans.summaries import FLIGHTS, SCHEDULED_SQL
+from delaylens.session import workspace
 from delaylens.sources import readers, writers
 
 
@@ -265,3 +266,40 @@ def _plain_sql(fragment: str) -> str:
     {_DOMAIN} AS domain FROM pages""")
 def page_records(spark, folder):
     return pages.head_records(b.table(spark, folder, "pages"), "page_id")
+
+
+# The cells of a registry page that hold fields, and the columns they are filled from.
+_PAGE_FIELDS = {
+    "serial_number": "SerialNumber", "manufacturer": "Manufacturer", "model": "Model", "mfr_year": "ManufacturerYear", "owner": "Owner",
+    "owner_state": "OwnerState", "engine_manufacturer": "EngineManufacturer", "engine_model": "EngineModel",
+}
+#: Pages of airplanes of these years end within their last table.
+_CUT_OFF = "CAST(ManufacturerYear AS INT) % 10 = 3"
+
+
+def _registry_pages(spark, folder):
+    """Saved pages as a registry shows its airplanes: tables of labels and values, fields by position."""
+    at = {place: F.concat(F.lit("\n <b>"), F.col(_PAGE_FIELDS[name]), F.lit("</b> ")) for name, place in pages.REGISTRY_CELLS.items()}
+    html = [F.lit("<html><body>")]
+    for t in range(max(t for t, _ in at) + 1):
+        html.append(F.lit(f'<TABLE class="t{t}"><tr>'))
+        for c in range(max((c for s, c in at if s == t), default=0) + 1):
+            html += [F.lit("<td>"), at.get((t, c), F.lit(f"label {c}")), F.lit("</td>")]
+        html.append(F.lit("</tr></TABLE>"))
+    page = F.concat(*html)
+    cut = F.when(F.expr(_CUT_OFF), F.substring_index(page, "<td>", -5)).otherwise(page)
+    saved = b.airplanes(spark, folder).select("TailNum", cut.alias("html"))
+    return writers.materialize(saved, workspace(spark, "registry-pages"))
+
+
+@query(f"""WITH {b.AIRPLANES_SQL} SELECT TailNum, {', '.join(f'{c} AS {n}' for n, c in _PAGE_FIELDS.items())}
+    FROM airplanes WHERE NOT {_CUT_OFF}""")
+def registry_records(spark, folder):
+    """Records of airplanes read back from their pages; incomplete pages give none."""
+    return pages.table_records(_registry_pages(spark, folder), "TailNum")
+
+
+@query(f"WITH {b.AIRPLANES_SQL} SELECT NOT {_CUT_OFF} AS complete, count(*) AS n FROM airplanes GROUP BY complete")
+def registry_pages_complete(spark, folder):
+    found = pages.table_records(_registry_pages(spark, folder), "TailNum", keep_incomplete=True)
+    return summary.count_by(found, ["complete"])
