@@ -57,3 +57,21 @@ def search_words(
 def carrier_page(fleets: DataFrame, names: DataFrame, code: str = "Carrier") -> DataFrame:
     """Fleets with the names of their carriers where these are known."""
     return fleets.join(names, code, "left")
+
+
+#: Values of one filter that Spark still tests against Bloom filters one by one.
+PUSHED = 10
+
+
+def by_ids(table: DataFrame, column: str, ids: Sequence[object]) -> DataFrame:
+    """Rows of a table of ``publish_by_id`` that hold one of a few ids, each row once.
+
+    Up to ten ids make one pass that tests the Bloom filters of every row group; more make one
+    pass per ten, each over the row groups that may hold its own. Null is no id. Many ids are a
+    table of their own: use a semi-join.
+    """
+    wanted = sorted({i for i in ids if i is not None})
+    if not wanted:
+        return table.where("false")
+    passes = [wanted[i : i + PUSHED] for i in range(0, len(wanted), PUSHED)]
+    return reduce(DataFrame.unionByName, [table.where(reduce(lambda a, b: a | b, [F.col(column) == F.lit(v) for v in p])) for p in passes])

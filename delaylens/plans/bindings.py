@@ -18,7 +18,7 @@ from delaylens.operators import search_index
 from delaylens.operators.features import calendar
 from delaylens.operators.search_index import Index
 from delaylens.session import shared_folder
-from delaylens.sources.writers import publish, to_json_rows
+from delaylens.sources.writers import publish, publish_by_id, to_json_rows
 
 # The carriers, by the order in which requests are assigned to them.
 CARRIERS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -130,6 +130,30 @@ def published_flights(spark: SparkSession, folder: str, *columns: str) -> DataFr
     return spark.read.parquet(path).select(*columns)
 
 
+def _by_id(spark: SparkSession, folder: str, name: str, sources: tuple[str, ...], make: Callable[[], DataFrame], ids: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows that ``make`` gives, stored once by an application for the same files, with Bloom filters of ids."""
+    path = f"{shared_folder(spark).rstrip('/')}/stored/{spark.sparkContext.applicationId}/{name}-{table_stamp(spark, folder, *sources)}"
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    publish_by_id(make(), path, ids, order, mode="overwrite")
+    return spark.read.parquet(path)
+
+
+def requests_by_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests in order of time, to be found by an id that says nothing of it."""
+    make = lambda: requests(spark, folder).withColumn("UUID", F.md5("UUID"))
+    return _by_id(spark, folder, "requests-by-id", ("events",), make, ["UUID"], ["Timestamp"])
+
+
+def flights_by_tail(spark: SparkSession, folder: str) -> DataFrame:
+    """Flights in order of day, to be found by airplane."""
+    sources = ("lineitem", "orders", "customer", "supplier", "nation")
+    return _by_id(spark, folder, "flights-by-tail", sources, lambda: flights(spark, folder, *LOOKED_UP), ["TailNum"], ["FlightDate"])
+
+
 def table_stamp(spark: SparkSession, folder: str, *names: str) -> str:
     """Changes with the files of the tables: their bytes, number and time, from the file system."""
     parts = []

@@ -1,5 +1,6 @@
 """Joins, entity documents, name resolution, nearest neighbours, look-ups."""
 
+import hashlib
 from datetime import date
 from functools import reduce
 
@@ -409,3 +410,21 @@ def index_flights(spark, folder):
 def index_airplanes(spark, folder):
     """Build the search index of the airplanes: how many hold each word of each field."""
     return b.indexed_airplanes(spark, folder).terms
+
+
+# Requests asked for by id, more than one pass takes; some exist at the larger scales only, and one nowhere.
+_ASKED = tuple(hashlib.md5(text.encode()).hexdigest() for text in (*map(str, range(3, 5000, 431)), "none"))
+
+
+@query(f"""WITH {b.REQUESTS_SQL}, asked AS (SELECT * REPLACE (md5(UUID) AS UUID) FROM requests)
+    SELECT UUID, Carrier, FlightDate, Origin, Dest FROM asked WHERE UUID IN ({', '.join(f"'{i}'" for i in _ASKED)})""")
+def requests_by_id(spark, folder):
+    """Requests by ids that are random in the order of the table: Bloom filters of its row groups say where to look."""
+    found = lookup.by_ids(b.requests_by_id(spark, folder), "UUID", _ASKED)
+    return found.select("UUID", "Carrier", "FlightDate", "Origin", "Dest")
+
+
+@query(f"WITH {FLIGHTS} SELECT {', '.join(_ROW)} FROM flights WHERE TailNum IN ('N3', 'N77', 'N0')")
+def flights_by_tail(spark, folder):
+    """Flights of some airplanes, from a table in order of day."""
+    return lookup.by_ids(b.flights_by_tail(spark, folder), "TailNum", ("N3", "N77", "N0")).select(*_ROW)

@@ -74,3 +74,26 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     write_table(df, path)
     spark: SparkSession = df.sparkSession
     return spark.read.schema(df.schema).parquet(path)
+
+
+def publish_by_id(
+    df: DataFrame, path: str, ids: Sequence[str], order: Sequence[str] = (), *,
+    per_group: int = 1_000_000, group_bytes: int = 128 << 20, mode: str = "append",
+) -> None:
+    """Write a table for look-ups by ids of which nearly every row has its own.
+
+    Statistics of smallest and largest values can't serve several ids at once, nor ids that are
+    random in the ``order`` of the table. Each row group therefore gets a Bloom filter of each
+    id, made for ``per_group`` different ids; a filter on an id then reads row groups that hold
+    it, and about one in a hundred of the others. Rows are range-partitioned by ``order``, told
+    apart by a hash of all columns, so no value of it has to fit one task.
+    """
+    if order:
+        df = df.repartitionByRange(*order, F.xxhash64(*df.columns)).sortWithinPartitions(*order)
+    out = df.write.mode(mode).option("partitionOverwriteMode", "static").option("parquet.block.size", group_bytes)
+    for name in ids:
+        out = out.option(f"parquet.bloom.filter.enabled#{name}", "true")
+        out = out.option(f"parquet.bloom.filter.expected.ndv#{name}", per_group)
+        # Row groups whose pages all have a dictionary would be tested by that, which is larger.
+        out = out.option(f"parquet.enable.dictionary#{name}", "false")
+    out.parquet(path)
