@@ -97,3 +97,10 @@ def publish_by_id(
         # Row groups whose pages all have a dictionary would be tested by that, which is larger.
         out = out.option(f"parquet.enable.dictionary#{name}", "false")
     out.parquet(path)
+
+
+def write_delimited(
+    df: DataFrame, path: str, *, header: bool = True, sep: str = ",", null_token: str = "", compression: str = "none"
+) -> None:
+    """Delimited text. Empty texts are written as nothing, so with an empty ``null_token`` they read back as NULL."""
+    df.write.mode("overwrite").options(header=header, sep=sep, nullValue=null_token, emptyValue="", compression=compression).csv(path)
