@@ -177,6 +177,29 @@ def train_score_regression(spark, folder):
     )
 
 
+@query(f"""WITH {FLIGHTS} SELECT Carrier, count(*) AS scored, true AS beats_mean, true AS beats_departure FROM flights
+    WHERE ArrDelay IS NOT NULL AND DepDelay IS NOT NULL GROUP BY Carrier""")
+def train_score_boosted(spark, folder):
+    """Boosted trees: per carrier, the rows scored, and whether held-out squared errors are below simpler ones.
+
+    These are those of the mean delay of the training rows, and of the departure's own delay.
+    """
+    train, test = models.split_by_hash(_base(spark, folder), 0.8, seed=42)
+    fitted = models.fit_regressor(train, REGRESSION_INPUTS, kind="boosted")
+    mean = train.agg(F.avg("ArrDelay").alias("mean")).first()["mean"]
+    rows = train.withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True)))
+    scored = models.predict(fitted, rows)
+
+    def error(guess):
+        return F.avg(F.when(F.col("held"), (F.col("ArrDelay") - guess) ** 2))
+
+    own = error(F.col(models.PREDICTION))
+    return scored.groupBy("Carrier").agg(
+        F.count(models.PREDICTION).alias("scored"),
+        (own < error(F.lit(mean))).alias("beats_mean"), (own < error(F.col("DepDelay"))).alias("beats_departure"),
+    )
+
+
 def _known():
     return F.col(models.PREDICTION).isin(0.0, 1.0, 2.0, 3.0).alias("known_bucket")
 

@@ -10,7 +10,7 @@ from delaylens.plans import QUERIES
 # Bound queries that fit or apply models, or run a stream.
 RUN_ON_BUILD = {
     "train_score_rf", "cv_metrics", "feature_importances", "train_score_regression", "batch_score_day",
-    "stream_score", "stream_parse", "stream_dedupe", "regression_metrics",
+    "train_score_boosted", "stream_score", "stream_parse", "stream_dedupe", "regression_metrics",
 }
 
 
