@@ -38,7 +38,7 @@ STATIONS = _strings(
     "LOCATION", "ELEV_OTHER", "ELEV_GROUND", "ELEV_RUNWAY", "ELEV_BAROMETRIC", "ELEV_STATION",
     "ELEV_UPPER_AIR",
 )
-# Every hourly measure is followed by its quality flag.
+# The hourly measures. Each is followed by its quality flag.
 HOURLY_MEASURES = (
     "SkyCondition", "Visibility", "WeatherType", "DryBulbFarenheit", "DryBulbCelsius",
     "WetBulbFarenheit", "WetBulbCelsius", "DewPointFarenheit", "DewPointCelsius",
