@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import Bucketizer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Bucketizer, OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler,
+)
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylens.functions.buckets import DELAY_EDGES
@@ -20,6 +23,8 @@ from delaylens.sources.writers import write_days
 
 LABEL = "ArrDelayBucket"
 PREDICTION = "Prediction"
+#: Rows of a part of training rows, from which on there are more parts.
+PART_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -63,23 +68,47 @@ def split_by_hash(df: DataFrame, share: float, seed: int) -> tuple[DataFrame, Da
     A lost and recomputed partition falls the same way, and neither side needs the local sort
     that ``randomSplit`` adds.
     """
-    draw = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1_000_000))
-    cut = F.lit(round(share * 1_000_000))
+    draw, cut = _draw(df, seed), F.lit(round(share * 1_000_000))
     return df.where(draw < cut), df.where(draw >= cut)
 
 
-def training_rows(df: DataFrame, inputs: Inputs, label: str, partitions: int | None = None) -> DataFrame:
-    """The labelled rows, cut down to what the model reads and stored once.
+def _draw(df: DataFrame, seed: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1_000_000))
 
-    Fitting passes over its rows many times; the joins and features behind them should run
-    once. ``partitions`` spreads the rows by their content into so many parts; a forest draws its
-    samples per part, so the same number gives the same forest on any machine.
+
+def stored_splits(
+    df: DataFrame, share: float, seeds: Sequence[int], columns: Sequence[str]
+) -> list[tuple[DataFrame, DataFrame]]:
+    """The splits of ``split_by_hash`` for all seeds, of ``columns`` only.
+
+    The rows are worked out and stored once. A filter on the hash would be pushed below them, and
+    every column they are made of would be worked out anew for the hash and on either side.
     """
+    names = [f"_draw_{i}" for i in range(len(seeds))]
+    rows = checkpointed(df.select(*columns, *[_draw(df, seed).alias(name) for name, seed in zip(names, seeds)]))
+    cut = F.lit(round(share * 1_000_000))
+    return [(rows.where(F.col(n) < cut).select(*columns), rows.where(F.col(n) >= cut).select(*columns)) for n in names]
+
+
+def read_columns(inputs: Inputs) -> list[str]:
+    """The columns that a model with these inputs reads; the route is made of its ends."""
     sources = [c for c in (*inputs.categorical, *inputs.numeric) if c != "Route"]
     if "Route" in inputs.categorical:
         sources += [c for c in ("Origin", "Dest") if c not in sources]
-    rows = df.where(F.col(label).isNotNull()).select(*sources, label)
+    return sources
+
+
+def training_rows(df: DataFrame, inputs: Inputs, label: str, partitions: int | None = None) -> DataFrame:
+    """The labelled rows, cut down to what the model reads and stored once.
+
+    Fitting passes over its rows many times; the joins and features behind them should run
+    once. ``partitions`` spreads the rows by their content into so many parts, or into more if
+    there are more than ``PART_ROWS`` rows a part; a forest draws its samples per part, so the
+    same number gives the same forest on any machine.
+    """
+    rows = df.where(F.col(label).isNotNull()).select(*read_columns(inputs), label)
     if partitions is not None:
+        partitions = max(partitions, -(-rows.count() // PART_ROWS))
         rows = rows.repartition(partitions, F.xxhash64(*rows.columns)).sortWithinPartitions(*rows.columns)
     return checkpointed(rows)
 
@@ -105,6 +134,21 @@ def category_stages(inputs: Inputs) -> list:
     ]
 
 
+def ordered_categories(indexer: StringIndexerModel, bins: int) -> StringIndexerModel:
+    """``indexer`` with unused values added to short columns, so that no column counts as unordered.
+
+    Of a column of few categories a forest of several classes tries every subset (127 for the days
+    of the week), on every row and for every tree. Those of longer columns are put in order of
+    their labels and cut there, like those of all other columns. Values in use keep their index.
+    """
+    # Spark's bound on the categories of an unordered column.
+    most = int(math.log2(bins // 2 + 1) + 1)
+    labels = [[*values, *[f"\x00unused {i}" for i in range(len(values), most)]] for values in indexer.labelsArray]
+    return StringIndexerModel.from_arrays_of_labels(
+        labels, inputCols=indexer.getInputCols(), outputCols=indexer.getOutputCols(), handleInvalid="keep"
+    )
+
+
 def fit_classifier(
     df: DataFrame, inputs: Inputs = Inputs(), *, label: str = LABEL, trees: int = 20,
     depth: int = 5, seed: int = 42, partitions: int | None = None,
@@ -123,7 +167,10 @@ def fit_classifier(
         featuresCol="Features_vec", labelCol=label, predictionCol=PREDICTION,
         numTrees=trees, maxDepth=depth, maxBins=bins, seed=seed, maxMemoryInMB=1024,
     )
-    return Pipeline(stages=[*prepared.stages, assembler, forest]).fit(rows)
+    texts, indexer = prepared.stages
+    fitted = Pipeline(stages=[texts, ordered_categories(indexer, bins), assembler, forest]).fit(rows)
+    # Values in use have the same index in both.
+    return PipelineModel([texts, indexer, *fitted.stages[2:]])
 
 
 def fit_regressor(
@@ -174,10 +221,8 @@ def repeated_evaluation(
 
     The rows are stored once; every split reads what is stored.
     """
-    df = checkpointed(df)
     tables, models = [], []
-    for seed in seeds:
-        train, test = split_by_hash(df, share, seed)
+    for seed, (train, test) in zip(seeds, stored_splits(df, share, seeds, [*read_columns(inputs), LABEL])):
         model = fit_classifier(train, inputs, seed=seed, **options)
         scores = classification(predict(model, test), LABEL, PREDICTION)
         tables.append(scores.select(F.lit(seed).alias("run"), "metric", "score"))

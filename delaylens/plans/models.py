@@ -102,13 +102,20 @@ def prediction_vs_actual(spark, folder):
 # ---- trained models
 
 def _split(spark, folder):
-    return models.split_by_hash(_labelled(spark, folder), 0.8, seed=42)
+    columns = [*models.read_columns(models.Inputs()), models.LABEL]
+    return models.stored_splits(_labelled(spark, folder), 0.8, [42], columns)[0]
 
 
-def _fit(spark, folder):
+def _split_delays(spark, folder):
+    columns = [*models.read_columns(REGRESSION_INPUTS), "ArrDelay"]
+    return models.stored_splits(_base(spark, folder), 0.8, [42], columns)[0]
+
+
+def _fit(spark, folder, train=None):
     """Fit the forest to the folder's training rows, store it and load what was stored."""
     path = _model_path(spark, folder)
-    models.save_model(models.fit_classifier(_split(spark, folder)[0], partitions=8), path)
+    train = _split(spark, folder)[0] if train is None else train
+    models.save_model(models.fit_classifier(train, partitions=8), path)
     return models.load_model(path)
 
 
@@ -132,7 +139,7 @@ def classifier(spark, folder):
 def train_score_rf(spark, folder):
     """Whether each metric on the held-out rows beats that of always predicting the largest class."""
     train, test = _split(spark, folder)
-    scored = checkpointed(models.predict(_fit(spark, folder), test).select(models.LABEL, models.PREDICTION))
+    scored = checkpointed(models.predict(_fit(spark, folder, train), test).select(models.LABEL, models.PREDICTION))
     found = metrics.classification(scored, models.LABEL, models.PREDICTION)
     largest = train.groupBy(models.LABEL).count().orderBy(F.desc("count"), models.LABEL).first()[models.LABEL]
     plain = metrics.classification(scored.withColumn(models.PREDICTION, F.lit(largest)), models.LABEL, models.PREDICTION)
@@ -152,7 +159,7 @@ def cv_metrics(spark, folder):
     ('DayOfYear_index'), ('DepDelay'), ('Dest_index'), ('Distance'), ('Origin_index'), ('Route_index')) t(feature)""")
 def feature_importances(spark, folder):
     """Importances over all splits of a run and their change against a run of fewer trees."""
-    rows = checkpointed(_labelled(spark, folder))
+    rows = _labelled(spark, folder)
     runs = [
         models.repeated_evaluation(rows, seeds=[1, 2], trees=trees, depth=4, partitions=8)[1] for trees in (4, 8)
     ]
@@ -166,7 +173,7 @@ def feature_importances(spark, folder):
 
 @query("SELECT true AS r2_above_three_quarters, true AS median_error_below_twelve")
 def train_score_regression(spark, folder):
-    train, test = models.split_by_hash(_base(spark, folder), 0.8, seed=42)
+    train, test = _split_delays(spark, folder)
     fitted = models.fit_regressor(train, REGRESSION_INPUTS)
     # The median takes several passes; the predictions are made once.
     scored = checkpointed(models.predict(fitted, test).select("ArrDelay", models.PREDICTION))
@@ -184,7 +191,7 @@ def train_score_boosted(spark, folder):
 
     These are those of the mean delay of the training rows, and of the departure's own delay.
     """
-    train, test = models.split_by_hash(_base(spark, folder), 0.8, seed=42)
+    train, test = _split_delays(spark, folder)
     fitted = models.fit_regressor(train, REGRESSION_INPUTS, kind="boosted")
     mean = train.agg(F.avg("ArrDelay").alias("mean")).first()["mean"]
     rows = train.withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True)))

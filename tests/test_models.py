@@ -1,3 +1,4 @@
+import math
 import os
 
 import pytest
@@ -137,6 +138,39 @@ def test_partitions_settle_the_forest(spark, folder):
     assert one.tolist() == two.tolist()
 
 
+def test_short_columns_are_cut_in_order_of_labels(spark, folder, fitted):
+    # Spark tries every subset of a column with fewer categories than this, on every row.
+    bins = max(32, *[len(values) + 1 for values in fitted.stages[1].labelsArray])
+    least = int(math.log2(bins // 2 + 1) + 1)
+    indexer = models.ordered_categories(fitted.stages[1], bins)
+    assert all(len(values) >= least for values in indexer.labelsArray)
+    assert all(a[: len(b)] == b for a, b in zip(map(list, indexer.labelsArray), map(list, fitted.stages[1].labelsArray)))
+    # A column of three values, of which each class has one, has four categories with that of unseen values.
+    rows = spark.range(3000).selectExpr("cast(id % 3 as string) c", "cast((id + 1) % 3 as double) y", "cast(id % 5 as double) x")
+    own = models.fit_classifier(rows, models.Inputs(categorical=("c",), numeric=("x",)), label="y", trees=3, depth=3)
+    assert own.stages[-1].trees[0]._call_java("rootNode").split().numCategories() > int(math.log2(32 // 2 + 1) + 1)
+    assert models.predict(own, rows).where(f"{models.PREDICTION} <> y").isEmpty()
+
+
+def test_stored_splits_are_those_by_hash(spark, folder):
+    rows = bound._labelled(spark, folder)
+    columns = ["Carrier", "DepDelay", models.LABEL]
+    for seed, sides in zip((1, 2), models.stored_splits(rows, 0.8, [1, 2], columns)):
+        for stored, plain in zip(sides, models.split_by_hash(rows, 0.8, seed)):
+            assert stored.columns == columns
+            assert stored.exceptAll(plain.select(columns)).isEmpty() and plain.select(columns).exceptAll(stored).isEmpty()
+    # The features are not worked out again on either side.
+    assert "lineitem" not in sides[0]._jdf.queryExecution().toString()
+
+
+def test_parts_of_training_rows_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(models, "PART_ROWS", 100)
+    inputs = models.Inputs(categorical=("c",), numeric=("x",))
+    rows = spark.range(1000).selectExpr("cast(id % 7 as string) c", "cast(id as double) x", "cast(id % 2 as double) y")
+    assert models.training_rows(rows, inputs, "y", 4).rdd.getNumPartitions() == 10
+    assert models.training_rows(rows, inputs, "y", 16).rdd.getNumPartitions() == 16
+
+
 def test_stamped_requests(spark):
     found = features.stamped(spark.createDataFrame([(1,), (2,)], "i int")).collect()
     assert len({r.UUID for r in found}) == 2 and all(len(r.UUID) == 36 and r.Timestamp for r in found)
