@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaylens.functions import clock
@@ -63,6 +63,26 @@ def with_times(features: DataFrame) -> DataFrame:
     })
 
 
+def with_history(train: DataFrame, test: DataFrame, key: str, value: Column, name: str) -> tuple[DataFrame, DataFrame]:
+    """Both tables with the mean ``value`` of the training rows of the same key, 0 where there are none.
+
+    A training row does not count in its own mean. A null key has no history.
+    """
+    own = train.select("*", value.alias("_own"))
+    known = own.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+        F.sum("_own").alias("_sum"), F.count("_own").alias("_n")
+    )
+    counted = F.col("_own").isNotNull().cast("int")
+    others = F.try_divide(F.col("_sum") - F.coalesce("_own", F.lit(0)), F.col("_n") - counted)
+    same = F.col(key) == F.col("_key")
+    return (
+        own.join(known, same, "left").select(*train.columns, F.coalesce(others, F.lit(0.0)).alias(name)),
+        test.join(known, same, "left").select(
+            *test.columns, F.coalesce(F.try_divide("_sum", "_n"), F.lit(0.0)).alias(name)
+        ),
+    )
+
+
 def calendar(df: DataFrame, date: str, monday: int = 1) -> DataFrame:
     """Day of year, month and week. ``monday`` is the number of Monday: 1 (ISO) or 0."""
     return df.withColumns({
