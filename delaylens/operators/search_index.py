@@ -19,10 +19,13 @@ from pyspark.sql import types as T
 
 from delaylens.functions.text import tokens
 from delaylens.operators.ranking import number_rows
-from delaylens.sources.writers import write_table
+from delaylens.session import workspace
+from delaylens.sources.writers import materialize, write_table
 
 #: Rows of a block of a list; rows of a rarest word up to which only their blocks are read of others.
 BLOCK, RARE = 1 << 16, 1_000
+#: Row numbers in a range of lists that one task writes.
+RANGE = 4_000_000
 ROW = "_row"
 _POSTINGS = "field string, token string, block bigint, rows array<bigint>"
 _TERMS = "field string, token string, frequency bigint"
@@ -56,14 +59,30 @@ def build(
     terms = F.concat(*[F.coalesce(x, none) for x in listed + whole])
     held = rows.select(ROW, F.explode(terms).alias("_t")).select(ROW, "_t.field", "_t.token")
     lists = held.groupBy("field", "token", F.expr(f"{ROW} div {block}").alias("block")).agg(F.array_sort(F.collect_list(ROW)).alias("rows"))
-    by = ["field", "token", "block"]
-    write_table(lists.repartitionByRange(*by).sortWithinPartitions(*by), f"{path}/postings")
+    _write_lists(lists, f"{path}/postings")
     postings = _read(spark, f"{path}/postings", _POSTINGS)
     frequency = postings.groupBy("field", "token").agg(F.sum(F.size("rows")).alias("frequency"))
     write_table(frequency.repartitionByRange("field", "token").sortWithinPartitions("field", "token"), f"{path}/terms")
     return opened(spark, path, df.schema, words)
 
 
+def _write_lists(lists: DataFrame, path: str) -> None:
+    """Write the lists in ranges of field, word and block, of much the same size in bytes.
+
+    Ranges hold much the same number of lists, and a word of half of all rows has lists thousands
+    of times as long as those of a rare one. So lists are ranged apart by the power of four of
+    their length.
+    """
+    by = ["field", "token", "block"]
+    sized = lists.withColumn("_class", F.floor(F.log(4.0, F.size("rows").cast("double"))).cast("int"))
+    held = materialize(sized, workspace(lists.sparkSession, "lists"))
+    write_table(held.drop("_class").limit(0), path)
+    for found in held.groupBy("_class").agg(F.sum(F.size("rows")).alias("n")).orderBy("_class").collect():
+        parts = -(-found.n // RANGE)
+        ranged = held.where(F.col("_class") == found["_class"]).drop("_class").repartitionByRange(parts, *by)
+        write_table(ranged.sortWithinPartitions(*by), path, "append")
+
+
 def opened(spark: SparkSession, path: str, schema: T.StructType, words: Sequence[str] = ()) -> Index:
     """The index at ``path`` of rows of ``schema``."""
     kinds = {"rows": _rows(schema), "postings": _POSTINGS, "terms": _TERMS}

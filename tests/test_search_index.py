@@ -67,3 +67,13 @@ def test_empty_table(spark, tmp_path):
     index = search_index.build(spark.createDataFrame([], "id int, title string"), str(tmp_path), ["id"], words=["title"])
     assert search_index.search(index, {"title": "w1"}).count() == 0
     assert search_index.search(index, {}).count() == 0
+
+
+def test_long_lists_are_spread_over_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(search_index, "RANGE", 400, raising=False)
+    df = spark.range(4000).selectExpr("id", "cast(id as string) name", "'same' word")
+    found = search_index.build(df, str(tmp_path / "index"), ["id"], values=["name", "word"], block=100)
+    files = found.postings.groupBy(F.input_file_name()).agg(F.sum(F.size("rows")).alias("n")).collect()
+    # Each of the lists of "word" is as long as a hundred of "name".
+    assert sum(r.n for r in files) == 8000 and max(r.n for r in files) <= 1000
+    assert [r.id for r in search_index.search(found, {"name": "1234", "word": "same"}).collect()] == [1234]
