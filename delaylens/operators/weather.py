@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from delaylens.functions import clock
 from delaylens.operators.joins import both_ends
 from delaylens.operators.nearest_time import nearest_observation
+from delaylens.session import workspace
+from delaylens.sources.writers import materialize
 
 # The measures kept of an hourly record.
 KEPT_MEASURES = (
@@ -50,12 +52,14 @@ def flight_weather(
     """Flights with the observation nearest to departure and the one nearest to arrival.
 
     Flights share few instants: the distinct pairs of station and instant of both ends are
-    matched once, and their observations joined back to either end.
+    matched once, and their observations joined back to either end. The flights with their
+    instants are stored, since they are read once for the pairs and once for the joins.
     """
     out = both_ends(
         scheduled_ends(flights), stations, place, station,
         {"Origin": "Origin_Station", "Dest": "Dest_Station"},
     )
+    out = materialize(out, workspace(out.sparkSession, "flight-ends"))
     ends = (
         ("Origin_Station", "CRSDepDatetime", "DepObservation"),
         ("Dest_Station", "CRSArrDatetime", "ArrObservation"),

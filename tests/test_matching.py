@@ -11,6 +11,7 @@ from delaylens.functions.geodesy import rounded_miles
 from delaylens.operators import resolve
 from delaylens.operators.nearest_place import nearest_place
 from delaylens.operators.nearest_time import nearest_observation
+from delaylens.plans import entities
 
 NAMES = [
     "BOEING", "BOEING CO", "BOEING COMPANY", " BOEING", "AIRBUS INDUSTRIE", "AIRBUS", "AIRBUS ", "CESSNA",
@@ -113,3 +114,8 @@ def test_tie_goes_to_the_earlier_observation(spark):
         e, o, station="place", at="when", observed_station="station", observed_at="at", measures=["n"], name="o"
     )
     assert found.first().o.n == 1
+
+
+def test_flights_are_joined_once_for_both_ends(spark, folder):
+    # The pairs and both joins read the stored flights, not the orders behind them.
+    assert "o_orderdate" not in entities.flight_weather(spark, folder)._jdf.queryExecution().toString()
