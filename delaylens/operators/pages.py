@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,15 +45,14 @@ def table_records(
     split = tables.select(key, *[
         F.regexp_extract_all(F.get("_tables", F.lit(t)), F.lit(_CELLS), 1).alias(f"_t{t}") for t in needed
     ])
-    records = split.select(key, *[
-        plain_text(F.get(f"_t{t}", F.lit(c))).alias(name) for name, (t, c) in cells.items()
+    # Told by the number of cells: a filter on the records would work out every one of them twice.
+    complete = reduce(lambda a, b: a & b, [
+        F.coalesce(F.size(f"_t{t}") > max(c for s, c in cells.values() if s == t), F.lit(False)) for t in needed
     ])
-    missing = F.lit(False)
-    for name in cells:
-        missing = missing | F.col(name).isNull()
+    records = [plain_text(F.get(f"_t{t}", F.lit(c))).alias(name) for name, (t, c) in cells.items()]
     if keep_incomplete:
-        return records.withColumn("complete", ~missing)
-    return records.where(~missing)
+        return split.select(key, *records, complete.alias("complete"))
+    return split.where(complete).select(key, *records)
 
 
 def head_records(pages: DataFrame, key: str, url: str = "url", html: str = "html") -> DataFrame:

@@ -275,6 +275,8 @@ _PAGE_FIELDS = {
     "serial_number": "SerialNumber", "manufacturer": "Manufacturer", "model": "Model", "mfr_year": "ManufacturerYear", "owner": "Owner",
     "owner_state": "OwnerState", "engine_manufacturer": "EngineManufacturer", "engine_model": "EngineModel",
 }
+#: Pages that one task writes and reads.
+PAGES = 20_000
 #: Pages of airplanes of these years end within their last table.
 _CUT_OFF = "CAST(ManufacturerYear AS INT) % 10 = 3"
 
@@ -290,7 +292,10 @@ def _registry_pages(spark, folder):
         html.append(F.lit("</tr></TABLE>"))
     page = F.concat(*html)
     cut = F.when(F.expr(_CUT_OFF), F.substring_index(page, "<td>", -5)).otherwise(page)
-    saved = b.airplanes(spark, folder).select("TailNum", cut.alias("html"))
+    airplanes = b.airplanes(spark, folder)
+    # A file of airplanes is small, that of their pages is not: one task reads the first.
+    parts = -(-airplanes.count() // PAGES) or 1
+    saved = airplanes.repartition(parts, "TailNum").select("TailNum", cut.alias("html"))
     return writers.materialize(saved, workspace(spark, "registry-pages"))
 
 

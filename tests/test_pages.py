@@ -1,4 +1,5 @@
 from delaylens.operators import pages
+from delaylens.plans import rows
 
 
 def registry_page(cells=26):
@@ -24,3 +25,21 @@ def test_head_records(spark):
     html = '<html><title> A  <i>b</i></title><pre>no</pre><p class="x">First\n <a class=y href="/l?a=1">link</a>.</p><p>Second</p>'
     row = pages.head_records(spark.createDataFrame([(1, "http://www.x.com/a", html)], "i int, url string, html string"), "i").first()
     assert (row.title, row.first_link, row.summary, row.domain) == ("A b", "/l?a=1", "First link .", "x.com")
+
+
+def test_registry_pages_are_spread_over_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(rows, "PAGES", 50, raising=False)
+    assert len(rows._registry_pages(spark, folder).inputFiles()) > 1
+
+
+def test_records_are_judged_by_their_cells(spark):
+    cells = {"a": (0, 1), "b": (1, 0)}
+    tables = ["<table><td>x</td><td>1</td></table><table><td>2</td></table>", "<table><td>x</td></table><table><td>2</td></table>", "<table><td>x</td><td></td></table><table><td> </td></table>", "", None, "<table><td>x</td><td>1</td></table>"]
+    saved = spark.createDataFrame(list(enumerate(tables)), "id int, html string")
+    found = pages.table_records(saved, "id", cells=cells)
+    assert sorted(map(tuple, found.collect())) == [(0, "1", "2"), (2, "", "")]
+    flags = {r.id: r.complete for r in pages.table_records(saved, "id", cells=cells, keep_incomplete=True).collect()}
+    assert flags == {0: True, 1: False, 2: True, 3: False, 4: False, 5: False}
+    # The filter does not work out the texts of the cells.
+    filters = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+    assert filters and not any("regexp_replace" in line for line in filters)
