@@ -31,17 +31,18 @@ def enrich(
 ) -> DataFrame:
     """Left join with a default text in place of missing attributes.
 
-    Facts without a key cannot match. A second join column spreads them, so that they do not
-    pile up in the one partition a NULL or empty key hashes to, and the facts are read once.
+    Facts without a key cannot match. They are joined by a hash of the row instead, so that they do
+    not pile up in the one partition a NULL or empty key hashes to, and the facts are read once.
+    The hash is part of the one join column: a second column that is constant on the side of the
+    dimension would become a filter, and no longer spread the rows.
     """
     keyed = F.coalesce(F.col(key) != "", F.lit(False))
-    spread = F.when(keyed, F.lit(0)).otherwise(1 + F.pmod(F.xxhash64(*facts.columns), F.lit(1 << 20)).cast("int"))
+    spread = F.when(keyed, F.col(key).cast("string")).otherwise(F.xxhash64(*facts.columns).cast("string"))
     known = dimension.where(F.coalesce(F.col(key) != "", F.lit(False))).select(
-        F.col(key).alias("_key"), F.lit(0).alias("_known"), *[F.col(c).alias(f"_{c}") for c in columns]
-    )
-    joined = facts.withColumn("_spread", spread).join(
-        known, (F.col(key) == F.col("_key")) & (F.col("_spread") == F.col("_known")), "left"
+        F.col(key).cast("string").alias("_key"), *[F.col(c).alias(f"_{c}") for c in columns]
     )
+    # The hash of a row may be the text of a key, so a match also needs a key of its own.
+    joined = facts.withColumn("_spread", spread).join(known, (F.col("_spread") == F.col("_key")) & keyed, "left")
     return joined.select(*facts.columns, *[F.coalesce(f"_{c}", F.lit(default)).alias(c) for c in columns])
 
 

@@ -97,6 +97,30 @@ def test_enrich_keeps_rows_without_key(spark):
     assert found == {1: "Boeing", 2: "Empty", 3: "Empty", 4: "Empty"}
 
 
+def test_enrich_spreads_rows_without_key(spark):
+    facts = spark.range(8000).selectExpr("id i", "CASE id % 4 WHEN 0 THEN '' WHEN 1 THEN concat('N', id) END AS TailNum")
+    planes = spark.range(1, 8000, 8).selectExpr("concat('N', id) TailNum", "concat('M', id) Maker")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        joined = joins.enrich(facts, planes, "TailNum", ["Maker"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 8000 and max(sizes) < 2 * 8000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert joined.where("Maker <> 'Empty'").count() == 1000
+        assert joined.where("Maker <> 'Empty' AND substring(Maker, 2) <> substring(TailNum, 2)").isEmpty()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_enrich_never_takes_a_hash_for_a_key(spark):
+    facts = spark.createDataFrame([(None, 1), ("", 2)], "TailNum string, i int")
+    hashes = [r[0] for r in facts.select(F.xxhash64("TailNum", "i").cast("string")).collect()]
+    planes = spark.createDataFrame([(h, "Wrong") for h in hashes], "TailNum string, Maker string")
+    assert {r.Maker for r in joins.enrich(facts, planes, "TailNum", ["Maker"]).collect()} == {"Empty"}
+
+
 def test_status_of_repeated_answers(spark):
     asked = spark.createDataFrame([("u1",), ("u2",)], "UUID string")
     answers = spark.createDataFrame([("u1", 2.0), ("u1", 2.0)], "UUID string, Prediction double")
