@@ -85,7 +85,7 @@ def subwords(column: pa.Array, s: Settings, piece: int = 1 << 18) -> Iterator[tu
 
 
 def train(texts: list[str], labels: list[int], s: Settings) -> tuple[np.ndarray, float]:
-    """The number of every n-gram bucket and the constant of the log odds of label 1."""
+    """The number of every n-gram bucket and the constant of the log odds of label 1; uses up ``texts``."""
     rng = np.random.default_rng(s.seed)
     size = 1 << s.bits
     vectors = rng.uniform(-1 / s.width, 1 / s.width, (size, s.width)).astype(np.float32)
@@ -95,12 +95,16 @@ def train(texts: list[str], labels: list[int], s: Settings) -> tuple[np.ndarray,
         return np.zeros(size, np.float32), float(np.log((share + 1e-3) / (1 - share + 1e-3)))
     y = np.array(labels)
     bags, seen = [], np.zeros(size, np.int32)
-    for text in texts:
+    # The bags are most of what the driver holds: a text goes when its bag is made, a bag when it is cut.
+    for i, text in enumerate(texts):
+        texts[i] = None
         buckets = np.concatenate([b for b, _, _ in subwords(pa.array([text], pa.string()), s)] or [np.zeros(0, np.int32)])
         ids, counts = np.unique(buckets, return_counts=True)
         seen[ids] += 1
-        bags.append((ids.astype(np.int32), (counts * (s.scale / max(1, len(buckets)))).astype(np.float32)))
-    bags = [(ids[seen[ids] >= s.texts], share[seen[ids] >= s.texts]) for ids, share in bags]
+        bags.append((ids.astype(np.int32), counts.astype(np.min_scalar_type(counts.max(initial=0))), s.scale / max(1, len(buckets))))
+    for i, (ids, counts, factor) in enumerate(bags):
+        kept = seen[ids] >= s.texts
+        bags[i] = ids[kept], counts[kept], factor
     vectors[seen < s.texts] = 0
     grown_v, grown_w, grown_b = np.full((size, s.width), 1e-6, np.float32), np.full((s.width, 2), 1e-6), np.full(2, 1e-6)
     for _ in range(s.epochs):
@@ -108,7 +112,7 @@ def train(texts: list[str], labels: list[int], s: Settings) -> tuple[np.ndarray,
         for at in range(0, len(order), s.batch):
             part = order[at : at + s.batch]
             ids = np.concatenate([bags[i][0] for i in part])
-            share = np.concatenate([bags[i][1] for i in part])
+            share = np.concatenate([(bags[i][1] * bags[i][2]).astype(np.float32) for i in part])
             row = np.repeat(np.arange(len(part)), [len(bags[i][0]) for i in part])
             hidden = np.stack([np.bincount(row, share * vectors[ids, k], len(part)) for k in range(s.width)], 1)
             logits = hidden @ weights + bias
@@ -144,9 +148,11 @@ def learned(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "
         docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
         .join(F.broadcast(some), "key").select("key", "text", "label").toArrow().sort_by([("key", "ascending"), ("text", "ascending")])
     )
-    model = train(rows.column("text").to_pylist(), rows.column("label").to_pylist(), s)
+    texts, marks = rows.column("text").to_pylist(), rows.column("label").to_pylist()
     del rows
     released()
+    model = train(texts, marks, s)
+    released()
     return model
 
 
