@@ -11,20 +11,22 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import (
     Bucketizer, OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler,
 )
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylens.functions.buckets import DELAY_EDGES
 from delaylens.operators.metrics import classification
-from delaylens.session import checkpointed
+from delaylens.session import checkpointed, workspace
 from delaylens.sources.readers import STORED_REQUESTS, read_day
-from delaylens.sources.writers import write_days
+from delaylens.sources.writers import materialize, write_days
 
 LABEL = "ArrDelayBucket"
 PREDICTION = "Prediction"
 #: Rows of a part of training rows, from which on there are more parts.
 PART_ROWS = 500_000
+#: Features up to which a linear model is solved from their products, which Spark gathers in one pass.
+SOLVED_FEATURES = 4096
 
 
 @dataclass(frozen=True)
@@ -82,10 +84,12 @@ def stored_splits(
     """The splits of ``split_by_hash`` for all seeds, of ``columns`` only.
 
     The rows are worked out and stored once. A filter on the hash would be pushed below them, and
-    every column they are made of would be worked out anew for the hash and on either side.
+    every column they are made of would be worked out anew for the hash and on either side. They
+    are stored by column, so that a pass reads what it uses.
     """
     names = [f"_draw_{i}" for i in range(len(seeds))]
-    rows = checkpointed(df.select(*columns, *[_draw(df, seed).alias(name) for name, seed in zip(names, seeds)]))
+    drawn = df.select(*columns, *[_draw(df, seed).alias(name) for name, seed in zip(names, seeds)])
+    rows = materialize(drawn, workspace(df.sparkSession, "splits"))
     cut = F.lit(round(share * 1_000_000))
     return [(rows.where(F.col(n) < cut).select(*columns), rows.where(F.col(n) >= cut).select(*columns)) for n in names]
 
@@ -98,18 +102,23 @@ def read_columns(inputs: Inputs) -> list[str]:
     return sources
 
 
-def training_rows(df: DataFrame, inputs: Inputs, label: str, partitions: int | None = None) -> DataFrame:
+def training_rows(
+    df: DataFrame, inputs: Inputs, label: str, partitions: int | None = None, stored: bool = False
+) -> DataFrame:
     """The labelled rows, cut down to what the model reads and stored once.
 
     Fitting passes over its rows many times; the joins and features behind them should run
     once. ``partitions`` spreads the rows by their content into so many parts, or into more if
     there are more than ``PART_ROWS`` rows a part; a forest draws its samples per part, so the
-    same number gives the same forest on any machine.
+    same number gives the same forest on any machine. Rows that are ``stored`` already, and not to
+    be spread, are read from where they are.
     """
     rows = df.where(F.col(label).isNotNull()).select(*read_columns(inputs), label)
     if partitions is not None:
         partitions = max(partitions, -(-rows.count() // PART_ROWS))
         rows = rows.repartition(partitions, F.xxhash64(*rows.columns)).sortWithinPartitions(*rows.columns)
+    elif stored:
+        return rows
     return checkpointed(rows)
 
 
@@ -174,11 +183,17 @@ def fit_classifier(
 
 
 def fit_regressor(
-    df: DataFrame, inputs: Inputs, *, target: str = "ArrDelay", kind: str = "linear", seed: int = 42
+    df: DataFrame, inputs: Inputs, *, target: str = "ArrDelay", kind: str = "linear", seed: int = 42,
+    stored: bool = False,
 ) -> PipelineModel:
-    """Linear or boosted regression over one-hot categories and numbers."""
-    rows = training_rows(df, inputs, target)
+    """Linear or boosted regression over one-hot categories and numbers; ``stored`` as for ``training_rows``.
+
+    The normal linear model of few features is the one ``LinearRegression`` finds, by the same
+    solver; that class then goes through all rows once more for a summary nobody reads.
+    """
+    rows = training_rows(df, inputs, target, stored=stored)
     names = inputs.categorical
+    prepared = Pipeline(stages=category_stages(inputs)).fit(rows)
     encoder = OneHotEncoder(
         inputCols=[f"{c}_index" for c in names], outputCols=[f"{c}_hot" for c in names],
         dropLast=False,
@@ -187,12 +202,15 @@ def fit_regressor(
         inputCols=[*inputs.numeric, *[f"{c}_hot" for c in names]], outputCol="Features_vec",
     )
     columns = {"featuresCol": "Features_vec", "labelCol": target, "predictionCol": PREDICTION}
-    model = (
-        GBTRegressor(**columns, seed=seed, maxIter=20)
-        if kind == "boosted"
-        else LinearRegression(**columns, regParam=0.01, maxIter=50)
-    )
-    return Pipeline(stages=[*category_stages(inputs), encoder, assembler, model]).fit(rows)
+    # Every column has an index more, of unseen values.
+    features = len(inputs.numeric) + sum(len(values) + 1 for values in prepared.stages[-1].labelsArray)
+    if kind == "boosted":
+        model = GBTRegressor(**columns, seed=seed, maxIter=20)
+    elif features <= SOLVED_FEATURES:
+        model = GeneralizedLinearRegression(**columns, family="gaussian", link="identity", regParam=0.01)
+    else:
+        model = LinearRegression(**columns, regParam=0.01, maxIter=50)
+    return Pipeline(stages=[*prepared.stages, encoder, assembler, model]).fit(rows)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -175,7 +175,7 @@ def feature_importances(spark, folder):
 @query("SELECT true AS r2_above_three_quarters, true AS median_error_below_twelve")
 def train_score_regression(spark, folder):
     train, test = _split_delays(spark, folder)
-    fitted = models.fit_regressor(train, REGRESSION_INPUTS)
+    fitted = models.fit_regressor(train, REGRESSION_INPUTS, stored=True)
     # The median takes several passes; the predictions are made once.
     scored = checkpointed(models.predict(fitted, test).select("ArrDelay", models.PREDICTION))
     found = metrics.regression(scored, "ArrDelay", models.PREDICTION)
@@ -197,7 +197,7 @@ def train_score_boosted(spark, folder):
     train, test = _split_delays(spark, folder, "FlightNum")
     gained = F.col("ArrDelay") - F.col("DepDelay")
     train, test = (checkpointed(side) for side in features.with_history(train, test, "FlightNum", gained, "Gained"))
-    fitted = models.fit_regressor(train, HISTORY_INPUTS, kind="boosted")
+    fitted = models.fit_regressor(train, HISTORY_INPUTS, kind="boosted", stored=True)
     mean = train.agg(F.avg("ArrDelay").alias("mean")).first()["mean"]
     rows = train.withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True)))
     scored = models.predict(fitted, rows)

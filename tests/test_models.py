@@ -1,11 +1,14 @@
+import glob
 import math
 import os
 
 import pytest
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import functions as F
 
 from delaylens.operators import experiments, features, models
 from delaylens.plans import models as bound
+from delaylens.session import checkpointed
 from delaylens.sources import readers, writers
 from delaylens.streaming import scoring
 from delaylens.plans import bindings as b
@@ -222,3 +225,23 @@ def test_one_hot_stage_of_unseen_value(spark, folder):
     fitted = models.fit_regressor(bound._base(spark, folder), inputs)
     row = b.request_features(spark, folder).limit(1).withColumn("Carrier", F.lit("new"))
     assert models.predict(fitted, row).first().Prediction is not None
+
+
+def test_linear_model_reads_stored_rows_where_they_are(spark, folder, monkeypatch):
+    inputs = bound.REGRESSION_INPUTS
+    columns = [*models.read_columns(inputs), "ArrDelay"]
+    train, test = models.stored_splits(bound._base(spark, folder), 0.8, [42], columns)[0]
+    checkpoints = lambda: glob.glob(spark.sparkContext.getCheckpointDir().removeprefix("file:") + "/rdd-*")
+    checkpointed(spark.range(1))
+    before = checkpoints()
+    assert before
+    fitted = models.fit_regressor(train, inputs, stored=True)
+    assert checkpoints() == before
+    # The same model as that of the class which goes through the rows once more.
+    monkeypatch.setattr(models, "SOLVED_FEATURES", 0)
+    wide = models.fit_regressor(train, inputs)
+    assert isinstance(wide.stages[-1], LinearRegressionModel) and not isinstance(fitted.stages[-1], LinearRegressionModel)
+    assert len(checkpoints()) == len(before) + 1
+    assert list(fitted.stages[-1].coefficients) == pytest.approx(list(wide.stages[-1].coefficients), rel=1e-9, abs=1e-9)
+    ours, theirs = ([r.Prediction for r in models.predict(m, test).collect()] for m in (fitted, wide))
+    assert ours == pytest.approx(theirs, rel=1e-9, abs=1e-9)
