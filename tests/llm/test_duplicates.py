@@ -186,6 +186,36 @@ def test_lines_match_all_pairs(documents):
     assert kept.columns == docs.columns and kept.count() == len(rows)
 
 
+def edited(rng, line, edits):
+    for at in rng.integers(len(line), size=edits).tolist():
+        line = [line[:at] + "Z" + line[at + 1 :], line[:at] + line[at + 1 :], line[:at] + "Y" + line[at:]][int(rng.integers(3))]
+    return line
+
+
+def test_lines_with_edits_in_proportion_to_length_match_all_pairs(documents):
+    rng = np.random.default_rng(5)
+    lines = set()
+    for n in (20, 62, 63, 64, 65, 96, 130, 161):
+        base, k = "".join(rng.choice(list("abcdeé"), n)), max(1, n // 32)
+        bunched = [base[: n // 3] + "Q" * k + base[n // 3 + k :], base[k:], base[: n - k] + "Q" * k]
+        lines |= {base, *bunched, *(edited(rng, base, e) for e in range(1, k + 2) for _ in range(2))}
+    lines = sorted(x for x in lines if len(x) >= 20)
+    apart = {(a, b): distance(a, b) for a, b in combinations(lines, 2) if abs(len(a) - len(b)) <= 6}
+    docs = documents([(i, x) for i, x in enumerate(lines)])
+    ids = {r.line_id: r.line for r in linededup._lines(docs, "text", "doc_id").collect()}
+    found = {frozenset((ids[r.a], ids[r.b])) for r in linededup.line_links(docs, per=32).collect()}
+    near = {frozenset(pair) for pair in apart if apart[pair] <= max(1, max(map(len, pair)) // 32)}
+    assert found == near and any(apart[pair] > 1 for pair in apart if frozenset(pair) in near)
+    notice = "a notice of some ninety characters, which is the same in all documents but for its date: "
+    docs = documents([(1, notice + "2001"), (2, notice + "2012"), (3, notice + "2999")])
+    kept = {r.doc_id: r.text for r in linededup.remove_lines(docs, per=32).collect()}
+    assert kept == {1: notice + "2001", 2: "", 3: notice + "2999"}
+    with pytest.raises(ValueError):
+        linededup.line_links(docs, per=5)
+    plan = linededup.repeated_lines(docs, per=32)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_lines_are_taken_out_beside_clashing_columns(spark):
     line = "a line that is long enough"
     rows = [(1, f"{line}\nx", "r1", 1, "o"), (2, f"y\n{line}", "r2", 2, "o"), (2, f"y\n{line}", "r3", 3, "o"), (3, None, "r4", 4, "o")]
