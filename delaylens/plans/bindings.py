@@ -11,7 +11,7 @@ import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylens.operators import search_index
@@ -84,7 +84,8 @@ _FROM_CUSTOMER = {"Dest", "Distance"}
 _FROM_SUPPLIER = {"Origin", "Distance"}
 
 
-def flights(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+def _flight_rows(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The joined rows that the definitions of these columns read."""
     wanted = set(columns)
     rows = table(spark, folder, "lineitem")
     nation = table(spark, folder, "nation")
@@ -103,8 +104,17 @@ def flights(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
         rows = rows.join(
             sellers.select("s_suppkey", "so_key", "so_name"), F.col("l_suppkey") == F.col("s_suppkey")
         )
+    return rows
+
+
+def _definitions(*columns: str) -> dict[str, Column]:
     definitions = flight_columns("STRING", "weekday(o_orderdate) + 1")
-    return rows.select(*[F.expr(definitions[c]).alias(c) for c in columns])
+    return {c: F.expr(definitions[c]) for c in columns}
+
+
+def flights(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    rows = _flight_rows(spark, folder, *columns)
+    return rows.select(*[e.alias(c) for c, e in _definitions(*columns).items()])
 
 
 def stored_path(spark: SparkSession, folder: str, name: str) -> str:
@@ -126,7 +136,8 @@ def published_flights(spark: SparkSession, folder: str, *columns: str) -> DataFr
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-    publish(flights(spark, folder, *LOOKED_UP), path, ["Origin", "Dest", "Carrier", "FlightDate"], mode="overwrite")
+    rows = _flight_rows(spark, folder, *LOOKED_UP).select(*_LOOKED_UP_FROM)
+    publish(rows, path, ["Origin", "Dest", "Carrier", "FlightDate"], mode="overwrite", columns=_definitions(*LOOKED_UP))
     return spark.read.parquet(path).select(*columns)
 
 
@@ -198,6 +209,10 @@ def indexed_airplanes(spark: SparkSession, folder: str) -> Index:
 LOOKED_UP = (
     "FlightDate", "CRSDepTime", "CRSArrTime", "Carrier", "FlightNum", "Origin", "Dest", "TailNum", "DepDelay",
 )
+#: What their definitions read.
+_LOOKED_UP_FROM = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "o_orderdate", "o_orderpriority", "so_name", "cu_name",
+)
 
 
 def flights_sql() -> str:

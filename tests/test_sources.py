@@ -173,6 +173,24 @@ def test_a_hot_key_is_published_by_several_tasks(spark, tmp_path):
     assert stored.count() == 20_000 and files.count() > 1
 
 
+def test_published_columns_are_worked_out_once(spark, tmp_path):
+    worked = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def named(i):
+        worked.add(1)
+        return f"n{i}"
+
+    path, df = str(tmp_path / "p"), spark.range(3_000).withColumn("k", F.expr("concat('k', id % 7)"))
+    writers.publish(df, path, ["key"], mode="overwrite", search=["name"], columns={"key": F.col("k"), "name": named("id")})
+    stored = spark.read.parquet(path)
+    assert stored.columns == ["key", "name", "name_tokens"] and worked.value == 3_000
+    assert sorted((r.key, r.name) for r in stored.collect()) == sorted((f"k{i % 7}", f"n{i}") for i in range(3_000))
+    files = stored.selectExpr("_metadata.file_name AS f", "key").groupBy("f").agg(F.min("key").alias("a"), F.max("key").alias("b"))
+    bounds = sorted((r.a, r.b) for r in files.collect())
+    assert all(x[1] <= y[0] for x, y in zip(bounds, bounds[1:]))
+
+
 def test_sql_over_several_tables(spark):
     a, b = spark.createDataFrame([(1, "x"), (2, "y")], "i int, s string"), spark.createDataFrame([(1,)], "i int")
     found = readers.run_sql(spark, "SELECT s FROM a JOIN b USING (i)", a=a, b=b)
