@@ -142,12 +142,15 @@ def shard(docs: DataFrame, size: Column, order: tuple[Column, Column], shards: i
     def part_of(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(_full(bounds), encoded(x.to_numpy(), y.to_numpy()), "right").astype(np.int32))
 
-    spark = docs.sparkSession
-    table = spark.createDataFrame(list(enumerate(offsets)), "_sort_part int, _sort_offset long")
+    # From Arrow and not from a list, which would start a second set of Python workers on each executor.
+    table = docs.sparkSession.createDataFrame(
+        pa.table({"_sort_part": pa.array(range(len(offsets)), pa.int32()), "_sort_offset": pa.array(offsets, pa.int64())})
+    )
     place = Window.partitionBy("_sort_part").orderBy("_sort_a", "_sort_b")
     return (
         docs.drop("shard", "slot").withColumns({"_sort_a": a, "_sort_b": b})
-        .withColumn("_sort_part", part_of("_sort_a", "_sort_b"))
+        # Else the join's test for null goes down to the rows with a copy of the function: two workers for each task.
+        .withColumn("_sort_part", part_of.asNondeterministic()("_sort_a", "_sort_b"))
         .withColumn("_sort_row", F.row_number().over(place))
         .join(small(table), "_sort_part")
         .withColumn("shard", F.floor(F.col("_sort_part") / parts).cast("int"))

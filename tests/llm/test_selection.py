@@ -102,6 +102,15 @@ def test_shards_are_even_and_slots_gapless(documents, part_rows):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_shards_take_one_python_worker_a_task(spark, documents):
+    docs = documents([(i, f"word {i}", "en", "a") for i in range(300)])
+    docs = spark.createDataFrame(docs.toArrow())
+    plan = split_into(docs, 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1, plan
+    # Rows of a Python list come through workers of their own.
+    assert "ExistingRDD" not in plan, plan
+
+
 def test_shards_do_not_depend_on_partitions(documents):
     docs = documents([(i, f"text {i} " * (i % 9)) for i in range(300)])
     one, two = (sorted((r.doc_id, r.shard, r.slot) for r in split_into(docs.repartition(n), 7).collect()) for n in (2, 9))
