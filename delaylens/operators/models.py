@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from delaylens.functions.buckets import DELAY_EDGES
 from delaylens.operators.metrics import classification
-from delaylens.session import checkpointed, workspace
+from delaylens.session import checkpointed, set_checkpoints, workspace
 from delaylens.sources.readers import STORED_REQUESTS, read_day
 from delaylens.sources.writers import materialize, write_days
 
@@ -186,14 +186,27 @@ def fit_regressor(
     df: DataFrame, inputs: Inputs, *, target: str = "ArrDelay", kind: str = "linear", seed: int = 42,
     stored: bool = False,
 ) -> PipelineModel:
-    """Linear or boosted regression over one-hot categories and numbers; ``stored`` as for ``training_rows``.
+    """Linear regression over one-hot categories and numbers, or boosted trees; ``stored`` as for ``training_rows``.
 
     The normal linear model of few features is the one ``LinearRegression`` finds, by the same
-    solver; that class then goes through all rows once more for a summary nobody reads.
+    solver; that class then goes through all rows once more for a summary nobody reads. Trees read
+    a category as one column, not one for each of its values: a split may then send any set of
+    values to a side, those in the order of their mean target, where a one-hot column tells a
+    single value from the rest, and every pass over the rows counts as many columns less.
     """
     rows = training_rows(df, inputs, target, stored=stored)
     names = inputs.categorical
     prepared = Pipeline(stages=category_stages(inputs)).fit(rows)
+    columns = {"featuresCol": "Features_vec", "labelCol": target, "predictionCol": PREDICTION}
+    # Every column has an index more, of unseen values.
+    sizes = [len(values) + 1 for values in prepared.stages[-1].labelsArray]
+    if kind == "boosted":
+        assembler = VectorAssembler(
+            inputCols=[*inputs.numeric, *[f"{c}_index" for c in names]], outputCol="Features_vec",
+        )
+        set_checkpoints(df.sparkSession)  # each tree reads the errors of those before it
+        trees = GBTRegressor(**columns, seed=seed, maxIter=20, maxBins=max(32, *sizes))
+        return Pipeline(stages=[*prepared.stages, assembler, trees]).fit(rows)
     encoder = OneHotEncoder(
         inputCols=[f"{c}_index" for c in names], outputCols=[f"{c}_hot" for c in names],
         dropLast=False,
@@ -201,12 +214,7 @@ def fit_regressor(
     assembler = VectorAssembler(
         inputCols=[*inputs.numeric, *[f"{c}_hot" for c in names]], outputCol="Features_vec",
     )
-    columns = {"featuresCol": "Features_vec", "labelCol": target, "predictionCol": PREDICTION}
-    # Every column has an index more, of unseen values.
-    features = len(inputs.numeric) + sum(len(values) + 1 for values in prepared.stages[-1].labelsArray)
-    if kind == "boosted":
-        model = GBTRegressor(**columns, seed=seed, maxIter=20)
-    elif features <= SOLVED_FEATURES:
+    if len(inputs.numeric) + sum(sizes) <= SOLVED_FEATURES:
         model = GeneralizedLinearRegression(**columns, family="gaussian", link="identity", regParam=0.01)
     else:
         model = LinearRegression(**columns, regParam=0.01, maxIter=50)

@@ -12,7 +12,7 @@ from delaylens.plans.summaries import BUCKET_SQL, FLIGHTS, SCHEDULED_SQL
 from delaylens.session import checkpointed, workspace
 from delaylens.sources import readers
 from delaylens.sources.readers import iso_day_slice
-from delaylens.sources.writers import write_days
+from delaylens.sources.writers import materialize, write_days
 from delaylens.streaming import scoring
 from delaylens.streaming.pairing import paired
 
@@ -196,10 +196,13 @@ def train_score_boosted(spark, folder):
     """
     train, test = _split_delays(spark, folder, "FlightNum")
     gained = F.col("ArrDelay") - F.col("DepDelay")
-    train, test = (checkpointed(side) for side in features.with_history(train, test, "FlightNum", gained, "Gained"))
+    train, test = features.with_history(train, test, "FlightNum", gained, "Gained")
+    held = train.withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True)))
+    # Stored by column: the passes over the training rows and the one of the scores read what they use.
+    rows = materialize(held.drop("FlightNum"), workspace(spark, "history"))
+    train = rows.where(~F.col("held"))
     fitted = models.fit_regressor(train, HISTORY_INPUTS, kind="boosted", stored=True)
     mean = train.agg(F.avg("ArrDelay").alias("mean")).first()["mean"]
-    rows = train.withColumn("held", F.lit(False)).unionByName(test.withColumn("held", F.lit(True)))
     scored = models.predict(fitted, rows)
 
     def error(guess):

@@ -196,6 +196,17 @@ def test_boosted_trees_beat_the_departure_by_far(spark, folder):
     assert found[models.PREDICTION] < 0.8 * found["DepDelay"]
 
 
+def test_trees_read_a_category_as_one_column(spark):
+    rows = spark.range(2000).selectExpr("concat('c', id % 40) c", "cast(id % 3 as double) x", "cast(id % 40 % 2 * 10 as double) y")
+    inputs = models.Inputs(categorical=("c",), numeric=("x",))
+    fitted = models.fit_regressor(rows, inputs, target="y", kind="boosted")
+    # One split sends twenty of the forty values to either side.
+    assert fitted.stages[-1].numFeatures == 2 and fitted.stages[-1].trees[0].numNodes == 3
+    assert models.predict(fitted, rows).where("abs(Prediction - y) > 1e-6").isEmpty()
+    unseen = models.predict(fitted, rows.limit(1).withColumn("c", F.lit("new")))
+    assert unseen.first().Prediction is not None
+
+
 def test_stamped_requests(spark):
     found = features.stamped(spark.createDataFrame([(1,), (2,)], "i int")).collect()
     assert len({r.UUID for r in found}) == 2 and all(len(r.UUID) == 36 and r.Timestamp for r in found)
