@@ -1,5 +1,6 @@
 """N-gram groups, repeated passages and repeated lines against brute force."""
 
+import time
 from itertools import combinations
 
 import numpy as np
@@ -7,7 +8,7 @@ import pyarrow as pa
 import pytest
 from reference_words import spaced
 
-from delaylens.llm import linededup, ngramjoin, substrings, words
+from delaylens.llm import linededup, ngramjoin, scratch, substrings, words
 
 
 def shingles(text):
@@ -216,6 +217,47 @@ def test_lines_with_edits_in_proportion_to_length_match_all_pairs(documents):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_line_keys_are_dealt_with_in_passes(documents, monkeypatch):
+    # 100 lines of two segments and 10 of eight: the first segments of all make the most keys.
+    lines = {2: 100, 8: 10}
+    assert linededup._passes(lines, 10**9) == [range(8)] and linededup._passes({}, 1) == [range(1)]
+    passes = linededup._passes(lines, 500)
+    assert [j for numbers in passes for j in numbers] == list(range(8)) and len(passes) > 2
+    keys = lambda numbers: sum(2 * (j + 1) * sum(n for segments, n in lines.items() if segments > j) for j in numbers)
+    assert all(len(numbers) == 1 or keys(numbers) <= 500 for numbers in passes)
+
+    rng = np.random.default_rng(6)
+    bases = ["".join(rng.choice(list("abcde "), n)).strip() for n in (70, 300, 700, 1100)]
+    docs = documents([(i, edited(rng, b, e)) for i, (b, e) in enumerate((b, e) for b in bases for e in (0, 1, 2, len(b) // 32))])
+    links = lambda: sorted(map(tuple, linededup.line_links(docs, per=32).collect()))
+    whole = links()
+    monkeypatch.setattr(linededup, "KEYS", 1)
+    monkeypatch.setattr(linededup, "LINE_KEYS", 1)
+    assert whole and links() == whole
+
+
+def test_shuffle_files_of_stored_tables_go(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in map(str, (b.toString() for b in blocks())) if f.startswith("shuffle_")}
+
+    def blocks():
+        found = manager.getAllBlocks()
+        return (found.apply(i) for i in range(found.size()))
+
+    before, given = files(), spark.conf.get(scratch.TIDY, None)
+    dealt = spark.range(10_000).repartition(5, "id")
+    kept = scratch.Scratch(spark, "kept").store(dealt)
+    assert files() - before
+    before = files()
+    stored = scratch.Scratch(spark, "tidy", tidy=True).store(spark.range(10_000).repartition(7, "id"))
+    for _ in range(50):  # they are removed in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(scratch.TIDY, None) == given
+    assert stored.count() == kept.count() == 10_000
+
+
 def test_lines_are_taken_out_beside_clashing_columns(spark):
     line = "a line that is long enough"
     rows = [(1, f"{line}\nx", "r1", 1, "o"), (2, f"y\n{line}", "r2", 2, "o"), (2, f"y\n{line}", "r3", 3, "o"), (3, None, "r4", 4, "o")]
